@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from basketlens.operators import cox
 from basketlens.plans import jobs
+from basketlens.session import ship_package
 from basketlens.sources import tables as store
 
 
@@ -20,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--restarts", type=int, default=10, help="k-means starts per k")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"basketlens-{args.job}").getOrCreate()
+    ship_package(spark)
 
     if args.job in ("load", "all") and not args.raw:
         parser.error("--raw is required to load")

@@ -73,10 +73,13 @@ def step_sums(design: DataFrame, columns: Sequence[str], beta: Sequence[float])
     """
     p = len(columns)
     pairs = _pairs(p)
-    score = " + ".join(f"`{c}` * {b!r}D" for c, b in zip(columns, map(float, beta)))
+    # The coefficients enter as one array, which generated code refers to and does not spell out:
+    # every step then runs the code compiled for the first one.
+    score = (f"aggregate(zip_with(array({', '.join(f'`{c}`' for c in columns)}), "
+             f"array({', '.join(f'{float(b)!r}D' for b in beta)}), (x, b) -> x * b), 0D, (z, x) -> z + x)")
     rows = design.selectExpr(
-        "duration", "cast(event as double) as e", f"exp({score}) as w", f"{score} as s",
-        *[f"`{c}` as x{i}" for i, c in enumerate(columns)])
+        "duration", "cast(event as double) as e", f"{score} as s",
+        *[f"`{c}` as x{i}" for i, c in enumerate(columns)]).selectExpr("*", "exp(s) as w")
 
     weighted = {"r": "w", **{f"r_{i}": f"w * x{i}" for i in range(p)},
                 **{f"r_{i}_{j}": f"w * x{i} * x{j}" for i, j in pairs}}
@@ -85,7 +88,7 @@ def step_sums(design: DataFrame, columns: Sequence[str], beta: Sequence[float])
     per_time = rows.groupBy("duration").agg(
         *[F.expr(f"sum({term})").alias(name) for name, term in {**weighted, **dying, **plain}.items()])
 
-    at_risk = "over (order by duration rows between current row and unbounded following)"
+    at_risk = "over (order by duration desc rows between unbounded preceding and current row)"
     deaths = per_time.selectExpr(
         *[f"sum({name}) {at_risk} as {name}" for name in weighted], *dying, *plain).filter("d > 0")
 

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from basketlens.functions.special import solve_scaled
-from basketlens.operators.series import compact, in_order, seasonal_naive, train_test_split
+from basketlens.operators.series import compact, cyclic, in_order, train_test_split
+from basketlens.session import materialize
 
 SPARE_ROWS = 4  # regression rows required beyond the number of coefficients
 LONG = ["w_1", "w_2", "w_3", "w_m", "w_m1"]
@@ -32,17 +33,17 @@ def arima_differences(series: DataFrame, seasonal_period: int) -> DataFrame:
     return differenced.withColumns({name: lag("w", k) for name, k in lags.items()})
 
 
-def normal_equations(rows: DataFrame, regressors: list[str], name: str, target: str = "w") -> DataFrame:
-    """Row count, flattened Gram matrix and moment vector of a regression, per series."""
-    full = F.lit(True)
-    for c in [target, *regressors]:
-        full = full & F.col(c).isNotNull()
-    total = lambda a, b: F.sum(F.when(full, F.col(a) * F.col(b)))
-    return rows.groupBy("series_id").agg(
-        F.count_if(full).alias(f"{name}_rows"),
-        F.array(*[total(a, b) for a in regressors for b in regressors]).alias(f"{name}_gram"),
-        F.array(*[total(a, target) for a in regressors]).alias(f"{name}_moment"),
-    )
+def normal_equations(regressors: list[str], name: str, target: str = "w") -> list[Column]:
+    """Aggregates of a regression: row count, flattened Gram matrix, moment vector."""
+    full = " and ".join(f"{c} is not null" for c in [target, *regressors])
+    total = lambda a, b: f"sum(case when {full} then {a} * {b} end)"
+    gram = ", ".join(total(a, b) for a in regressors for b in regressors)
+    moment = ", ".join(total(a, target) for a in regressors)
+    return [
+        F.expr(f"count_if({full})").alias(f"{name}_rows"),
+        F.expr(f"array({gram})").alias(f"{name}_gram"),
+        F.expr(f"array({moment})").alias(f"{name}_moment"),
+    ]
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -54,23 +55,18 @@ def solve(gram: pd.Series, moment: pd.Series) -> pd.Series:
     return pd.Series([None if g is None or pd.isna(g[0]) else one(g, m) for g, m in zip(gram, moment)], dtype=object)
 
 
-def _fit(rows: DataFrame, variants: dict[str, list[str]]) -> DataFrame:
-    """Coefficients of the first variant with enough rows, padded by name into a map."""
-    fits = None
-    for name, regressors in variants.items():
-        one = normal_equations(rows, regressors, name)
-        fits = one if fits is None else fits.join(one, "series_id")
-    chosen = F.lit(None)
-    tier = F.lit(None)
-    for name, regressors in reversed(list(variants.items())):
+def _fit(rows: DataFrame, variants: dict[str, list[str]], *more: Column) -> DataFrame:
+    """Per series, the first variant with enough rows and its coefficients by name; one aggregate for all."""
+    sums = rows.groupBy("series_id").agg(
+        *[c for name, regressors in variants.items() for c in normal_equations(regressors, name)], *more)
+    tier, coef = F.lit(None), F.lit(None)
+    for name, regressors in reversed(variants.items()):
         enough = F.col(f"{name}_rows") >= len(regressors) + SPARE_ROWS
-        names = F.array(*map(F.lit, regressors))
-        solved = F.map_from_arrays(names, F.col(f"{name}_coef"))
-        chosen = F.when(enough, solved).otherwise(chosen)
-        tier = F.when(enough, F.lit(name)).otherwise(tier)
-    for name in variants:
-        fits = fits.withColumn(f"{name}_coef", solve(f"{name}_gram", f"{name}_moment"))
-    return fits.select("series_id", tier.alias("tier"), chosen.alias("coef"))
+        solved = F.map_from_arrays(F.array(*map(F.lit, regressors)), F.col(f"{name}_coef"))
+        tier, coef = F.when(enough, F.lit(name)).otherwise(tier), F.when(enough, solved).otherwise(coef)
+    solutions = {f"{name}_coef": solve(f"{name}_gram", f"{name}_moment") for name in variants}
+    kept = [c for c in sums.columns if not c.startswith(tuple(variants))]
+    return sums.withColumns(solutions).select(*kept, tier.alias("tier"), coef.alias("coef"))
 
 
 def _value(coef: str, name: str) -> Column:
@@ -81,10 +77,10 @@ def fit_arima(series: DataFrame, seasonal_period: int, test_size: int) -> DataFr
     """Per series: the tier fitted, its coefficients, and the last residual.
 
     Tiers by length of the training part: ``seasonal`` (all terms), ``plain`` (no seasonal lag),
-    NULL when neither has enough rows.
+    NULL when neither has enough rows. The lagged rows are stored, as both regressions read them.
     """
     train = train_test_split(series, test_size).filter(~F.col("is_test")).select("series_id", "period", "net_sales")
-    lagged = arima_differences(train, seasonal_period)
+    lagged = materialize(arima_differences(train, seasonal_period).drop("net_sales"), "lagged")
     first = _fit(lagged, {"seasonal": LONG, "plain": LONG_PLAIN})
     fitted = sum((_value("coef", c) * F.coalesce(F.col(c), F.lit(0.0)) for c in LONG), F.lit(0.0))
     usable = F.when(F.col("tier") == "seasonal", F.col("w_m1").isNotNull() & F.col("w_3").isNotNull()) \
@@ -94,8 +90,7 @@ def fit_arima(series: DataFrame, seasonal_period: int, test_size: int) -> DataFr
         .withColumn("e", F.when(usable, F.col("w") - fitted))
         .withColumn("e_1", F.lag("e").over(in_order()))
     )
-    last = residuals.groupBy("series_id").agg(F.max_by("e", "period").alias("last_residual"))
-    return _fit(residuals, {"seasonal": SEASONAL, "plain": PLAIN}).join(last, "series_id")
+    return _fit(residuals, {"seasonal": SEASONAL, "plain": PLAIN}, F.max_by("e", "period").alias("last_residual"))
 
 
 def seasonal_arima_forecast(series: DataFrame, seasonal_period: int, test_size: int) -> DataFrame:
@@ -125,11 +120,11 @@ def seasonal_arima_forecast(series: DataFrame, seasonal_period: int, test_size:
     start = F.struct(F.col("recent").alias("y"), F.col("w").alias("w"))
     path = F.aggregate(F.sequence(F.lit(1), F.lit(test_size)), start, step, lambda state: state.y)
     ahead = frame.withColumn("ahead", F.when(F.col("fit_tier").isNotNull(), F.slice(path, -test_size, test_size)))
-    rows = ahead.select("series_id", F.col("fit_tier"), "ahead", F.inline("holdout"))
-    naive = seasonal_naive(series, m, test_size).select("series_id", "step", F.col("forecast").alias("naive"))
-    return rows.join(naive, ["series_id", "step"]).select(
+    rows = ahead.select("series_id", "fit_tier", "ahead", "recent", F.inline("holdout"))
+    naive = cyclic("recent", m, F.col("step"))
+    return rows.select(
         "series_id", "period", "step", "actual",
-        F.coalesce(F.get("ahead", F.col("step") - 1), F.col("naive")).alias("forecast"),
-        "naive",
+        F.coalesce(F.get("ahead", F.col("step") - 1), naive).alias("forecast"),
+        naive.alias("naive"),
         F.coalesce("fit_tier", F.lit("seasonal-naive")).alias("tier"),
     )

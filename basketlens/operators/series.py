@@ -161,11 +161,18 @@ def compact(series: DataFrame, test_size: int, tail: int) -> DataFrame:
     )
 
 
+def cyclic(recent: str, seasonal_period: int, step: Column) -> Column:
+    """The last cycle of the array repeated: the value ``step`` periods after its end."""
+    cycle = F.least(F.size(recent), F.lit(seasonal_period))
+    slot = (step - 1) % F.nullif(cycle, F.lit(0))
+    return F.get(recent, F.size(recent) - cycle + slot)
+
+
 def seasonal_naive(series: DataFrame, seasonal_period: int, test_size: int) -> DataFrame:
     """Repeat the last training cycle over the holdout, cyclically if the holdout is longer."""
     rows = compact(series, test_size, seasonal_period).select("series_id", "recent", F.inline("holdout"))
-    slot = (F.col("step") - 1) % F.nullif(F.size("recent"), F.lit(0))
-    return rows.select("series_id", "period", "step", "actual", F.get("recent", slot).alias("forecast"))
+    return rows.select(
+        "series_id", "period", "step", "actual", cyclic("recent", seasonal_period, F.col("step")).alias("forecast"))
 
 
 def forecast_errors(backtest: DataFrame, *keys: str, forecast: str = "forecast") -> DataFrame:

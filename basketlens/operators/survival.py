@@ -88,7 +88,8 @@ def km_curves(survival: DataFrame, group: str = GROUP) -> DataFrame:
     """
     by_group = W.partitionBy(group)
     forward = by_group.orderBy("duration").rowsBetween(W.unboundedPreceding, W.currentRow)
-    onward = by_group.orderBy("duration").rowsBetween(W.currentRow, W.unboundedFollowing)
+    # Counted down from the longest duration: a frame that runs to the end would be summed anew per row.
+    onward = by_group.orderBy(F.col("duration").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
     own = F.struct("duration", "deaths", "exits")
     zero = F.struct(*[F.lit(0).cast(t).alias(c) for c, t in
                       [("duration", "int"), ("deaths", "bigint"), ("exits", "bigint")]])
@@ -146,7 +147,8 @@ def logrank(survival: DataFrame, group: str = GROUP) -> DataFrame:
     per_time = event_table(survival, group).groupBy("duration").agg(
         F.sum("deaths").alias("d"), F.sum("exits").alias("x"),
         *[of(i, "deaths").alias(f"d{i}") for i in ids], *[of(i, "exits").alias(f"x{i}") for i in ids])
-    onward = W.orderBy("duration").rowsBetween(W.currentRow, W.unboundedFollowing)  # one row per day of history
+    # One row per day of history, counted down from the longest duration.
+    onward = W.orderBy(F.col("duration").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
     at_risk = per_time.select(
         "d", *[f"d{i}" for i in ids], F.sum("x").over(onward).alias("n"),
         *[F.sum(f"x{i}").over(onward).alias(f"n{i}") for i in ids],

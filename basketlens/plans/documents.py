@@ -12,7 +12,8 @@ def _listed(order: str, **columns: Column) -> list[Column]:
     """Parallel arrays of the columns in ascending order of ``order``; one row per period or segment goes in."""
     rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_order"), F.struct(
         *[c.alias(name) for name, c in columns.items()]).alias("_row"))))
-    return [F.transform(rows, lambda r, n=name: r["_row"][n]).alias(name) for name in columns]
+    values = F.transform(rows, lambda r: r["_row"])
+    return [values[name].alias(name) for name in columns]
 
 
 def _date(column: str) -> Column:

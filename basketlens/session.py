@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where the package is installed on the executors or passed with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_basketlens_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='basketlens-')}/basketlens", "zip",
+                                  package.parent, package.name)
+    context.addPyFile(archive)
+    context._basketlens_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share for intermediate tables.
 

@@ -16,7 +16,7 @@ from basketlens.operators import audits, cleaning, cox, forecast as fc, interval
 from basketlens.operators import series as ts, survival as sv
 from basketlens.operators.silhouette import silhouette
 from basketlens.plans import documents as doc, jobs
-from basketlens.session import materialize, scratch_path
+from basketlens.session import materialize, scratch_path, ship_package
 from basketlens.sources import raw as raw_source, tables as store
 from catalog.star_schema import load
 
@@ -30,6 +30,7 @@ class Shop:
     """The retail tables of one folder and the frames built on them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship_package(spark)
         self.spark = spark
         self.sf_dir = sf_dir
 
@@ -129,9 +130,9 @@ def read_raw(shop: Shop) -> DataFrame:
     """Write the raw lines as CSV to the shared folder, then scan and type that file."""
     path = scratch_path(shop.spark, "raw-csv")
     text = shop.raw.withColumn("Description", F.coalesce("Description", F.lit("NA")))
-    text.write.option("header", True).option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
-    typed = raw_source.read_raw(shop.spark, path, schema=raw_source.RAW_SCHEMA, ignoreLeadingWhiteSpace="false",
-                                ignoreTrailingWhiteSpace="false")
+    text.write.option("header", True).option("escape", '"').options(
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    typed = raw_source.read_raw(shop.spark, path, schema=raw_source.RAW_SCHEMA)
     return typed.withColumnRenamed("Customer ID", "customer_id")
 
 
@@ -320,7 +321,7 @@ def _decomposed(shop: Shop, column: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@query(places=3)
+@query(places=4)
 def decompose_trend(shop: Shop) -> DataFrame:
     return _decomposed(shop, "trend")
 
@@ -385,7 +386,7 @@ def arima_differences(shop: Shop) -> DataFrame:
 def arima_normal_equations(shop: Shop) -> DataFrame:
     """Sums of the first regression, over all series, in units of 1e6 per term."""
     millions = shop.by_country().withColumn("net_sales", F.col("net_sales") / 1e6)
-    sums = fc.normal_equations(fc.arima_differences(millions, 12), fc.LONG, "long")
+    sums = fc.arima_differences(millions, 12).groupBy("series_id").agg(*fc.normal_equations(fc.LONG, "long"))
     return sums.select(
         "series_id", "long_rows",
         *[F.col("long_gram")[i].alias(f"gram_{i}") for i in range(25)],
