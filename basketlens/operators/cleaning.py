@@ -104,7 +104,10 @@ def guest_lines(invoices: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def load_counts(raw: DataFrame) -> DataFrame:
-    """Rows before and after cleaning and rows of each table: ``(stage, row_count)``."""
+    """Rows before and after cleaning and rows of each table: ``(stage, row_count)``.
+
+    Reads ``raw`` four times, a few columns each: pass a stored frame.
+    """
     cleaned = clean(raw)
     kept = F.col("Invoice").isNotNull() & F.col("StockCode").isNotNull()
     lines = raw.agg(

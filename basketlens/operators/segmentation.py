@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from basketlens.functions.scalars import signed_log
-from basketlens.operators.silhouette import silhouette
+from basketlens.operators.silhouette import silhouettes
 
 FEATURES = ["recency_days", "frequency", "monetary"]
 SCALED = ["z_recency", "z_frequency", "z_monetary"]
+POINTS_PER_TASK = 50_000
 
 # Search range, seed and restarts of the segmentation, and the segment names.
 K_RANGE = range(2, 9)
@@ -58,9 +59,10 @@ def kmeans_assign(scaled: DataFrame, centroids: Sequence[Sequence[float]], segme
     return scaled.withColumn(segment, (F.least(*reaches) if len(reaches) > 1 else reaches[0])["number"])
 
 
-def training_points(scaled: DataFrame, partitions: int | None = None) -> DataFrame:
+def training_points(scaled: DataFrame) -> DataFrame:
     """Feature vectors in a fixed layout: seeds alone do not fix k-means over differing partitions."""
-    partitions = partitions or int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(most, 1 + scaled.count() // POINTS_PER_TASK)
     laid_out = scaled.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
     return VectorAssembler(inputCols=SCALED, outputCol="features").transform(laid_out).select("features")
 
@@ -77,18 +79,24 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int =
 
 
 def kmeans_search(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-                  **silhouette_options) -> list[dict]:
-    """Fit every k and score it: one dict per k with its centroids, cost and silhouette."""
+                  baseline: str | None = None) -> tuple[list[dict], dict | None]:
+    """Fit every k, then score all of them, and a ``baseline`` label column, in one pass over the points.
+
+    Returns one dict per k with its centroids, cost and silhouette, and the score of the baseline.
+    """
     points = training_points(scaled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = []
-        for k in ks:
-            centroids, cost = fit_kmeans(points, k, restarts, seed)
-            score = silhouette(kmeans_assign(scaled, centroids), SCALED, "segment", **silhouette_options).first()
-            found.append({"k": k, "centroids": centroids, "cost": cost, **score.asDict()})
-        return found
+        fits = {f"segment_{k}": (k, *fit_kmeans(points, k, restarts, seed)) for k in ks}
     finally:
         points.unpersist()
+    labelled = scaled
+    for column, (_, centroids, _) in fits.items():
+        labelled = kmeans_assign(labelled, centroids, column)
+    scored = silhouettes(labelled, SCALED, [*fits, *([baseline] if baseline else [])]).collect()
+    scores = {row["labelling"]: row.asDict() for row in scored}
+    search = [{"k": k, "centroids": centroids, "cost": cost, **scores[column]}
+              for column, (k, centroids, cost) in fits.items()]
+    return search, scores.get(baseline)
 
 
 def best_of(search: list[dict]) -> dict:
@@ -98,7 +106,7 @@ def best_of(search: list[dict]) -> dict:
 
 def choose_k(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED) -> DataFrame:
     """One row per k with cost, silhouette, its bounds, and the choice."""
-    search = kmeans_search(scaled, ks, restarts, seed)
+    search, _ = kmeans_search(scaled, ks, restarts, seed)
     chosen = best_of(search)["k"]
     rows = [(f["k"], f["cost"], f["silhouette"], f["silhouette_low"], f["silhouette_high"], f["k"] == chosen)
             for f in search]

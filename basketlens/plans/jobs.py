@@ -16,7 +16,6 @@ from basketlens.operators.cleaning import clean, tables_from
 from basketlens.operators.forecast import seasonal_arima_forecast
 from basketlens.operators.intervals import churn_threshold, purchase_intervals
 from basketlens.operators.sales import daily_sales
-from basketlens.operators.silhouette import silhouette
 from basketlens.plans import documents as doc
 from basketlens.session import materialize
 from basketlens.sources import tables as store
@@ -44,7 +43,12 @@ class Churn:
     curves: DataFrame
     medians: DataFrame
     test: DataFrame
-    summary: DataFrame
+    reference: str
+
+    def summary(self) -> DataFrame:
+        """Fit the Cox model and return its summary."""
+        design = materialize(cox.cox_design(self.survival, self.reference), "cox-design")
+        return cox.cox_summary(cox.cox_ph(design))
 
 
 @dataclass
@@ -74,9 +78,8 @@ def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg
     """RFM features, the best k-means clustering by silhouette, named clusters, and the naive baseline."""
     features = materialize(rfm.rfm_features(tables["invoices"], tables["invoice_items"]), "rfm")
     scaled = materialize(seg.scaled_features(features), "scaled")
-    search = seg.kmeans_search(scaled, ks, restarts, seed)
+    search, naive = seg.kmeans_search(scaled, ks, restarts, seed, baseline="naive_monetary_quintile")
     best = seg.best_of(search)
-    naive = silhouette(scaled, seg.SCALED, "naive_monetary_quintile").first().asDict()
     assigned = seg.kmeans_assign(scaled, best["centroids"]).drop(*seg.SCALED)
     named = seg.segment_labels(assigned, rfm.rfm_medians(features).first())
     columns = [*features.columns, "segment", "segment_label"]
@@ -85,15 +88,13 @@ def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg
 
 def churn(tables: Tables, segments: DataFrame, reference: str = seg.CHAMPIONS,
           home_country: str = sv.HOME_COUNTRY) -> Churn:
-    """Threshold from the purchase gaps, survival per segment, log-rank test and Cox model."""
+    """Threshold from the purchase gaps, survival per segment, log-rank test; the Cox model on request."""
     threshold = churn_threshold(purchase_intervals(tables["invoices"])).first()["churn_threshold_days"]
     lifecycle = materialize(
         sv.customer_lifecycle(tables["invoices"], tables["invoice_items"], tables["customers"]), "lifecycle")
     survival = materialize(sv.survival_frame(lifecycle, segments, threshold, home_country), "survival")
     curves = sv.km_confidence(sv.km_curves(survival))
-    design = materialize(cox.cox_design(survival, reference), "cox-design")
-    return Churn(threshold, survival, curves, sv.km_median(curves), sv.logrank_test(sv.logrank(survival)),
-                 cox.cox_summary(cox.cox_ph(design)))
+    return Churn(threshold, survival, curves, sv.km_median(curves), sv.logrank_test(sv.logrank(survival)), reference)
 
 
 def forecast(tables: Tables) -> Forecast:
@@ -106,15 +107,22 @@ def forecast(tables: Tables) -> Forecast:
     return Forecast(grain, size, series, seasonal_arima_forecast(series, period, size), choice)
 
 
+def kpis(segmentation: Segmentation, lapsed: Churn, sales: Forecast, document: DataFrame | None = None) -> DataFrame:
+    """The headline figures of the three analyses."""
+    return doc.dashboard_kpis(
+        segmentation.segments, sv.churn_overview(lapsed.survival), document or sales.document,
+        lapsed.threshold_days, segmentation.best["k"], segmentation.best["silhouette"],
+        segmentation.naive["silhouette"])
+
+
 def dashboard(segmentation: Segmentation, lapsed: Churn, sales: Forecast, ratios: DataFrame | None = None) -> DataFrame:
     """The one-row document; ``ratios`` may come from a stored Cox summary."""
     forecast_row = materialize(sales.document, "forecast-document")
-    kpis = doc.dashboard_kpis(
-        segmentation.segments, sv.churn_overview(lapsed.survival), forecast_row, lapsed.threshold_days,
-        segmentation.best["k"], segmentation.best["silhouette"], segmentation.naive["silhouette"])
+    if ratios is None:
+        ratios = cox.cox_hazard_ratios(lapsed.summary())
     return doc.dashboard_document(
-        kpis, seg.segment_summary(segmentation.segments), sv.km_document(lapsed.curves), lapsed.threshold_days,
-        ratios if ratios is not None else cox.cox_hazard_ratios(lapsed.summary), forecast_row)
+        kpis(segmentation, lapsed, sales, forecast_row), seg.segment_summary(segmentation.segments),
+        sv.km_document(lapsed.curves), lapsed.threshold_days, ratios, forecast_row)
 
 
 def write_segmentation(result: Segmentation, root: str) -> None:
@@ -126,11 +134,14 @@ def write_segmentation(result: Segmentation, root: str) -> None:
     store.write_report(seg.segment_profile(result.segments).orderBy("segment"), f"{root}/reports/segment_profile")
 
 
-def write_churn(result: Churn, root: str) -> None:
-    store.write_report(result.summary, f"{root}/reports/cox_model_summary")
+def write_churn(result: Churn, root: str) -> DataFrame:
+    """Write the churn reports; returns the Cox summary."""
+    summary = result.summary()
+    store.write_report(summary, f"{root}/reports/cox_model_summary")
     store.write_report(result.curves.orderBy(sv.GROUP, "duration"), f"{root}/reports/km_curves")
     store.write_report(result.medians.orderBy(sv.GROUP), f"{root}/reports/km_medians")
     store.write_report(result.test, f"{root}/reports/logrank_test")
+    return summary
 
 
 def write_forecast(result: Forecast, root: str) -> None:
@@ -148,9 +159,9 @@ def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = N
     segmentation = segment(tables, ks, restarts)
     write_segmentation(segmentation, root)
     lapsed = churn(tables, segmentation.segments, home_country=home_country)
-    write_churn(lapsed, root)
+    summary = write_churn(lapsed, root)
     sales = forecast(tables)
     write_forecast(sales, root)
-    document = dashboard(segmentation, lapsed, sales)
+    document = dashboard(segmentation, lapsed, sales, cox.cox_hazard_ratios(summary))
     store.write_document(document, f"{root}/reports/dashboard_data")
     return spark.read.schema(document.schema).json(f"{root}/reports/dashboard_data")

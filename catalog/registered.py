@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketlens.functions.scalars import signed_log
 from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
 from basketlens.operators import series as ts, survival as sv
-from basketlens.operators.silhouette import silhouette
-from basketlens.plans import documents as doc, jobs
+from basketlens.operators.silhouette import silhouette, silhouettes
+from basketlens.plans import jobs
 from basketlens.session import materialize, scratch_path, ship_package
 from basketlens.sources import raw as raw_source, tables as store
 from catalog.star_schema import load
@@ -428,7 +428,9 @@ def kmeans_assign(shop: Shop) -> DataFrame:
 def kmeans_segments(shop: Shop) -> DataFrame:
     """Best of three starts for four clusters; clusters numbered by ascending centroid."""
     scaled = shop.scaled()
-    centroids, _ = seg.fit_kmeans(seg.training_points(scaled).cache(), 4, restarts=3)
+    points = seg.training_points(scaled).persist()
+    centroids, _ = seg.fit_kmeans(points, 4, restarts=3)
+    points.unpersist()
     return seg.kmeans_assign(scaled, centroids).select("customer_id", "segment")
 
 
@@ -451,10 +453,10 @@ def silhouette_squared(shop: Shop) -> DataFrame:
 @query(places=6)
 def naive_quintile_silhouette(shop: Shop) -> DataFrame:
     """Score of the quintiles against that of the given centroids, and whether the centroids win."""
-    scaled = shop.scaled()
-    naive = silhouette(scaled, seg.SCALED, "naive_monetary_quintile").select("silhouette").scalar()
-    best = silhouette(seg.kmeans_assign(scaled, CENTROIDS), seg.SCALED, "segment").select("silhouette")
-    return best.select(F.col("silhouette").alias("clustered"), naive.alias("naive")).withColumn(
+    labelled = seg.kmeans_assign(shop.scaled(), CENTROIDS)
+    scores = silhouettes(labelled, seg.SCALED, ["segment", "naive_monetary_quintile"])
+    of = lambda name: F.max(F.when(F.col("labelling") == name, F.col("silhouette")))
+    return scores.agg(of("segment").alias("clustered"), of("naive_monetary_quintile").alias("naive")).withColumn(
         "beats_naive", F.col("clustered") > F.col("naive"))
 
 
@@ -562,28 +564,16 @@ def cox_hazard_ratios(shop: Shop) -> DataFrame:
 
 # --- dashboard -----------------------------------------------------------------------------------
 
-def _segmented(shop: Shop) -> jobs.Segmentation:
-    """Quintiles as the segments, scored against themselves: every figure but the k search."""
-    scaled = shop.scaled()
-    score = silhouette(scaled, seg.SCALED, "segment").first().asDict()
-    named = materialize(scaled.select("customer_id", *seg.FEATURES).join(shop.quintiles(), "customer_id"), "segments")
-    return jobs.Segmentation(named, [], {"k": 5, **score}, score)
-
-
-def _parts(shop: Shop):
-    segmentation = _segmented(shop)
-    lapsed = jobs.churn(shop.tables, segmentation.segments, REFERENCE, HOME)
-    return segmentation, lapsed, jobs.forecast(shop.tables)
+def _parts(shop: Shop) -> tuple[jobs.Segmentation, jobs.Churn, jobs.Forecast]:
+    """The jobs behind the dashboard, with one k-means start per k."""
+    tables = shop.tables
+    segmentation = jobs.segment(tables, restarts=1)
+    return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables)
 
 
 @query()
 def dashboard_kpis(shop: Shop) -> DataFrame:
-    segmentation = _segmented(shop)
-    survival = materialize(shop.survival(), "survival")
-    threshold = intervals.churn_threshold(intervals.purchase_intervals(shop.invoices)).first()[1]
-    return doc.dashboard_kpis(
-        segmentation.segments, sv.churn_overview(survival), jobs.forecast(shop.tables).document, threshold,
-        5, segmentation.best["silhouette"], segmentation.naive["silhouette"])
+    return jobs.kpis(*_parts(shop))
 
 
 @query()

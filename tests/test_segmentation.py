@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.operators import segmentation as seg
-from basketlens.operators.silhouette import silhouette, summarise
+from basketlens.operators.silhouette import silhouette, silhouettes, summarise
 
 SCHEMA = "customer_id bigint, z_recency double, z_frequency double, z_monetary double, segment int"
 
@@ -46,7 +46,7 @@ def test_exact_silhouette_equals_all_pairs(spark):
 def test_bounds_hold_when_points_exceed_the_cells(spark, cells, width):
     x, labels = clouds(3000, 1)
     df = points(spark, x, labels).cache()
-    assert len(summarise(df, seg.SCALED, "segment", cells)) <= cells
+    assert len(summarise(df, seg.SCALED, ["segment"], cells)) <= cells
     row = silhouette(df, seg.SCALED, "segment", max_cells=cells).first()
     truth = brute_force(x, labels)
     assert row.silhouette_low <= truth <= row.silhouette_high
@@ -54,6 +54,18 @@ def test_bounds_hold_when_points_exceed_the_cells(spark, cells, width):
     assert abs(row.silhouette - truth) < 0.02 and row.points == 3000
 
 
+@pytest.mark.parametrize("cells", [16384, 300])
+def test_labellings_scored_together_equal_those_scored_alone(spark, cells):
+    x, labels = clouds(600, 6)
+    df = points(spark, x, labels).withColumn("half", (F.col("z_recency") > 0).cast("int")).cache()
+    both = {r.labelling: r for r in silhouettes(df, seg.SCALED, ["segment", "half"], cells).collect()}
+    for c, truth in (("segment", labels), ("half", (x[:, 0] > 0).astype(int))):
+        want = brute_force(x, truth)
+        assert both[c].silhouette_low - 1e-12 <= want <= both[c].silhouette_high + 1e-12
+        if cells > 600:
+            assert both[c].silhouette == pytest.approx(want)
+
+
 def test_squared_silhouette_and_single_cluster(spark):
     x, labels = clouds(200, 2)
     df = points(spark, x, labels)
