@@ -53,10 +53,10 @@ def scratch_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
     temporary folder: on a cluster that folder would exist on one machine alone.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if root:
         return root
-    context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
     if not context.master.startswith("local"):
