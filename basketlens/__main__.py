@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "all":
         jobs.run_all(spark, args.root, args.raw, restarts=args.restarts, home_country=args.home_country)
     else:
-        tables = store.read_tables(spark, args.root)
+        tables = jobs.collapsed(store.read_tables(spark, args.root))
         segmentation = jobs.segment(tables, restarts=args.restarts)
         ratios = cox.cox_hazard_ratios(
             store.read_report(spark, f"{args.root}/reports/cox_model_summary", cox.SUMMARY_SCHEMA))

@@ -18,6 +18,15 @@ def invoice_totals(items: DataFrame, *keys: str) -> DataFrame:
     return items.groupBy("invoice_no", *keys).agg(F.sum("line_total").alias("invoice_net_revenue"))
 
 
+def collapse_lines(items: DataFrame) -> DataFrame:
+    """One stored row per invoice, which the revenue operators take in place of the lines.
+
+    Features, lifecycles and sales series all start from invoice sums: a run of several of them
+    scans the lines once.
+    """
+    return materialize(items.groupBy("invoice_no").agg(F.sum("line_total").alias("line_total")), "invoice-totals")
+
+
 def invoice_revenue(invoices: DataFrame, items: DataFrame) -> DataFrame:
     """Net revenue of every invoice that has a customer and at least one line."""
     return (

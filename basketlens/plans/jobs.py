@@ -73,6 +73,11 @@ def load(spark: SparkSession, raw_path: str | list[str], root: str, **read_optio
     return {name: df.count() for name, df in store.read_tables(spark, root).items()}
 
 
+def collapsed(tables: Tables) -> Tables:
+    """The tables with the lines summed per invoice, for a run of several analyses."""
+    return {**tables, "invoice_items": rfm.collapse_lines(tables["invoice_items"])}
+
+
 def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg.RESTARTS,
             seed: int = seg.SEED) -> Segmentation:
     """RFM features, the best k-means clustering by silhouette, named clusters, and the naive baseline."""
@@ -155,7 +160,7 @@ def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = N
     """Every job in order; returns the dashboard document, also written below ``root``."""
     if raw_path is not None:
         load(spark, raw_path, root)
-    tables = store.read_tables(spark, root)
+    tables = collapsed(store.read_tables(spark, root))
     segmentation = segment(tables, ks, restarts)
     write_segmentation(segmentation, root)
     lapsed = churn(tables, segmentation.segments, home_country=home_country)

@@ -8,6 +8,7 @@ clusters (whose numbering and borders depend on the engine): "Quintile 1" .. "Qu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,8 +56,13 @@ class Shop:
     def cleaned(self) -> DataFrame:
         return cleaning.clean(self.typed)
 
-    def rfm(self) -> DataFrame:
-        return rfm.rfm_features(self.invoices, self.invoice_items)
+    @cached_property
+    def invoice_totals(self) -> DataFrame:
+        """Lines summed per invoice: for queries that need both features and lifecycles."""
+        return rfm.collapse_lines(self.invoice_items)
+
+    def rfm(self, items: DataFrame | None = None) -> DataFrame:
+        return rfm.rfm_features(self.invoices, self.invoice_items if items is None else items)
 
     def clustered(self) -> DataFrame:
         quintile = F.col("naive_monetary_quintile")
@@ -71,11 +77,11 @@ class Shop:
 
     def quintiles(self) -> DataFrame:
         label = F.concat(F.lit("Quintile "), F.col("naive_monetary_quintile").cast("string"))
-        return self.rfm().select("customer_id", label.alias("segment_label"))
+        return self.rfm(self.invoice_totals).select("customer_id", label.alias("segment_label"))
 
     def survival(self) -> DataFrame:
         threshold = intervals.churn_threshold(intervals.purchase_intervals(self.invoices)).first()[1]
-        lifecycle = materialize(sv.customer_lifecycle(self.invoices, self.invoice_items, self.customers), "lifecycle")
+        lifecycle = materialize(sv.customer_lifecycle(self.invoices, self.invoice_totals, self.customers), "lifecycle")
         return sv.survival_frame(lifecycle, self.quintiles(), threshold, HOME)
 
     def design(self) -> DataFrame:
@@ -393,11 +399,12 @@ def arima_normal_equations(shop: Shop) -> DataFrame:
         *[F.col("long_moment")[i].alias(f"moment_{i}") for i in range(5)])
 
 
-@query(places=0)
+@query(places=4)
 def seasonal_arima_forecast(shop: Shop) -> DataFrame:
     """Holdout forecasts of one monthly series per country and of the total."""
     every = shop.by_country().unionByName(shop.series("monthly"))
-    return fc.seasonal_arima_forecast(materialize(every, "series"), 12, 3)
+    forecasts = fc.seasonal_arima_forecast(materialize(every, "series"), 12, 3)
+    return forecasts.withColumn("forecast", F.round("forecast", 0))
 
 
 @query()
@@ -514,7 +521,10 @@ def km_median(shop: Shop) -> DataFrame:
 
 @query()
 def km_document(shop: Shop) -> DataFrame:
-    return sv.km_document(sv.km_curves(shop.survival()))
+    """Days and survival of each curve, as text so that any client compares them alike."""
+    document = sv.km_document(sv.km_curves(shop.survival()))
+    text = lambda c, kind: F.array_join(F.col(c).cast(f"array<{kind}>").cast("array<string>"), " ").alias(c)
+    return document.select("segment_label", "n", text("days", "int"), text("survival", "decimal(5,4)"))
 
 
 @query(places=6)
@@ -566,7 +576,7 @@ def cox_hazard_ratios(shop: Shop) -> DataFrame:
 
 def _parts(shop: Shop) -> tuple[jobs.Segmentation, jobs.Churn, jobs.Forecast]:
     """The jobs behind the dashboard, with one k-means start per k."""
-    tables = shop.tables
+    tables = jobs.collapsed(shop.tables)
     segmentation = jobs.segment(tables, restarts=1)
     return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables)
 

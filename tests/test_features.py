@@ -82,3 +82,22 @@ def test_no_window_over_all_invoices_of_a_customer(shop, at):
     invoices, _ = shop([(f"{d}-{n}", 1, at(d, n), []) for d in range(5) for n in range(20)])
     rows = intervals.purchase_intervals(invoices).collect()
     assert len(rows) == 99 and sum(r.days_since_prev_purchase for r in rows) == 4
+
+
+def test_results_hold_when_one_customer_and_one_invoice_dominate(spark, shop, at):
+    rng = random.Random(3)
+    rows = [(f"{'C' if n % 13 == 0 else ''}{n}", 1 if n % 2 else rng.randint(2, 60), at(rng.randint(0, 90), rng.randint(0, 5)),
+             [rng.randint(1, 9)] * (300 if n == 7 else 1)) for n in range(900)]
+    invoices, items = shop(rows)
+    lag = F.lag("invoice_date").over(W.partitionBy("customer_id").orderBy("invoice_date", "invoice_no"))
+    plain = invoices.filter("not is_cancellation").withColumn("p", lag).filter("p is not null").select(
+        "customer_id", "invoice_no", "invoice_date", F.datediff("invoice_date", "p"))
+    assert sorted(intervals.purchase_intervals(invoices).collect()) == sorted(plain.collect())
+
+    spend = {}
+    for no, customer, _, lines in rows:
+        total, purchases = spend.get(customer, (0, 0))
+        spend[customer] = (total + sum(lines), purchases + (not no.startswith("C")))
+    for lines in (items, rfm.collapse_lines(items)):
+        got = {r.customer_id: (r.monetary, r.frequency) for r in rfm.rfm_features(invoices, lines).collect()}
+        assert got == {c: v for c, v in spend.items() if v[1]}
