@@ -380,7 +380,8 @@ def forecast_errors(shop: Shop) -> DataFrame:
 
 @query(places=4)
 def backtest_table(shop: Shop) -> DataFrame:
-    return ts.backtest_table(ts.seasonal_naive(shop.series("monthly"), 12, 3))
+    naive = ts.seasonal_naive(shop.series("monthly"), 12, 3)
+    return ts.backtest_table(naive.withColumns({c: F.round(c, 4) for c in ("actual", "forecast")}))
 
 
 @query(places=4)
