@@ -1,4 +1,4 @@
-"""Every registered query against its SQL counterpart on the smallest tables, run whole."""
+"""Every registered query against its SQL counterpart, over whole tables."""
 
 import pytest
 
@@ -6,17 +6,16 @@ import check
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
+# The SQL takes plain Newton steps, which do not converge on the 21 events of the smallest tables.
+LARGER = {"cox_ph": "/root/testdata/sf0.01", "cox_summary": "/root/testdata/sf0.01",
+          "cox_hazard_ratios": "/root/testdata/sf0.01"}
 SLOW = {"choose_k", "kmeans_segments", "dashboard_document", "dashboard_kpis", "forecast_document"}
 
 
-@pytest.fixture(scope="module")
-def con():
-    return check.connect(SF)
-
-
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
-def test_query(spark, con, name):
-    good, note = check.compare(spark, con, SF, name)
+def test_query(spark, name):
+    folder = LARGER.get(name, SF)
+    good, note = check.compare(spark, check.connect(folder), folder, name)
     assert good is not False, note
 
 
