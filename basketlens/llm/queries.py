@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from basketlens.llm import exact_dedup
+import public_tokenizers
+
+from basketlens.llm import byte_bpe, exact_dedup
 from basketlens.llm.common import table
 
 
+def op3_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip_report(table(spark, sf_dir, "documents"),
+                                      public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
