@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from basketlens.llm import byte_bpe, exact_dedup
+from pyspark.sql import functions as F
+
+from basketlens.llm import byte_bpe, exact_dedup, html_text, neighbours, quality
 from basketlens.llm.common import table
 
 
@@ -13,13 +15,29 @@ def op3_byte_bpe(spark, sf_dir):
                                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_quality(spark, sf_dir):
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op10_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_quality": op4_quality,
+    "op6_html_text": op6_html_text,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_neighbours": op10_neighbours,
 }
 
 SQL = {
