@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, neighbours, quality
+from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, wordpiece
 from basketlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_quality(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_licenses(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -27,6 +31,11 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark, sf_dir):
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op10_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -35,8 +44,10 @@ def op10_neighbours(spark, sf_dir):
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op6_html_text": op6_html_text,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op10_neighbours": op10_neighbours,
 }
 
