@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, shingle_join, wordpiece
 from basketlens.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op8_token_counts(spark, sf_dir):
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op9_shingle_join(spark, sf_dir):
+    return shingle_join.similar_components(table(spark, sf_dir, "documents"), percent=90, width=3)
+
+
 def op10_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -48,6 +52,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_shingle_join": op9_shingle_join,
     "op10_neighbours": op10_neighbours,
 }
 
@@ -59,4 +64,21 @@ SQL = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
         from texts window same as (partition by t)""",
+    "op9_shingle_join": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as w
+            from documents),
+        starts as (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from words where len(w) > 0),
+        shingles as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') as s from starts),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        common as (select a.doc_id as a, b.doc_id as b, count(*) as c
+                   from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+        links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+                  where 100 * c >= 90 * (x.n + y.n - c)),
+        reached as (select doc_id, doc_id as other from words
+                    union select r.doc_id, l.b from reached r join links l on l.a = r.other)
+        select doc_id, coalesce(max(n), 0) as n_shingles, min(other) as component_id
+        from reached left join sizes using (doc_id) group by doc_id""",
 }
