@@ -6,10 +6,14 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, shingle_join, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, shingle_join, substring_dedup, wordpiece
 from basketlens.llm.common import table
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip_report(table(spark, sf_dir, "documents"),
                                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -46,6 +50,7 @@ def op10_neighbours(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
@@ -57,6 +62,20 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_substring_dedup": r"""
+        with words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        starts as (select doc_id, unnest(range(1, len(w) - 33)) as i from words where len(w) >= 35),
+        windows as (select s.doc_id, s.i, array_to_string(w.w[s.i:s.i + 34], ' ') as text
+                    from starts s join words w using (doc_id)),
+        repeated as (select text from windows group by text having count(*) > 1),
+        covered as (select distinct doc_id, unnest(range(i, i + 35)) as i from windows join repeated using (text)),
+        places as (select doc_id, unnest(range(1, len(w) + 1)) as i from words),
+        kept as (select p.doc_id, count(*) as n, array_to_string(list(w.w[p.i] order by p.i), ' ') as text
+                 from places p join words w using (doc_id) left join covered c on c.doc_id = p.doc_id and c.i = p.i
+                 where c.i is null group by p.doc_id)
+        select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+        from words left join kept using (doc_id)""",
     "op7_exact_dedup": r"""
         with texts as (
             select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
