@@ -6,10 +6,14 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, quality, shingle_join, substring_dedup, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, packing, quality, shingle_join, substring_dedup, wordpiece
 from basketlens.llm.common import table
 
 
+def op1_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_neighbours(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality": op4_quality,

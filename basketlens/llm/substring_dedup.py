@@ -15,6 +15,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,7 +137,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
 def _cut(text: bytes, spans: list | None) -> tuple[int, int, bytes]:
     """Words, removed words, and the kept words joined by one space."""
     words = text.split()  # of bytes: at \x20 and \x09-\x0D
-    if not spans:
+    if spans is None or not len(spans):
         return len(words), 0, b" ".join(words)
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, [s["start"] for s in spans], 1)
@@ -183,3 +184,23 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def substring_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
     return cut_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def drop_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+    """``docs`` with the text of affected rows replaced by their kept words, joined by one space, and n_chars with
+    it; other rows stay as they are. No row is dropped: a text of nothing but repeats becomes empty."""
+    prepare(docs.sparkSession)
+    spans = materialize(repeated_spans(_rows(docs, "doc_id", "text"), window, kmer), "repeated-spans")
+    spans = spans.select(F.col("doc_id").alias("__of"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("__of")) & (F.hash(text) == F.col("__mark")), "left")
+    kept = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(
+        F.pandas_udf(_kept, "string")(text, F.col("__spans")))
+    cut = joined.withColumn("text", kept).withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
+                                                     .otherwise(F.length("text").cast("long")))
+    return cut.select(*docs.columns)
+
+
+def _kept(text: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([t if s is None else _cut(t.encode("utf-8", "replace"), s)[2].decode("utf-8", "replace")
+                      for t, s in zip(text, spans)])
