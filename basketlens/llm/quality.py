@@ -181,18 +181,22 @@ def train(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) -> Net:
     return fit([(r.text.encode("utf-8", "replace"), int(r["__quality"] == 1)) for r in rows], settings)
 
 
+def probabilities(net: Net, column: pa.Array) -> np.ndarray:
+    data, offsets = flat(column)
+    found = [net.forward(lay_out(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]))
+             for a, b in pieces(offsets, 1 << 19)]
+    logit = np.concatenate(found).astype(np.float64) if found else np.zeros(0)
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+
+
 def score(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) for every row. A null text is empty, and an empty text has a score like any other: that of
     a chunk without bytes. Rows map one to one, repeated ones too; other columns play no part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = Net({k: v.copy() for k, v in shared.value.items()})
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            found = [local.forward(lay_out(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]))
-                     for a, b in pieces(offsets, 1 << 19)]
-            logit = np.concatenate(found).astype(np.float64) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(logit, -500, 500))))],
-                                             ["doc_id", "score"])
+            found = pa.array(probabilities(local, batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "score"])
 
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net.w)  # a few thousand numbers
@@ -207,6 +211,12 @@ def quality_report(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) -> DataFrame:
-    """``docs`` without the rows that the network rejects; columns stay as they are."""
-    bad = score(docs, train(docs, labels, settings)).where("score < 0.5").select(F.col("doc_id").alias("__bad_id"))
-    return docs.join(bad.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("__bad_id")), "left_anti")
+    """``docs`` without the rows that the network rejects; rows and columns stay as they are, and nothing is shuffled."""
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, settings).w)
+
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array(probabilities(Net({k: v.copy() for k, v in shared.value.items()}), column))
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.where(F.arrow_udf(run, "double")(text) >= 0.5)
