@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+# Keys, references and required columns of the four tables.
 PRIMARY_KEYS = {"customers": "customer_id", "products": "stock_code", "invoices": "invoice_no"}
 FOREIGN_KEYS = [
     ("invoices", "customer_id", "customers"),
