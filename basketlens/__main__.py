@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
         tables = jobs.collapsed(store.read_tables(spark, args.root))
         segmentation = jobs.segment(tables, restarts=args.restarts)
         ratios = cox.cox_hazard_ratios(
-            store.read_report(spark, f"{args.root}/reports/cox_model_summary", cox.SUMMARY_SCHEMA))
+            store.read_report(spark, f"{args.root}/reports/cox_model_summary", cox.CHECKED_SCHEMA))
         lapsed = jobs.churn(tables, store.read_segments(spark, args.root), home_country=args.home_country)
         document = jobs.dashboard(segmentation, lapsed, jobs.forecast(tables), ratios)
         store.write_document(document, f"{args.root}/reports/dashboard_data")

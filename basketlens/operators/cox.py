@@ -7,7 +7,11 @@ likelihood, its gradient and the information. The running sum has one row per di
 whole days: bounded by the days of history. The driver holds p + p(p+1)/2 + 1 numbers per step.
 
 Efron's inner sum runs over the deaths tied at one duration. Lapsed one-time buyers all die on day
-0, so that sum is cut into pieces of bounded length, which spread over tasks.
+0, so that sum is cut into pieces of bounded length; the pieces are dealt out by duration and piece
+before they are summed, since the running sum itself leaves all its rows in one partition.
+
+A fit that does not converge, or whose likelihood is not finite, is an error that names the
+covariates whose coefficients ran away.
 """
 
 from __future__ import annotations
@@ -25,13 +29,16 @@ from basketlens.operators.survival import GROUP
 
 COVARIATES = ["log_frequency", "avg_order_value_signed_log", "is_uk"]
 TIED_PIECE = 4096
-MAX_LEVELS = 50
+RUNAWAY = 25.0  # a coefficient or error of this size per standard deviation is a separated covariate, no estimate
+PIECE_PARTITIONS = 64  # an explicit number: adaptive execution would merge so few bytes into one task again
 
+# The columns of the summary file.
 SUMMARY_SCHEMA = (
     "`covariate` string, `coef` double, `exp(coef)` double, `se(coef)` double, `coef lower 95%` double, "
     "`coef upper 95%` double, `exp(coef) lower 95%` double, `exp(coef) upper 95%` double, `cmp to` double, "
     "`z` double, `p` double, `-log2(p)` double"
 )
+CHECKED_SCHEMA = f"{SUMMARY_SCHEMA}, `converged` boolean, `steps` int"
 
 
 def dummy_name(label: str) -> str:
@@ -42,15 +49,13 @@ def cox_design(survival: DataFrame, reference: str = CHAMPIONS, levels: Sequence
                covariates: Sequence[str] = COVARIATES) -> DataFrame:
     """Duration, event, covariates, and one indicator per segment other than the reference.
 
-    ``levels`` are looked up when not given; the reference must be among them.
+    ``levels`` are looked up when not given; the reference must be among them. Each level is a column, so
+    the names of the segments, not the customers, come to the driver.
     """
     if levels is None:
-        found = survival.select(GROUP).distinct().orderBy(GROUP).limit(MAX_LEVELS + 1).collect()
-        levels = [r[0] for r in found]
+        levels = [r[0] for r in survival.select(GROUP).distinct().orderBy(GROUP).collect()]
     if reference not in levels:
         raise ValueError(f"no customer is in the reference segment {reference!r}; segments are {list(levels)}")
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} segments")
     others = sorted(level for level in levels if level != reference)
     return survival.select(
         "duration", "event", *[F.col(c).cast("double").alias(c) for c in covariates],
@@ -95,7 +100,8 @@ def step_sums(design: DataFrame, columns: Sequence[str], beta: Sequence[float])
     # Efron: the l-th of d tied deaths sees the risk set less l/d of the dying, phi = r - (l/d) t.
     # Everything a step needs follows from six sums over l that do not depend on the covariates.
     pieces = deaths.selectExpr(
-        "*", f"explode(sequence(0L, cast(floor((d - 1) / {TIED_PIECE}) as bigint))) as piece")
+        "*", f"explode(sequence(0L, cast(floor((d - 1) / {TIED_PIECE}) as bigint))) as piece"
+    ).repartition(PIECE_PARTITIONS, "duration", "piece")
     ties = pieces.selectExpr("*", f"""
         aggregate(
           sequence(piece * {TIED_PIECE}, least(piece * {TIED_PIECE} + {TIED_PIECE} - 1, cast(d as bigint) - 1)),
@@ -133,10 +139,21 @@ def _unpack(row, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     return row["log_likelihood"], np.array(row["gradient"]), information
 
 
+def finite(*values) -> bool:
+    return all(value is not None and np.isfinite(value).all() for value in values)
+
+
+def diverged(columns: Sequence[str], beta: np.ndarray, steps: int) -> str:
+    worst = [c for c, b in zip(columns, beta) if abs(b) >= max(1.0, np.abs(beta).max() / 2)]
+    return (f"the Cox model does not converge: after {steps} steps the coefficients of {worst or list(columns)} still run "
+            "away. A covariate that separates the events, or repeats another, has no finite estimate")
+
+
 def cox_fit(design: DataFrame, tolerance: float = 1e-9, max_steps: int = 50) -> dict:
     """Coefficients and covariance by Newton's method, on covariates standardised for stability.
 
-    Pass a stored design; it is cached while the steps run.
+    Raises ``ArithmeticError`` where the likelihood has no finite maximum, as when a covariate separates
+    the events, or where ``max_steps`` do not reach it. Pass a stored design; it is cached while the steps run.
     """
     columns = covariates_of(design)
     stats = design.agg(
@@ -156,13 +173,20 @@ def cox_fit(design: DataFrame, tolerance: float = 1e-9, max_steps: int = 50) ->
         at = lambda beta: _unpack(step_sums(standard, columns, beta).first(), p)
         beta = np.zeros(p)
         likelihood, gradient, information = at(beta)
+        if not finite(likelihood, gradient, information):
+            raise ArithmeticError("the likelihood is not finite at zero; a covariate holds NaN or infinity")
         steps = 0
         converged = False
         while steps < max_steps and not converged:
-            move = np.linalg.solve(information, gradient)
+            try:
+                move = np.linalg.solve(information, gradient)
+            except np.linalg.LinAlgError:
+                raise ArithmeticError(diverged(columns, beta, steps)) from None
             after = at(beta + move)
-            while after[0] < likelihood - 1e-9 * abs(likelihood) and np.abs(move).max() > tolerance:
+            while not (finite(*after) and after[0] >= likelihood - 1e-9 * abs(likelihood)):
                 move = move / 2
+                if np.abs(move).max() <= tolerance:
+                    raise ArithmeticError(diverged(columns, beta, steps))
                 after = at(beta + move)
             beta = beta + move
             likelihood, gradient, information = after
@@ -170,6 +194,13 @@ def cox_fit(design: DataFrame, tolerance: float = 1e-9, max_steps: int = 50) ->
             converged = np.abs(move).max() < tolerance
     finally:
         standard.unpersist()
+    try:
+        errors = np.sqrt(np.diag(np.linalg.inv(information)))
+    except np.linalg.LinAlgError:
+        errors = np.full(p, np.inf)
+    # Per standard deviation of a covariate, neither may be this large unless the likelihood is flat out there.
+    if not converged or np.abs(beta).max() > RUNAWAY or not (errors < RUNAWAY).all():
+        raise ArithmeticError(diverged(columns, beta, steps))
     return {
         "columns": columns,
         "coef": beta / scale,
@@ -192,14 +223,20 @@ def cox_ph(design: DataFrame, **options) -> DataFrame:
 
 
 def cox_summary(fitted: DataFrame) -> DataFrame:
-    """Coefficients, hazard ratios, 95 % bounds and Wald tests, one row per covariate of ``cox_ph``."""
-    def line(covariate: str, coef: float, se: float) -> tuple:
-        low, high, z = coef - Z_95 * se, coef + Z_95 * se, coef / se
+    """Coefficients, hazard ratios, 95 % bounds and Wald tests, one row per covariate of ``cox_ph``.
+
+    ``converged`` and ``steps`` of the fit follow; a value beyond the doubles is an infinity.
+    """
+    def exp(x: float) -> float:
+        return float(np.exp(np.float64(min(x, 1000.0))))
+
+    def line(covariate: str, coef: float, se: float, converged: bool, steps: int) -> tuple:
+        low, high, z = coef - Z_95 * se, coef + Z_95 * se, coef / se if se else math.nan
         p = two_sided_p(z)
         bits = -math.log2(p) if p > 0 else math.inf
-        return covariate, coef, math.exp(coef), se, low, high, math.exp(low), math.exp(high), 0.0, z, p, bits
-    rows = [line(r.covariate, r.coef, r.se) for r in fitted.select("covariate", "coef", "se").collect()]
-    return fitted.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+        return covariate, coef, exp(coef), se, low, high, exp(low), exp(high), 0.0, z, p, bits, converged, steps
+    rows = [line(*r) for r in fitted.select("covariate", "coef", "se", "converged", "steps").collect()]
+    return fitted.sparkSession.createDataFrame(rows, CHECKED_SCHEMA)
 
 
 def cox_hazard_ratios(summary: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from basketlens.functions.special import Z_95, chi2_tail
 from basketlens.operators.rfm import invoice_totals
 
 HOME_COUNTRY = "United Kingdom"
-MAX_GROUPS = 50  # groups become columns of the log-rank table
 GROUP = "segment_label"
 
 
@@ -136,34 +135,34 @@ def km_document(curves: DataFrame, group: str = GROUP) -> DataFrame:
 def logrank(survival: DataFrame, group: str = GROUP) -> DataFrame:
     """Observed and expected deaths and the covariance of their difference, per group.
 
-    ``covariance`` lists the row's covariances in ascending order of the group names. Groups become
-    columns over one row per duration, so the risk set of every group is known at every death.
+    ``covariance`` lists the row's covariances in ascending order of the group names. The table is long, one
+    row per group and day with a death, so any number of groups will do. Work and output are groups x groups
+    x days at most: a statistic over groups, whose count does not grow with the customers.
     """
-    names = [r[0] for r in survival.select(group).distinct().orderBy(group).limit(MAX_GROUPS + 1).collect()]
-    if not 2 <= len(names) <= MAX_GROUPS:
-        raise ValueError(f"a log-rank test takes 2 to {MAX_GROUPS} groups")
-    ids = range(len(names))
-    of = lambda i, c: F.coalesce(F.sum(F.when(F.col(group) == names[i], F.col(c))), F.lit(0))
-    per_time = event_table(survival, group).groupBy("duration").agg(
-        F.sum("deaths").alias("d"), F.sum("exits").alias("x"),
-        *[of(i, "deaths").alias(f"d{i}") for i in ids], *[of(i, "exits").alias(f"x{i}") for i in ids])
-    # One row per day of history, counted down from the longest duration.
+    events = event_table(survival, group)
+    days = events.groupBy("duration").agg(F.sum("deaths").alias("d"), F.sum("exits").alias("x"))
+    # One row per day of history, and per group and day, counted down from the longest duration.
     onward = W.orderBy(F.col("duration").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    at_risk = per_time.select(
-        "d", *[f"d{i}" for i in ids], F.sum("x").over(onward).alias("n"),
-        *[F.sum(f"x{i}").over(onward).alias(f"n{i}") for i in ids],
-    ).filter("d > 0")
-    spread = "case when n > 1 then d * (n - d) / (n - 1) else 0 end"
-    cell = lambda i, j: F.expr(f"sum(({spread}) * (n{i} / n) * ({int(i == j)} - n{j} / n))")
-    rows = at_risk.agg(F.array(*[
-        F.struct(
-            F.lit(names[i]).alias(group),
-            F.sum(f"d{i}").alias("observed"),
-            F.sum(F.expr(f"d * n{i} / n")).alias("expected"),
-            F.array(*[cell(i, j) for j in ids]).alias("covariance"),
-        ) for i in ids
-    ]).alias("groups"))
-    return rows.select(F.inline("groups"))
+    own = W.partitionBy(group).orderBy(F.col("duration").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    deadly = days.withColumn("n", F.sum("x").over(onward)).where("d > 0").select("duration", "d", "n")
+    # Deaths and exits of each group as steps; a group's risk set on a day is carried from its next later exit.
+    names = events.agg(F.collect_set(group)).scalar()
+    grid = deadly.select("duration", F.explode(names).alias(group))  # groups x days
+    held = (grid.join(events, [group, "duration"], "full")
+            .select(group, "duration", F.coalesce("deaths", F.lit(0)).alias("dead"), F.coalesce("exits", F.lit(0)).alias("gone"))
+            .withColumn("at_risk", F.sum("gone").over(own)))
+    risk = held.join(deadly, "duration").withColumns({
+        "share": F.col("at_risk") / F.col("n"),
+        "spread": F.when(F.col("n") > 1, F.col("d") * (F.col("n") - F.col("d")) / (F.col("n") - 1)).otherwise(0.0)})
+    totals = risk.groupBy(group).agg(F.sum("dead").alias("observed"), F.sum(F.col("d") * F.col("share")).alias("expected"),
+                                     F.sum(F.col("spread") * F.col("share")).alias("own"))
+    other = risk.where("at_risk > 0").select("duration", F.col(group).alias("other"), F.col("share").alias("other_share"))
+    crossed = (risk.where("at_risk > 0").join(other, "duration").groupBy(group, "other")
+               .agg(F.sum(F.col("spread") * F.col("share") * F.col("other_share")).alias("crossed")))
+    pairs = totals.select("*", F.explode(names).alias("other")).join(crossed, [group, "other"], "left")
+    cell = F.when(F.col(group) == F.col("other"), F.col("own")).otherwise(0.0) - F.coalesce("crossed", F.lit(0.0))
+    ordered = F.sort_array(F.collect_list(F.struct("other", cell.alias("v"))))
+    return pairs.groupBy(group, "observed", "expected").agg(F.transform(ordered, lambda c: c["v"]).alias("covariance"))
 
 
 @F.pandas_udf(T.StructType([T.StructField("statistic", T.DoubleType()), T.StructField("degrees", T.IntegerType()),
@@ -171,6 +170,8 @@ def logrank(survival: DataFrame, group: str = GROUP) -> DataFrame:
 def _logrank_statistic(difference: pd.Series, covariance: pd.Series) -> pd.DataFrame:
     def one(z, v):
         z, v = np.asarray(z, float)[:-1], np.vstack(v).astype(float)[:-1, :-1]
+        if not len(z):
+            return 0.0, 0, 1.0  # a single group differs from nothing
         x = float(z @ np.linalg.pinv(v) @ z)
         return x, len(z), chi2_tail(x, len(z))
     return pd.DataFrame([one(z, v) for z, v in zip(difference, covariance)],

@@ -562,7 +562,7 @@ def cox_ph(shop: Shop) -> DataFrame:
 
 @query(places=6)
 def cox_summary(shop: Shop) -> DataFrame:
-    return cox.cox_summary(cox.cox_ph(materialize(shop.design(), "design")))
+    return cox.cox_summary(cox.cox_ph(materialize(shop.design(), "design"))).drop("steps")
 
 
 @query()
@@ -570,7 +570,7 @@ def cox_hazard_ratios(shop: Shop) -> DataFrame:
     """Through the stored CSV report, as the dashboard reads it."""
     path = scratch_path(shop.spark, "cox")
     store.write_report(cox.cox_summary(cox.cox_ph(materialize(shop.design(), "design"))), path)
-    return cox.cox_hazard_ratios(store.read_report(shop.spark, path, cox.SUMMARY_SCHEMA))
+    return cox.cox_hazard_ratios(store.read_report(shop.spark, path, cox.CHECKED_SCHEMA))
 
 
 # --- dashboard -----------------------------------------------------------------------------------

@@ -86,8 +86,20 @@ def test_logrank_with_ties_across_groups_and_missing_times(spark):
     test = sv.logrank_test(table).first()
     assert test.statistic == pytest.approx(statistic) and test.degrees == 2
     assert test.p_value == pytest.approx(math.exp(-statistic / 2))
-    with pytest.raises(ValueError):
-        sv.logrank(frame(spark, [("a", 1, 1)]))
+    single = sv.logrank_test(sv.logrank(frame(spark, [("a", 1, 1), ("a", 2, 0)]))).first()
+    assert (single.statistic, single.degrees, single.p_value, single.differs) == (0.0, 0, 1.0, False)
+
+
+def test_logrank_of_sixty_groups(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"g{i % 60:02d}", int(rng.integers(0, 9)), int(rng.random() < 0.7)) for i in range(400)]
+    z, v, statistic = brute_logrank(rows)
+    table = sv.logrank(frame(spark, rows))
+    got = table.orderBy("segment_label").collect()
+    assert [r.observed - r.expected for r in got] == pytest.approx(list(z))
+    assert np.array([r.covariance for r in got]) == pytest.approx(v)
+    test = sv.logrank_test(table).first()
+    assert test.degrees == 59 and test.statistic == pytest.approx(statistic)
 
 
 @pytest.mark.parametrize("degrees, point", [(1, 3.841459), (2, 5.991465), (3, 7.814728), (4, 9.487729), (9, 16.918978)])
@@ -151,6 +163,29 @@ def test_fit_reaches_the_optimum_and_ignores_shifts(sample):
     assert shifted["coef"] == pytest.approx(fit["coef"], rel=1e-6)
 
 
+def test_tied_deaths_are_dealt_out_before_they_are_summed(sample):
+    plan = cox.step_sums(sample[3], ["a", "b"], [0.0, 0.0])._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Generate explode" in line or "Exchange hashpartitioning(duration" in line
+             and "piece" in line]
+    assert "Exchange" in lines[0] and "Generate" in lines[1] and str(cox.PIECE_PARTITIONS) in lines[0]
+
+
+def test_divergent_fits_are_errors(spark):
+    apart = [(d, 1, 0.0) for d in range(1, 15)] + [(30, 0, 1.0)] * 15
+    with pytest.raises(ArithmeticError, match="'x'"):
+        cox.cox_fit(spark.createDataFrame(apart, "duration int, event int, x double"))
+    broken = [(1, 1, 0.5), (2, 0, float("nan")), (3, 1, 1.5)]
+    with pytest.raises(ArithmeticError, match="not finite"):
+        cox.cox_fit(spark.createDataFrame(broken, "duration int, event int, x double"))
+
+
+def test_summary_of_extreme_coefficients_has_infinities(spark):
+    fitted = spark.createDataFrame([("x", 900.0, 0.1, -1.0, True, 9)],
+                                   "covariate string, coef double, se double, log_likelihood double, converged boolean, steps int")
+    row = cox.cox_summary(fitted).first()
+    assert row["exp(coef)"] == math.inf and row.converged and row.steps == 9
+
+
 def test_summary_columns_and_arithmetic(spark, sample):
     summary = cox.cox_summary(cox.cox_ph(sample[3]))
     assert summary.columns[:4] == ["covariate", "coef", "exp(coef)", "se(coef)"]
