@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -11,11 +13,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from basketlens.functions.scalars import signed_log
-from basketlens.operators.silhouette import silhouettes
+from basketlens.operators.silhouette import BOXES, silhouettes
 
 FEATURES = ["recency_days", "frequency", "monetary"]
 SCALED = ["z_recency", "z_frequency", "z_monetary"]
-POINTS_PER_TASK = 50_000
+PARTITIONS = 8  # of the training points, at every size: k-means gives another answer on another layout
+FITS_AT_ONCE = 4
 
 # Search range, seed and restarts of the segmentation, and the segment names.
 K_RANGE = range(2, 9)
@@ -59,59 +62,108 @@ def kmeans_assign(scaled: DataFrame, centroids: Sequence[Sequence[float]], segme
     return scaled.withColumn(segment, (F.least(*reaches) if len(reaches) > 1 else reaches[0])["number"])
 
 
-def training_points(scaled: DataFrame) -> DataFrame:
-    """Feature vectors in a fixed layout: seeds alone do not fix k-means over differing partitions."""
-    most = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(most, 1 + scaled.count() // POINTS_PER_TASK)
+def training_points(scaled: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """Feature vectors in a fixed layout: seeds alone do not fix k-means over differing partitions.
+
+    The layout follows from ``partitions`` and the customer ids, not from the session or the number of rows.
+    A large base wants more partitions, and the same number whenever results are to be compared.
+    """
     laid_out = scaled.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
     return VectorAssembler(inputCols=SCALED, outputCol="features").transform(laid_out).select("features")
 
 
-def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> tuple[list, float]:
-    """Centroids and cost of the cheapest of several starts; centroids in ascending order."""
-    best = None
-    for start in range(seed, seed + restarts):
+def fit_all(points: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED) -> dict[int, tuple[list, float]]:
+    """For each k the centroids, in ascending order, and the cost of the cheapest of several starts.
+
+    Starts run a few at a time over the one cached frame; the first of equally cheap ones counts.
+    """
+    def fit(task: tuple[int, int]) -> tuple[list, float]:
+        k, start = task
         model = KMeans(k=k, seed=start, maxIter=300, tol=1e-4).fit(points)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (sorted([float(x) for x in center] for center in model.clusterCenters()), cost)
-    return best
+        return sorted([float(x) for x in center] for center in model.clusterCenters()), model.summary.trainingCost
+
+    tasks = [(k, start) for k in ks for start in range(seed, seed + restarts)]
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        fits = list(pool.map(fit, tasks))
+    return {k: min((f for (of, _), f in zip(tasks, fits) if of == k), key=lambda f: f[1]) for k in ks}
+
+
+def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> tuple[list, float]:
+    """``fit_all`` for a single k."""
+    return fit_all(points, [k], restarts, seed)[k]
+
+
+def kmeans_cost(scaled: DataFrame, centroids: Sequence[Sequence[float]]) -> float:
+    """Sum of squared distances to the nearest centroid."""
+    squares = [sum((F.col(c) - F.lit(float(x))) ** 2 for c, x in zip(SCALED, centroid)) for centroid in centroids]
+    return scaled.agg(F.sum(F.least(*squares) if len(squares) > 1 else squares[0])).first()[0]
 
 
 def kmeans_search(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-                  baseline: str | None = None) -> tuple[list[dict], dict | None]:
-    """Fit every k, then score all of them, and a ``baseline`` label column, in one pass over the points.
+                  baseline: str | None = None, given: Mapping[int, Sequence[Sequence[float]]] | None = None,
+                  partitions: int = PARTITIONS, boxes: int = BOXES) -> tuple[list[dict], dict | None]:
+    """Fit every k, or take the ``given`` centroids by k, then score all of them, and a ``baseline`` label column,
+    in one pass over the points.
 
-    Returns one dict per k with its centroids, cost and silhouette, and the score of the baseline.
+    Returns one dict per k with its centroids, cost, silhouette and its bounds, and the score of the baseline.
     """
-    points = training_points(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = {f"segment_{k}": (k, *fit_kmeans(points, k, restarts, seed)) for k in ks}
-    finally:
-        points.unpersist()
+    if given is None:
+        points = training_points(scaled, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fits = fit_all(points, ks, restarts, seed)
+        finally:
+            points.unpersist()
+    else:
+        fits = {k: (centroids, kmeans_cost(scaled, centroids)) for k, centroids in given.items()}
     labelled = scaled
-    for column, (_, centroids, _) in fits.items():
-        labelled = kmeans_assign(labelled, centroids, column)
-    scored = silhouettes(labelled, SCALED, [*fits, *([baseline] if baseline else [])]).collect()
-    scores = {row["labelling"]: row.asDict() for row in scored}
-    search = [{"k": k, "centroids": centroids, "cost": cost, **scores[column]}
-              for column, (k, centroids, cost) in fits.items()]
+    for k, (centroids, _) in fits.items():
+        labelled = kmeans_assign(labelled, centroids, f"segment_{k}")
+    columns = [*(f"segment_{k}" for k in fits), *([baseline] if baseline else [])]
+    scores = {row["labelling"]: row.asDict() for row in silhouettes(labelled, SCALED, columns, boxes).collect()}
+    search = [{"k": k, "centroids": centroids, "cost": cost, **scores[f"segment_{k}"]}
+              for k, (centroids, cost) in fits.items()]
     return search, scores.get(baseline)
 
 
 def best_of(search: list[dict]) -> dict:
-    """Highest silhouette, the smallest k on a tie."""
-    return max(search, key=lambda fit: (fit["silhouette"], -fit["k"]))
-
-
-def choose_k(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED) -> DataFrame:
-    """One row per k with cost, silhouette, its bounds, and the choice."""
-    search, _ = kmeans_search(scaled, ks, restarts, seed)
-    chosen = best_of(search)["k"]
-    rows = [(f["k"], f["cost"], f["silhouette"], f["silhouette_low"], f["silhouette_high"], f["k"] == chosen)
-            for f in search]
-    schema = "k int, cost double, silhouette double, silhouette_low double, silhouette_high double, chosen boolean"
-    return scaled.sparkSession.createDataFrame(rows, schema)
+    """Highest estimated silhouette, the smallest k on a tie.
+
+    ``decided`` tells whether its lower bound is above the upper bounds of all others.
+    """
+    best = max(search, key=lambda fit: (fit["silhouette"], -fit["k"]))
+    others = [fit["silhouette_high"] for fit in search if fit["k"] != best["k"]]
+    return {**best, "decided": all(best["silhouette_low"] > high for high in others)}
+
+
+SEARCH = "k int, cost double, silhouette double, silhouette_low double, silhouette_high double, chosen boolean, decided boolean"
+
+
+def search_rows(search: list[dict]) -> list[tuple]:
+    best = best_of(search)
+    return [(f["k"], f["cost"], f["silhouette"], f["silhouette_low"], f["silhouette_high"], f["k"] == best["k"],
+             best["decided"]) for f in search]
+
+
+def choose_k(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
+             given: Mapping[int, Sequence[Sequence[float]]] | None = None) -> DataFrame:
+    """One row per k with cost, silhouette, its bounds, the choice, and whether the bounds decide it."""
+    search, _ = kmeans_search(scaled, ks, restarts, seed, given=given)
+    return scaled.sparkSession.createDataFrame(search_rows(search), SEARCH)
+
+
+def kmeans_invariants(scaled: DataFrame, centroids: Sequence[Sequence[float]], cost: float,
+                      rivals: Sequence[Sequence[float]], tolerance: float = 1e-3) -> DataFrame:
+    """What any good fit has, as one row: all customers labelled, each at its nearest centroid, centroids that a
+    further step doesn't move beyond ``tolerance``, a cost not above that of the ``rivals``."""
+    labelled = kmeans_assign(scaled, centroids)
+    squares = F.array(*[sum((F.col(c) - F.lit(float(x))) ** 2 for c, x in zip(SCALED, centroid)) for centroid in centroids])
+    sums = labelled.agg(F.count("segment").alias("labelled"),
+                        F.bool_and(F.get(squares, "segment") <= F.array_min(squares)).alias("nearest")).first()
+    means = labelled.groupBy("segment").agg(*[F.avg(c).alias(c) for c in SCALED]).collect()
+    moved = max(float(np.abs(np.array([r[c] for c in SCALED]) - np.array(centroids[r["segment"]])).max()) for r in means)
+    row = (sums["labelled"], sums["nearest"], len(means) == len(centroids) and moved <= tolerance,
+           cost <= kmeans_cost(scaled, rivals) * (1 + 1e-9))
+    return scaled.sparkSession.createDataFrame([row], "labelled bigint, nearest boolean, settled boolean, cheap boolean")
 
 
 def silhouette_squared(labelled: DataFrame, segment: str = "segment") -> DataFrame:

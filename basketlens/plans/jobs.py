@@ -78,12 +78,14 @@ def collapsed(tables: Tables) -> Tables:
     return {**tables, "invoice_items": rfm.collapse_lines(tables["invoice_items"])}
 
 
-def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg.RESTARTS,
-            seed: int = seg.SEED) -> Segmentation:
-    """RFM features, the best k-means clustering by silhouette, named clusters, and the naive baseline."""
+def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg.RESTARTS, seed: int = seg.SEED,
+            given: Mapping[int, Sequence[Sequence[float]]] | None = None, partitions: int = seg.PARTITIONS) -> Segmentation:
+    """RFM features, the best k-means clustering by silhouette, named clusters, and the naive baseline.
+
+    ``given`` centroids by k are scored as they are, in place of a fit."""
     features = materialize(rfm.rfm_features(tables["invoices"], tables["invoice_items"]), "rfm")
     scaled = materialize(seg.scaled_features(features), "scaled")
-    search, naive = seg.kmeans_search(scaled, ks, restarts, seed, baseline="naive_monetary_quintile")
+    search, naive = seg.kmeans_search(scaled, ks, restarts, seed, "naive_monetary_quintile", given, partitions)
     best = seg.best_of(search)
     assigned = seg.kmeans_assign(scaled, best["centroids"]).drop(*seg.SCALED)
     named = seg.segment_labels(assigned, rfm.rfm_medians(features).first())
@@ -133,9 +135,8 @@ def dashboard(segmentation: Segmentation, lapsed: Churn, sales: Forecast, ratios
 def write_segmentation(result: Segmentation, root: str) -> None:
     store.write_segments(result.segments, root)
     spark = result.segments.sparkSession
-    scores = [(f["k"], f["silhouette"], f["k"] == result.best["k"]) for f in result.search]
-    store.write_report(spark.createDataFrame(scores, "k int, silhouette double, chosen boolean").orderBy("k"),
-                       f"{root}/reports/silhouette_by_k")
+    scores = spark.createDataFrame(seg.search_rows(result.search), seg.SEARCH)
+    store.write_report(scores.orderBy("k"), f"{root}/reports/silhouette_by_k")
     store.write_report(seg.segment_profile(result.segments).orderBy("segment"), f"{root}/reports/segment_profile")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketlens.functions.scalars import signed_log
 from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
 from basketlens.operators import series as ts, survival as sv
-from basketlens.operators.silhouette import silhouette, silhouettes
+from basketlens.operators.silhouette import silhouette as silhouette_of, silhouettes
 from basketlens.plans import jobs
 from basketlens.session import materialize, scratch_path, ship_package
 from basketlens.sources import raw as raw_source, tables as store
@@ -23,6 +23,9 @@ from catalog.star_schema import load
 
 HOME = "NATION_0"
 REFERENCE = "Quintile 5"
+# Centroids by k that stand in for fits, so that SQL can follow the choice of k; spread along a line.
+GIVEN = {k: [[-1.2 + 2.6 * i / (k - 1), 1.1 - 2.2 * i / (k - 1) + 0.3 * (i % 2), 0.8 - 1.9 * i / (k - 1)] for i in range(k)]
+         for k in seg.K_RANGE}
 CENTROIDS = [[-0.8, 0.9, 0.6], [0.1, 0.0, 0.2], [1.5, -1.2, -0.7], [0.4, -2.5, -4.0]]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -434,23 +437,29 @@ def kmeans_assign(shop: Shop) -> DataFrame:
 
 @query()
 def kmeans_segments(shop: Shop) -> DataFrame:
-    """Best of three starts for four clusters; clusters numbered by ascending centroid."""
+    """The full search, ten starts for each k; what the chosen fit has to fulfil, as one row."""
     scaled = shop.scaled()
-    points = seg.training_points(scaled).persist()
-    centroids, _ = seg.fit_kmeans(points, 4, restarts=3)
-    points.unpersist()
-    return seg.kmeans_assign(scaled, centroids).select("customer_id", "segment")
+    best = seg.best_of(seg.kmeans_search(scaled)[0])
+    return seg.kmeans_invariants(scaled, best["centroids"], best["cost"], GIVEN[best["k"]])
 
 
-@query()
+@query(places=6)
 def choose_k(shop: Shop) -> DataFrame:
-    return seg.choose_k(shop.scaled(), restarts=2)
+    """Scores of given centroids for each k, with the choice and whether the bounds decide it."""
+    return seg.choose_k(shop.scaled(), given=GIVEN)
 
 
 @query(places=6)
-def silhouette_exact(shop: Shop) -> DataFrame:
+def silhouette(shop: Shop) -> DataFrame:
     """Euclidean silhouette of the spend quintiles, with its bounds."""
-    return silhouette(shop.scaled(), seg.SCALED, "segment")
+    return silhouette_of(shop.scaled(), seg.SCALED, "segment")
+
+
+@query(places=6)
+def silhouette_within_bounds(shop: Shop) -> DataFrame:
+    """The bounds, which hold the score over all pairs; SQL computes that score."""
+    return silhouette_of(shop.scaled(), seg.SCALED, "segment").select(
+        "silhouette_low", "silhouette_high", F.lit(True).alias("within"))
 
 
 @query(places=6)
@@ -463,9 +472,12 @@ def naive_quintile_silhouette(shop: Shop) -> DataFrame:
     """Score of the quintiles against that of the given centroids, and whether the centroids win."""
     labelled = seg.kmeans_assign(shop.scaled(), CENTROIDS)
     scores = silhouettes(labelled, seg.SCALED, ["segment", "naive_monetary_quintile"])
-    of = lambda name: F.max(F.when(F.col("labelling") == name, F.col("silhouette")))
-    return scores.agg(of("segment").alias("clustered"), of("naive_monetary_quintile").alias("naive")).withColumn(
-        "beats_naive", F.col("clustered") > F.col("naive"))
+    of = lambda name, column="silhouette": F.max(F.when(F.col("labelling") == name, F.col(column)))
+    return scores.agg(
+        of("segment").alias("clustered"), of("naive_monetary_quintile").alias("naive"),
+        (of("segment") > of("naive_monetary_quintile")).alias("beats_naive"),
+        ((of("segment", "silhouette_low") > of("naive_monetary_quintile", "silhouette_high"))
+         | (of("segment", "silhouette_high") < of("naive_monetary_quintile", "silhouette_low"))).alias("decided"))
 
 
 @query(places=4)

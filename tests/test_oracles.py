@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 # The SQL takes plain Newton steps, which do not converge on the 21 events of the smallest tables.
 LARGER = {"cox_ph": "/root/testdata/sf0.01", "cox_summary": "/root/testdata/sf0.01",
           "cox_hazard_ratios": "/root/testdata/sf0.01"}
-SLOW = {"choose_k", "kmeans_segments", "dashboard_document", "dashboard_kpis", "forecast_document"}
+SLOW = {"dashboard_document", "dashboard_kpis", "forecast_document"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.operators import segmentation as seg
-from basketlens.operators.silhouette import silhouette, silhouettes, summarise
+from basketlens.operators.silhouette import cells, silhouette, silhouettes
 
 SCHEMA = "customer_id bigint, z_recency double, z_frequency double, z_monetary double, segment int"
 
@@ -34,36 +34,27 @@ def clouds(n, seed=0):
     return rng.normal(size=(n, 3)) + labels[:, None] * 1.5, labels
 
 
-def test_exact_silhouette_equals_all_pairs(spark):
-    x, labels = clouds(300)
+@pytest.mark.parametrize("n, boxes, width", [(40, 16, 0.3), (300, 4, 0.7), (3000, 8, 0.4), (3000, 16, 0.2), (3000, 40, 0.1)])
+def test_bounds_hold_the_score_of_all_pairs(spark, n, boxes, width):
+    x, labels = clouds(n, n + boxes)
     x[5], labels[7] = x[4], 9      # two identical points, one point alone in its cluster
-    row = silhouette(points(spark, x, labels), seg.SCALED, "segment").first()
-    assert row.silhouette == pytest.approx(brute_force(x, labels), abs=1e-12)
-    assert row.silhouette == row.silhouette_low == row.silhouette_high and row.points == 300
-
-
-@pytest.mark.parametrize("cells, width", [(100, 0.5), (1000, 0.2), (2500, 0.1)])
-def test_bounds_hold_when_points_exceed_the_cells(spark, cells, width):
-    x, labels = clouds(3000, 1)
     df = points(spark, x, labels).cache()
-    assert len(summarise(df, seg.SCALED, ["segment"], cells)) <= cells
-    row = silhouette(df, seg.SCALED, "segment", max_cells=cells).first()
+    assert cells(df, seg.SCALED, ["segment"], boxes).groupBy("cluster").count().agg(F.max("count")).first()[0] <= boxes ** 3
+    row = silhouette(df, seg.SCALED, "segment", boxes).first()
     truth = brute_force(x, labels)
     assert row.silhouette_low <= truth <= row.silhouette_high
     assert row.silhouette_high - row.silhouette_low < width
-    assert abs(row.silhouette - truth) < 0.02 and row.points == 3000
+    assert abs(row.silhouette - truth) < 0.02 and row.points == n
 
 
-@pytest.mark.parametrize("cells", [16384, 300])
-def test_labellings_scored_together_equal_those_scored_alone(spark, cells):
+def test_labellings_scored_together_equal_those_scored_alone(spark):
     x, labels = clouds(600, 6)
     df = points(spark, x, labels).withColumn("half", (F.col("z_recency") > 0).cast("int")).cache()
-    both = {r.labelling: r for r in silhouettes(df, seg.SCALED, ["segment", "half"], cells).collect()}
+    both = {r.labelling: r for r in silhouettes(df, seg.SCALED, ["segment", "half"]).collect()}
     for c, truth in (("segment", labels), ("half", (x[:, 0] > 0).astype(int))):
-        want = brute_force(x, truth)
-        assert both[c].silhouette_low - 1e-12 <= want <= both[c].silhouette_high + 1e-12
-        if cells > 600:
-            assert both[c].silhouette == pytest.approx(want)
+        alone = silhouette(df, seg.SCALED, c).first()
+        assert [both[c][f] for f in alone.asDict()] == pytest.approx(list(alone))
+        assert both[c].silhouette_low <= brute_force(x, truth) <= both[c].silhouette_high
 
 
 def test_squared_silhouette_and_single_cluster(spark):
@@ -99,10 +90,28 @@ def test_kmeans_finds_separated_clouds_and_k(spark):
     assert cost == pytest.approx(inertia)
 
 
+def test_kmeans_does_not_depend_on_the_session(spark):
+    x, labels = clouds(900, 11)
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for number in ("2", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", number)
+        found.append(seg.fit_kmeans(seg.training_points(points(spark, x, labels)), 4, restarts=2))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert np.array(found[0][0]) == pytest.approx(np.array(found[1][0]), abs=1e-12) and found[0][1] == pytest.approx(found[1][1])
+    row = seg.kmeans_invariants(points(spark, x, labels), *found[0], rivals=[[0.0, 0, 0], [1, 1, 1], [2, 2, 2], [3, 3, 3]]).first()
+    assert tuple(row) == (900, True, True, True)
+    poor = seg.kmeans_invariants(points(spark, x, labels), [[0.0, 0, 0], [9, 9, 9]], 1e9, rivals=[[1.0, 1, 1]]).first()
+    assert tuple(poor)[2:] == (False, False)
+
+
 def test_ties_take_the_first_centroid_and_the_smallest_k(spark):
     df = points(spark, np.zeros((1, 3)), [5])
     assert seg.kmeans_assign(df, [[1.0, 0, 0], [-1.0, 0, 0]]).first().segment == 0
-    assert seg.best_of([{"k": 2, "silhouette": 0.4}, {"k": 3, "silhouette": 0.4}])["k"] == 2
+    score = lambda k, low, s, high: {"k": k, "silhouette": s, "silhouette_low": low, "silhouette_high": high}
+    tied = seg.best_of([score(2, 0.3, 0.4, 0.5), score(3, 0.3, 0.4, 0.5)])
+    assert tied["k"] == 2 and not tied["decided"]
+    assert seg.best_of([score(2, 0.1, 0.2, 0.3), score(3, 0.4, 0.45, 0.5)])["decided"]
 
 
 def test_every_label_rule(spark):
