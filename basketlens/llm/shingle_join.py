@@ -1,15 +1,17 @@
 """Documents whose sets of word shingles have a Jaccard similarity of at least a given per cent, and their components.
 
-Equal sets collapse into classes first. Sizes are cut into bands; in a band of sizes a set is cut, by a hash of its
-shingles, into more parts than two similar sets can differ in shingles, so two similar sets agree in a whole part.
-A class is posted under its parts; a post that no other class shares ends there. The others meet in tiles: sorted
-by size, compared by hashed bitmaps whose differing bits bound the overlap from above. What passes is joined into
-candidate components, whose sorted shingle arrays travel once and are intersected exactly, again tile by tile.
+Equal sets are one class. Sizes are cut into bands; in a band of sizes a set is cut, by a hash of its shingles,
+into more parts than two similar sets can differ in shingles, so two similar sets agree in a whole part. Classes
+are posted under their parts, many posts packed into one row; a post that no other class shares ends there. The
+others meet in tiles: sorted by size, compared by hashed bitmaps whose differing bits bound the overlap from above.
+What passes is joined into candidate components, whose sorted shingle arrays travel once and are intersected
+exactly, again tile by tile.
 
 Two classes in one tile that are already connected are not compared again, so a group of near copies costs about
 one comparison for each member, and only a spanning forest of links ever leaves a task.
 
-Shingles are 64-bit hashes of their words. Two that collide inside one pair of documents would count as equal.
+Shingles are 64-bit hashes of their words: two that collide inside one pair of documents would count as equal. Sets
+are told apart by 128-bit digests, and named by the first 64 bits while candidates are sought.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from basketlens.session import materialize
 BLOCK = 2048
 #: Bits of a bitmap, from the smallest to the largest sets.
 LEAST_BITS, MOST_BITS = 64, 4096
+#: Posts that a task packs at a time, and posts of one key among them from which on they go out as they are.
+PACKED_POSTS, FREQUENT = 2_000_000, 64
 #: Ways of cutting a set into parts that are tried in turn, where too many parts come out empty.
 LEVELS = 8
 
@@ -154,31 +158,107 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _classes(width: int, percent: int):
+def _name(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _rows(width: int, percent: int):
+    """For each text its set's digest, size and bitmap; sets that can only be similar to equal ones have no bitmap."""
     def run(batches):
         for batch, a, values, first in _sets(batches, width):
-            keys = posts(values, first, percent)
             sets = [values[i:j] for i, j in zip(first, first[1:])]
             known = bands(percent, max(map(len, sets), default=0))
-            bits = [bitmap(s, next(b.bits for b in known if b.low <= len(s) < b.high)) if len(k) else b""
-                    for s, k in zip(sets, keys)]
+            bits = [next((bitmap(s, b.bits) for b in known if b.low <= len(s) < b.high), None) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(a, len(sets)), pa.array(map(_digest, sets), pa.binary()),
-                pa.array(np.diff(first), pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
-            ], ["doc_id", "digest", "n", "posts", "bits"])
+                pa.array(np.diff(first), pa.int64()), pa.array(bits, pa.binary()),
+                pa.array([_name(_digest(s)) for s in sets], pa.int64())], ["doc_id", "digest", "n", "bits", "id"])
     return run
 
 
-def _members(width: int):
+PACKETS = pa.schema([("packet", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()),
+                     ("frequent", pa.bool_())])
+
+
+def _pack(keys: np.ndarray, ids: np.ndarray, packets: int, frequent: bool) -> Iterator[tuple]:
+    """One row for each packet: half of each key (the packet is the other half), grouped by set; names and counts of sets."""
+    number = (keys & np.uint64(0xFFFFFFFF)) % np.uint64(packets)
+    order = np.lexsort((ids, number))
+    number, keys, ids = number[order], (keys[order] >> np.uint64(32)).astype(np.uint32), ids[order]
+    cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]])) if len(keys) else []
+    for a, b in zip(cuts, cuts[1:]):
+        name, counts = np.unique(ids[a:b], return_counts=True)
+        yield int(number[a]), keys[a:b].tobytes(), name.tobytes(), counts.astype(np.uint32).tobytes(), frequent
+
+
+def _unpack(keys: bytes, ids: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(keys, np.uint32), np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.uint32))
+
+
+def _packets(width: int, percent: int, packets: int, most: int, often: int):
+    """Posts of a partition's sets, each set once, in packets. Keys that are frequent here are shared for sure: all
+    but a few of their posts skip the packet, so no packet grows with a group of near copies."""
+    def packed(held: list) -> pa.RecordBatch:
+        keys, ids = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(keys)))
+        beyond = np.repeat(size >= often, size) & (np.arange(len(keys)) - np.repeat(begin, size) >= 2)
+        rows = [*_pack(keys[~beyond], ids[~beyond], packets, False), *_pack(keys[beyond], ids[beyond], packets, True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKETS)], schema=PACKETS)
+
     def run(batches):
-        for batch, a, values, first in _sets(batches, width):
+        held, total, seen = [], 0, set()
+        for _, _, values, first in _sets(batches, width):
             sets = [values[i:j] for i, j in zip(first, first[1:])]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, len(sets)), pa.array(map(_digest, sets), pa.binary()),
-                pa.array(np.diff(first), pa.int64())], ["doc_id", "digest", "n_shingles"])
+            names = [_name(_digest(s)) for s in sets]
+            for name, keys in zip(names, posts(values, first, percent)):
+                if len(keys) and name not in seen:
+                    seen.add(name)
+                    held.append((keys.view(np.uint64), np.full(len(keys), name, np.int64)))
+                    total += len(keys)
+            if total >= most:
+                yield packed(held)
+                held, total = [], 0
+        if held:
+            yield packed(held)
     return run
 
 
+def _shared(batches):
+    """(grp, id) of the posts of one packet whose key at least two sets have; rows come sorted by packet, rare ones first."""
+    schema = pa.schema([("grp", pa.int64()), ("id", pa.int64())])
+
+    def out(packet, keys, ids):
+        return pa.RecordBatch.from_arrays([pa.array((np.int64(packet) << np.int64(32)) + keys.astype(np.int64)),
+                                           pa.array(ids)], schema=schema)
+
+    def met(packet, held):
+        keys, ids = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        end = np.append(begin[1:], len(keys))
+        several = np.repeat(ids[begin] != ids[end - 1], end - begin)
+        return out(packet, keys[several], ids[several])
+
+    at, held = None, []
+    for batch in batches:
+        for packet, keys, ids, counts, frequent in zip(*(c.to_pylist() for c in batch.columns)):
+            if packet != at and held:
+                yield met(at, held)
+                held = []
+            at = packet
+            if frequent:
+                yield out(packet, *_unpack(keys, ids, counts))
+            else:
+                held.append(_unpack(keys, ids, counts))
+    if held:
+        yield met(at, held)
+
+
 def _arrays(width: int):
     """Sorted shingles of candidate classes, from the text of one of their rows."""
     def run(batches):
@@ -277,32 +357,36 @@ def _linked(members: DataFrame, counts: DataFrame, percent: int, block: int, exa
 
 
 def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
-                       text_col: str = "text", block: int = BLOCK) -> DataFrame:
+                       text_col: str = "text", block: int = BLOCK, frequent: int = FREQUENT,
+                       packets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
     A-Z are lower-cased; words are `[^\\x20\\x09-\\x0D]+`; a text with fewer than ``width`` words has its whole word
     sequence as its one shingle. Rows link when 100 * intersection >= percent * union; ``component_id`` is the
     smallest id reachable by links, the row's own included. Texts without words, and nulls, have no shingles and
     link with nothing. Equal sets link whatever their ids; a component of null ids alone has a null component_id.
-    Repeated rows give repeated results; an empty table gives none; other columns are ignored.
+    Repeated rows give repeated results; an empty table gives none; other columns are ignored. ``packets`` is the
+    number of packets of posts, spark.sql.shuffle.partitions if that is more.
     """
     if not 50 < percent < 100:
         raise ValueError("percent has to lie between 50 and 100")
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     rows = texts(docs, id_col, text_col)
-    classes = (rows.mapInArrow(_classes(width, percent), "doc_id bigint, digest binary, n bigint, posts array<bigint>, "
-                                                         "bits binary").where("size(posts) > 0")
-               .groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-                                      F.first("posts").alias("posts"), F.first("bits").alias("bits")))
-    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    posted = classes.select("id", F.explode("posts").alias("grp"))
-    shared = (posted.select("grp", F.hash("grp", "id").alias("h")).groupBy("grp")
-              .agg(F.count(F.lit(1)).alias("m"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-              .where("lo <> hi").select("grp", "m"))
-    shared = materialize(shared, "shared-posts")
-    met = materialize(posted.join(shared.select("grp"), "grp"), "met-posts")
-    met = met.join(classes.select("id", "n", "bits"), "id")
-    found = components(_linked(met, shared, percent, block, exact=False), "candidates")
+    sets = materialize(rows.mapInArrow(_rows(width, percent), "doc_id bigint, digest binary, n bigint, bits binary, id bigint"), "sets")
+    packets = max(packets or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = rows.mapInArrow(_packets(width, percent, packets, PACKED_POSTS, frequent),
+                             "packet int, keys binary, ids binary, counts binary, frequent boolean")
+    met = packed.repartition(packets, "packet").sortWithinPartitions("packet", "frequent").mapInArrow(
+        _shared, "grp bigint, id bigint")
+    met = materialize(met, "shared-posts")
+    classes = (sets.where("bits is not null").groupBy("digest")
+               .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+                    F.first("id").alias("id")))
+    classes = materialize(classes, "classes")
+    counts = met.groupBy("grp").agg(F.count(F.lit(1)).alias("m"))
+    members = met.join(classes.select("id", "n", "bits"), "id")
+    found = components(_linked(members, counts, percent, block, exact=False), "candidates")
     found = materialize(found.withColumnRenamed("node", "id").withColumnRenamed("root", "grp"), "candidates")
     wanted = classes.select("id", "doc_id", "digest", "bits").join(found, "id").select(
         "id", F.col("doc_id").alias("rep"), "digest", "grp", "bits")
@@ -315,11 +399,11 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     least = roots.groupBy("root").agg(F.min("doc_id").alias("least"))
     roots = roots.join(least, "root").select("digest", "least")
     # Texts without shingles share a digest but link with nothing.
-    same = rows.mapInArrow(_members(width), "doc_id bigint, digest binary, n_shingles bigint")
-    least = same.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("own"))
-    named = least.join(roots, "digest", "left").select("digest", F.coalesce(F.least("own", "least"), "own").alias("least"))
-    return same.join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    own = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("own"))
+    named = own.join(roots, "digest", "left").select("digest", F.coalesce(F.least("own", "least"), "own").alias("least"))
+    return sets.join(named, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:

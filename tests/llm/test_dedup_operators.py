@@ -92,7 +92,7 @@ def brute_components(rows, percent, width):
 @pytest.mark.parametrize("percent, width, block", [(90, 3, 2048), (80, 5, 4), (80, 3, 3)])
 def test_shingle_components(spark, percent, width, block):
     rows = edited(random.Random(5)) + NOTHING
-    got = shingle_join.similar_components(frame(spark, rows), percent, width, block=block).collect()
+    got = shingle_join.similar_components(frame(spark, rows), percent, width, block=block, frequent=3 * block).collect()
     assert sorted(map(tuple, got), key=repr) == brute_components(rows, percent, width)
 
 
@@ -100,7 +100,7 @@ def test_shingle_join_of_one_large_group(spark):
     """Near copies that differ in one of two hundred words, around one text: all connected, none emitted in pairs."""
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(base[:i] + [f"other{i}"] + base[i + 1:])) for i in range(150)] + [(500, "something else entirely")]
-    got = shingle_join.similar_components(frame(spark, rows), 90, 3, block=16).collect()
+    got = shingle_join.similar_components(frame(spark, rows), 90, 3, block=16, frequent=4).collect()
     assert {r.component_id for r in got} == {0, 500}
     kept = shingle_join.one_of_each(frame(spark, rows), 90, 3)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 500]
