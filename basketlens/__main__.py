@@ -6,9 +6,10 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from basketlens.operators import cox
+from basketlens.operators import segmentation as seg
+from basketlens.operators.series import model_errors
 from basketlens.plans import jobs
-from basketlens.session import ship_package
+from basketlens.session import scratch, ship_package
 from basketlens.sources import tables as store
 
 
@@ -18,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the tables and reports")
     parser.add_argument("--raw", nargs="+", help="raw invoice lines (CSV)")
     parser.add_argument("--home-country", default="United Kingdom")
+    parser.add_argument("--partitions", type=int, default=seg.PARTITIONS, help="layout of the training points")
     parser.add_argument("--restarts", type=int, default=10, help="k-means starts per k")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"basketlens-{args.job}").getOrCreate()
@@ -25,31 +27,33 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.job in ("load", "all") and not args.raw:
         parser.error("--raw is required to load")
+    with scratch(spark):
+        run(spark, args)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "load":
         print(jobs.load(spark, args.raw, args.root))
-    elif args.job == "segment":
-        result = jobs.segment(store.read_tables(spark, args.root), restarts=args.restarts)
-        jobs.write_segmentation(result, args.root)
-        print({fit["k"]: round(fit["silhouette"], 4) for fit in result.search}, "beats naive:", result.beats_naive)
-    elif args.job == "churn":
-        segments = store.read_segments(spark, args.root)
-        result = jobs.churn(store.read_tables(spark, args.root), segments, home_country=args.home_country)
-        jobs.write_churn(result, args.root)
-        print("threshold:", result.threshold_days, result.test.first().asDict())
-    elif args.job == "forecast":
-        result = jobs.forecast(store.read_tables(spark, args.root))
-        jobs.write_forecast(result, args.root)
-        print(result.choice)
     elif args.job == "all":
         jobs.run_all(spark, args.root, args.raw, restarts=args.restarts, home_country=args.home_country)
+    elif args.job == "dashboard":
+        jobs.write_dashboard(spark, args.root, args.home_country)
     else:
-        tables = jobs.collapsed(store.read_tables(spark, args.root))
-        segmentation = jobs.segment(tables, restarts=args.restarts)
-        ratios = cox.cox_hazard_ratios(
-            store.read_report(spark, f"{args.root}/reports/cox_model_summary", cox.CHECKED_SCHEMA))
-        lapsed = jobs.churn(tables, store.read_segments(spark, args.root), home_country=args.home_country)
-        document = jobs.dashboard(segmentation, lapsed, jobs.forecast(tables), ratios)
-        store.write_document(document, f"{args.root}/reports/dashboard_data")
+        folder, tables = store.current(spark, args.root), store.read_tables(spark, args.root)
+        if args.job == "segment":
+            result = jobs.segment(tables, restarts=args.restarts, partitions=args.partitions)
+            jobs.write_segmentation(result, folder)
+            for k, _, score, low, high, chosen, decided in seg.search_rows(result.search):
+                print(f"k = {k}: {score:.4f} ({low:.4f} to {high:.4f})", "chosen" * chosen, "undecided" * (chosen and not decided))
+            print("beats naive:", result.beats_naive)
+        elif args.job == "churn":
+            result = jobs.churn(tables, store.read_segments(spark, folder), home_country=args.home_country)
+            jobs.write_churn(result, folder)
+            print("threshold:", result.threshold_days, result.test.first().asDict())
+        else:
+            result = jobs.forecast(tables)
+            jobs.write_forecast(result, folder)
+            print(result.choice, model_errors(result.backtest).first().asDict())
 
 
 if __name__ == "__main__":

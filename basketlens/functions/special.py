@@ -1,11 +1,9 @@
-"""Tail probabilities and small solves. Everything here works on a few numbers per test or series."""
+"""Tail probabilities. Everything here works on a few numbers per test."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-
 Z_95 = 1.959963984540054  # 97.5 % point of the standard normal
 
 
@@ -26,10 +24,3 @@ def chi2_tail(x: float, degrees: int) -> float:
 
 def two_sided_p(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
-
-
-def solve_scaled(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
-    """Least-squares solution of normal equations, scaled to a unit diagonal first."""
-    scale = np.sqrt(np.diag(gram))
-    scale[scale == 0] = 1.0
-    return np.linalg.lstsq(gram / np.outer(scale, scale), moment / scale, rcond=1e-12)[0] / scale

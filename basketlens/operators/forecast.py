@@ -1,9 +1,15 @@
-"""Seasonal ARIMA (1,1,1)(1,1,0) forecasts for many series at once.
+"""Seasonal ARIMA (1,1,1)(1,1,0) forecasts for many series at once, by one method at every length.
 
-The coefficients come from two least-squares regressions per series (Hannan and Rissanen, 1982): a
-long autoregression supplies residuals, which then stand in for the moving-average term. Sums of
-products are one grouped aggregate over all series; only the solve of a few numbers per series is
-done in numpy. It is not an exact-likelihood fit, so figures differ from one.
+With w the series differenced once by a step and once by a season of m, the model is
+
+    w_t = phi w_{t-1} + PHI w_{t-m} - phi PHI w_{t-m-1} + e_t + theta e_{t-1}
+
+It is fitted by conditional least squares: values before the first difference count as zero, and so does a term
+that a short history never sees. A long autoregression supplies residuals that stand in for e (Hannan and Rissanen,
+1982); then a fixed number of Gauss-Newton steps fits the three coefficients, the one of w_{t-m-1} tied to their
+product. Both work on sums of products, one grouped aggregate each over all series; numpy solves the few numbers of
+all series of a batch at once, with the solution of least norm where the sums leave a choice. It is not an
+exact-likelihood fit, so figures differ from one.
 """
 
 from __future__ import annotations
@@ -12,15 +18,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from basketlens.functions.special import solve_scaled
 from basketlens.operators.series import compact, cyclic, in_order, train_test_split
-from basketlens.session import materialize
+from basketlens.session import materialize, ship_package
 
-SPARE_ROWS = 4  # regression rows required beyond the number of coefficients
+STEPS = 6
+BOUND = 0.99  # of each coefficient: beyond it forecasts would grow without end
 LONG = ["w_1", "w_2", "w_3", "w_m", "w_m1"]
-LONG_PLAIN = ["w_1", "w_2", "w_3"]
-SEASONAL = ["w_1", "w_m", "w_m1", "e_1"]
-PLAIN = ["w_1", "e_1"]
+TERMS = ["w", "w_1", "w_m", "w_m1", "e_1"]
 
 
 def arima_differences(series: DataFrame, seasonal_period: int) -> DataFrame:
@@ -34,73 +38,91 @@ def arima_differences(series: DataFrame, seasonal_period: int) -> DataFrame:
 
 
 def normal_equations(regressors: list[str], name: str, target: str = "w") -> list[Column]:
-    """Aggregates of a regression: row count, flattened Gram matrix, moment vector."""
-    full = " and ".join(f"{c} is not null" for c in [target, *regressors])
-    total = lambda a, b: f"sum(case when {full} then {a} * {b} end)"
-    gram = ", ".join(total(a, b) for a in regressors for b in regressors)
-    moment = ", ".join(total(a, target) for a in regressors)
+    """Aggregates of a regression over the rows that have a target; a missing regressor counts as zero."""
+    of = lambda c: f"coalesce({c}, 0D)"
+    total = lambda a, b: f"sum(case when {target} is not null then {of(a)} * {of(b)} end)"
     return [
-        F.expr(f"count_if({full})").alias(f"{name}_rows"),
-        F.expr(f"array({gram})").alias(f"{name}_gram"),
-        F.expr(f"array({moment})").alias(f"{name}_moment"),
+        F.expr(f"count({target})").alias(f"{name}_rows"),
+        F.expr(f"array({', '.join(total(a, b) for a in regressors for b in regressors)})").alias(f"{name}_gram"),
+        F.expr(f"array({', '.join(total(a, target) for a in regressors)})").alias(f"{name}_moment"),
     ]
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def solve(gram: pd.Series, moment: pd.Series) -> pd.Series:
-    """Coefficients of one regression per row."""
-    def one(g, m):
-        m = np.asarray(m, dtype=float)
-        return solve_scaled(np.asarray(g, dtype=float).reshape(len(m), len(m)), m)
-    return pd.Series([None if g is None or pd.isna(g[0]) else one(g, m) for g, m in zip(gram, moment)], dtype=object)
+def solve_all(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
+    """Least-norm solutions of many systems (n, p, p) x (n, p), each scaled to a unit diagonal first."""
+    scale = np.sqrt(np.einsum("npp->np", gram))
+    scale = np.where(scale > 0, scale, 1.0)
+    inverse = np.linalg.pinv(gram / scale[:, :, None] / scale[:, None, :], rcond=1e-12, hermitian=True)
+    return np.einsum("npq,nq->np", inverse, moment / scale) / scale
+
+
+def gauss_newton(products: np.ndarray) -> np.ndarray:
+    """phi, PHI and theta of many series from the sums of products (n, 5, 5) of TERMS."""
+    n = len(products)
+    phi, season, theta = np.zeros((3, n))
+    one, zero = np.ones(n), np.zeros(n)
+    for _ in range(STEPS):
+        residual = np.stack([one, -phi, -season, phi * season, -theta], axis=1)
+        slopes = np.stack([np.stack(row, axis=1) for row in (
+            [zero, -one, zero, season, zero], [zero, zero, -one, phi, zero], [zero, zero, zero, zero, -one])], axis=1)
+        gram = slopes @ products @ slopes.transpose(0, 2, 1)
+        move = solve_all(gram, np.einsum("npt,ntu,nu->np", slopes, products, residual))
+        phi, season, theta = np.clip(np.stack([phi, season, theta]) - move.T, -BOUND, BOUND)
+    return np.stack([phi, season, theta], axis=1)
+
 
+def _known(*columns: pd.Series) -> np.ndarray:
+    return np.array([all(v is not None and not pd.isna(np.asarray(v, float)).any() for v in row) for row in zip(*columns)], bool)
 
-def _fit(rows: DataFrame, variants: dict[str, list[str]], *more: Column) -> DataFrame:
-    """Per series, the first variant with enough rows and its coefficients by name; one aggregate for all."""
-    sums = rows.groupBy("series_id").agg(
-        *[c for name, regressors in variants.items() for c in normal_equations(regressors, name)], *more)
-    tier, coef = F.lit(None), F.lit(None)
-    for name, regressors in reversed(variants.items()):
-        enough = F.col(f"{name}_rows") >= len(regressors) + SPARE_ROWS
-        solved = F.map_from_arrays(F.array(*map(F.lit, regressors)), F.col(f"{name}_coef"))
-        tier, coef = F.when(enough, F.lit(name)).otherwise(tier), F.when(enough, solved).otherwise(coef)
-    solutions = {f"{name}_coef": solve(f"{name}_gram", f"{name}_moment") for name in variants}
-    kept = [c for c in sums.columns if not c.startswith(tuple(variants))]
-    return sums.withColumns(solutions).select(*kept, tier.alias("tier"), coef.alias("coef"))
 
+def _listed(known: np.ndarray, rows: np.ndarray) -> pd.Series:
+    found = iter(rows)
+    return pd.Series([next(found) if k else None for k in known], dtype=object)
 
-def _value(coef: str, name: str) -> Column:
-    return F.coalesce(F.try_element_at(F.col(coef), F.lit(name)), F.lit(0.0))
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def solve(gram: pd.Series, moment: pd.Series) -> pd.Series:
+    """Coefficients of one regression per row; NULL for a series without differences."""
+    known = _known(gram, moment)
+    if not known.any():
+        return _listed(known, [])
+    b = np.stack([np.asarray(v, float) for v in moment[known]])
+    return _listed(known, solve_all(np.stack([np.asarray(v, float) for v in gram[known]]).reshape(len(b), b.shape[1], -1), b))
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def coefficients(products: pd.Series) -> pd.Series:
+    known = _known(products)
+    if not known.any():
+        return _listed(known, [])
+    return _listed(known, gauss_newton(np.stack([np.asarray(v, float) for v in products[known]]).reshape(-1, 5, 5)))
 
 
 def fit_arima(series: DataFrame, seasonal_period: int, test_size: int) -> DataFrame:
-    """Per series: the tier fitted, its coefficients, and the last residual.
+    """Per series: ``coef`` (phi, PHI, theta) and the last residual, NULL without a single difference.
 
-    Tiers by length of the training part: ``seasonal`` (all terms), ``plain`` (no seasonal lag),
-    NULL when neither has enough rows. The lagged rows are stored, as both regressions read them.
+    The lagged rows are stored, as both aggregates read them.
     """
+    ship_package(series.sparkSession)
     train = train_test_split(series, test_size).filter(~F.col("is_test")).select("series_id", "period", "net_sales")
     lagged = materialize(arima_differences(train, seasonal_period).drop("net_sales"), "lagged")
-    first = _fit(lagged, {"seasonal": LONG, "plain": LONG_PLAIN})
-    fitted = sum((_value("coef", c) * F.coalesce(F.col(c), F.lit(0.0)) for c in LONG), F.lit(0.0))
-    usable = F.when(F.col("tier") == "seasonal", F.col("w_m1").isNotNull() & F.col("w_3").isNotNull()) \
-        .when(F.col("tier") == "plain", F.col("w_3").isNotNull())
-    residuals = (
-        lagged.join(first, "series_id")
-        .withColumn("e", F.when(usable, F.col("w") - fitted))
-        .withColumn("e_1", F.lag("e").over(in_order()))
-    )
-    return _fit(residuals, {"seasonal": SEASONAL, "plain": PLAIN}, F.max_by("e", "period").alias("last_residual"))
+    long = lagged.groupBy("series_id").agg(*normal_equations(LONG, "long"))
+    long = long.select("series_id", solve("long_gram", "long_moment").alias("long"))
+    fitted = sum((F.get("long", i) * F.coalesce(F.col(c), F.lit(0.0)) for i, c in enumerate(LONG)), F.lit(0.0))
+    residuals = lagged.join(long, "series_id").withColumn("e", F.col("w") - fitted).withColumn(
+        "e_1", F.lag("e").over(in_order()))
+    sums = residuals.groupBy("series_id").agg(*normal_equations(TERMS, "terms"), F.max_by("e", "period").alias("last_residual"))
+    return sums.select("series_id", coefficients("terms_gram").alias("coef"), "last_residual")
 
 
 def seasonal_arima_forecast(series: DataFrame, seasonal_period: int, test_size: int) -> DataFrame:
     """Forecast the holdout of every series from its training part.
 
-    Columns: ``series_id, period, step, actual, forecast, naive, tier``. A series too short for any
-    fit takes the seasonal-naive forecast and says so in ``tier``.
+    Columns: ``series_id, period, step, actual, forecast, naive``. ``forecast`` is the model's, NULL where the
+    training part is too short for a single difference (a season and two values); ``naive`` repeats the last season.
     """
     m = seasonal_period
-    model = fit_arima(series, m, test_size).withColumnRenamed("tier", "fit_tier").withColumnRenamed("coef", "c")
+    model = fit_arima(series, m, test_size)
     # 2m + 2 values give the m + 1 latest differences that the first step looks back on.
     frame = compact(series, test_size, 2 * m + 2).join(model, "series_id", "left")
     y = lambda values, back: F.coalesce(F.try_element_at(values, F.lit(-back)), F.lit(0.0))
@@ -109,22 +131,17 @@ def seasonal_arima_forecast(series: DataFrame, seasonal_period: int, test_size:
         F.sequence(F.lit(m + 1), F.size("recent") - 1),
         lambda i: at(i) - at(i - 1) - at(i - m) + at(i - m - 1)))
     frame = frame.withColumn("w", differences)
+    phi, season, theta = (F.get("coef", i) for i in range(3))
 
     def step(state: Column, h: Column) -> Column:
         shock = F.when(h == 1, F.coalesce(F.col("last_residual"), F.lit(0.0))).otherwise(0.0)
-        w = (_value("c", "w_1") * y(state.w, 1) + _value("c", "w_m") * y(state.w, m)
-             + _value("c", "w_m1") * y(state.w, m + 1) + _value("c", "e_1") * shock)
+        w = phi * y(state.w, 1) + season * y(state.w, m) - phi * season * y(state.w, m + 1) + theta * shock
         level = y(state.y, 1) + y(state.y, m) - y(state.y, m + 1)
         return F.struct(F.concat(state.y, F.array(level + w)).alias("y"), F.concat(state.w, F.array(w)).alias("w"))
 
     start = F.struct(F.col("recent").alias("y"), F.col("w").alias("w"))
     path = F.aggregate(F.sequence(F.lit(1), F.lit(test_size)), start, step, lambda state: state.y)
-    ahead = frame.withColumn("ahead", F.when(F.col("fit_tier").isNotNull(), F.slice(path, -test_size, test_size)))
-    rows = ahead.select("series_id", "fit_tier", "ahead", "recent", F.inline("holdout"))
-    naive = cyclic("recent", m, F.col("step"))
-    return rows.select(
-        "series_id", "period", "step", "actual",
-        F.coalesce(F.get("ahead", F.col("step") - 1), naive).alias("forecast"),
-        naive.alias("naive"),
-        F.coalesce("fit_tier", F.lit("seasonal-naive")).alias("tier"),
-    )
+    ahead = frame.withColumn("ahead", F.when(F.col("coef").isNotNull(), F.slice(path, -test_size, test_size)))
+    rows = ahead.select("series_id", "ahead", "recent", F.inline("holdout"))
+    return rows.select("series_id", "period", "step", "actual", F.get("ahead", F.col("step") - 1).alias("forecast"),
+                       cyclic("recent", m, F.col("step")).alias("naive"))

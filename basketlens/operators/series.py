@@ -116,7 +116,8 @@ def choose_granularity(dense: DataFrame) -> DataFrame:
     """Weekly if its residual share is strictly lower, else monthly; one row per series.
 
     With two cycles every seasonal slot has a single value, so the residual is flat for any data and
-    its share says nothing: ``comparable`` is true only from three cycles on for both grains.
+    its share says nothing: ``comparable`` is true only from three cycles on for both grains. A series
+    of fewer than two cycles of either grain has no decomposition; that is an error which names it.
     """
     sides = {
         grain: residual_noise_fraction(RESAMPLE[grain](dense), SEASONAL_PERIOD[grain]).select(
@@ -125,7 +126,11 @@ def choose_granularity(dense: DataFrame) -> DataFrame:
     }
     weekly = F.coalesce(F.col("weekly_noise_fraction") < F.col("monthly_noise_fraction"), F.lit(False))
     pick = lambda values: F.when(weekly, F.lit(values["weekly"])).otherwise(F.lit(values["monthly"]))
-    return sides["weekly"].join(sides["monthly"], "series_id").select(
+    both = sides["weekly"].join(sides["monthly"], "series_id")
+    short = (F.col("weekly_cycles") < 2) | (F.col("monthly_cycles") < 2)
+    name = F.concat(F.lit("no decomposition: fewer than two seasonal cycles in series "), F.col("series_id"))
+    both = both.withColumn("weekly_cycles", F.when(short, F.raise_error(name).cast("int")).otherwise(F.col("weekly_cycles")))
+    return both.select(
         "*",
         ((F.col("weekly_cycles") >= 3) & (F.col("monthly_cycles") >= 3)).alias("comparable"),
         F.when(weekly, "weekly").otherwise("monthly").alias("grain"),
@@ -175,6 +180,17 @@ def seasonal_naive(series: DataFrame, seasonal_period: int, test_size: int) -> D
         "series_id", "period", "step", "actual", cyclic("recent", seasonal_period, F.col("step")).alias("forecast"))
 
 
+def model_errors(backtest: DataFrame) -> DataFrame:
+    """Errors of the model and of the naive forecast per series, and whether the model has the lower mean absolute one.
+
+    ``beats_naive`` is NULL where there is no model forecast.
+    """
+    model = forecast_errors(backtest)
+    naive = forecast_errors(backtest, forecast="naive").select(
+        "series_id", F.col("mae").alias("naive_mae"), F.col("rmse").alias("naive_rmse"))
+    return model.join(naive, "series_id").withColumn("beats_naive", F.col("mae") < F.col("naive_mae"))
+
+
 def forecast_errors(backtest: DataFrame, *keys: str, forecast: str = "forecast") -> DataFrame:
     """Mean absolute and root mean square error over the holdout of each series."""
     error = F.col("actual") - F.col(forecast)

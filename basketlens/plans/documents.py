@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketlens.operators.series import forecast_errors, train_test_split
+from basketlens.operators.series import model_errors, train_test_split
 from basketlens.sources.tables import finite
 
 
@@ -27,27 +29,31 @@ def forecast_document(series: DataFrame, backtest: DataFrame, grain: str, test_s
         *_listed("period", period=_date("period"), net_sales=whole("net_sales"))))
     tested = backtest.agg(F.struct(*_listed(
         "period", period=_date("period"), actual=whole("actual"), forecast=whole("forecast"), naive=whole("naive"))))
-    errors = F.struct(whole("mae").alias("mae"), whole("rmse").alias("rmse"))
-    model = forecast_errors(backtest).select(errors)
-    naive = forecast_errors(backtest, forecast="naive").select(errors)
+    errors = model_errors(backtest).select(F.struct(
+        whole("mae").alias("model_mae"), whole("rmse").alias("model_rmse"), whole("naive_mae").alias("naive_mae"),
+        whole("naive_rmse").alias("naive_rmse"), "beats_naive"))
     row = series.sparkSession.range(1).select(
         F.lit(grain).alias("grain"), history.scalar().alias("history"), tested.scalar().alias("backtest"),
-        model.scalar().alias("model"), naive.scalar().alias("baseline"))
-    return row.select(
-        "grain", "history", "backtest",
-        F.col("model.mae").alias("model_mae"), F.col("model.rmse").alias("model_rmse"),
-        F.col("baseline.mae").alias("naive_mae"), F.col("baseline.rmse").alias("naive_rmse"))
+        errors.scalar().alias("errors"))
+    return row.select("grain", "history", "backtest", "errors.*")
+
 
+def dashboard_kpis(segments: DataFrame, overview: DataFrame, forecast: DataFrame, threshold_days: int, best: Mapping,
+                   naive: Mapping) -> DataFrame:
+    """The headline figures: customers, segmentation quality with its bounds, churn and forecast error.
 
-def dashboard_kpis(segments: DataFrame, overview: DataFrame, forecast: DataFrame, threshold_days: int, chosen_k: int,
-                   silhouette: float, naive_silhouette: float) -> DataFrame:
-    """The headline figures: customers, segmentation quality, churn and forecast error."""
-    errors = forecast.select(F.struct("model_mae", "naive_mae")).scalar()
+    ``best`` and ``naive`` hold the scores of the chosen fit and of the baseline.
+    """
+    errors = forecast.select(F.struct("model_mae", "naive_mae", "beats_naive")).scalar()
+    three = lambda value: F.bround(F.lit(float(value)), 3)
     row = segments.sparkSession.range(1).select(
         segments.agg(F.count("customer_id")).scalar().alias("total_customers"),
-        F.lit(chosen_k).alias("chosen_k"),
-        F.bround(F.lit(float(silhouette)), 3).alias("silhouette_score"),
-        F.bround(F.lit(float(naive_silhouette)), 3).alias("naive_silhouette_score"),
+        F.lit(best["k"]).alias("chosen_k"),
+        F.lit(bool(best["decided"])).alias("k_decided"),
+        three(best["silhouette"]).alias("silhouette_score"),
+        three(best["silhouette_low"]).alias("silhouette_low"),
+        three(best["silhouette_high"]).alias("silhouette_high"),
+        three(naive["silhouette"]).alias("naive_silhouette_score"),
         F.lit(threshold_days).alias("churn_threshold_days"),
         overview.select(F.bround(100 * F.col("event_rate"), 1)).scalar().alias("churn_rate_pct"),
         errors.alias("errors"))

@@ -17,7 +17,7 @@ from basketlens.operators.forecast import seasonal_arima_forecast
 from basketlens.operators.intervals import churn_threshold, purchase_intervals
 from basketlens.operators.sales import daily_sales
 from basketlens.plans import documents as doc
-from basketlens.session import materialize
+from basketlens.session import materialize, scratch
 from basketlens.sources import tables as store
 from basketlens.sources.raw import read_raw
 
@@ -65,11 +65,12 @@ class Forecast:
 
 
 def load(spark: SparkSession, raw_path: str | list[str], root: str, **read_options) -> dict[str, int]:
-    """Parse the raw file once, build the four tables from the stored lines, write them."""
-    raw = read_raw(spark, raw_path, **read_options)
-    # The stored lines are columnar: each builder below reads its own few columns of them.
-    cleaned = materialize(clean(raw), "clean-lines")
-    store.write_tables(tables_from(cleaned), root)
+    """Parse the raw file once, build the four tables from the stored lines, publish them together."""
+    with scratch(spark):
+        raw = read_raw(spark, raw_path, **read_options)
+        # The stored lines are columnar: each builder below reads its own few columns of them.
+        cleaned = materialize(clean(raw), "clean-lines")
+        store.write_tables(tables_from(cleaned), root)
     return {name: df.count() for name, df in store.read_tables(spark, root).items()}
 
 
@@ -104,11 +105,14 @@ def churn(tables: Tables, segments: DataFrame, reference: str = seg.CHAMPIONS,
     return Churn(threshold, survival, curves, sv.km_median(curves), sv.logrank_test(sv.logrank(survival)), reference)
 
 
-def forecast(tables: Tables) -> Forecast:
-    """Total net sales at the cleaner grain, with a backtest on the latest periods."""
+def forecast(tables: Tables, grain: str | None = None) -> Forecast:
+    """Total net sales at the cleaner grain, or the given one, with a backtest on the latest periods."""
     sales = daily_sales(tables["invoices"], tables["invoice_items"])
     dense = materialize(ts.trim_partial_periods(ts.daily_sales_dense(sales)), "daily")
-    choice = ts.choose_granularity(dense).first().asDict()
+    if grain is None:
+        choice = ts.choose_granularity(dense).first().asDict()
+    else:
+        choice = {"grain": grain, "seasonal_period": ts.SEASONAL_PERIOD[grain], "test_size": ts.HOLDOUT[grain]}
     grain, period, size = choice["grain"], choice["seasonal_period"], choice["test_size"]
     series = materialize(ts.RESAMPLE[grain](dense), grain)
     return Forecast(grain, size, series, seasonal_arima_forecast(series, period, size), choice)
@@ -118,8 +122,7 @@ def kpis(segmentation: Segmentation, lapsed: Churn, sales: Forecast, document: D
     """The headline figures of the three analyses."""
     return doc.dashboard_kpis(
         segmentation.segments, sv.churn_overview(lapsed.survival), document or sales.document,
-        lapsed.threshold_days, segmentation.best["k"], segmentation.best["silhouette"],
-        segmentation.naive["silhouette"])
+        lapsed.threshold_days, segmentation.best, segmentation.naive)
 
 
 def dashboard(segmentation: Segmentation, lapsed: Churn, sales: Forecast, ratios: DataFrame | None = None) -> DataFrame:
@@ -132,28 +135,61 @@ def dashboard(segmentation: Segmentation, lapsed: Churn, sales: Forecast, ratios
         sv.km_document(lapsed.curves), lapsed.threshold_days, ratios, forecast_row)
 
 
-def write_segmentation(result: Segmentation, root: str) -> None:
-    store.write_segments(result.segments, root)
+SILHOUETTE = "labelling string, silhouette double, silhouette_low double, silhouette_high double, points bigint"
+
+
+def write_segmentation(result: Segmentation, folder: str) -> None:
+    """Store segments and scores; reports on segments stored before no longer fit them and go."""
     spark = result.segments.sparkSession
+    for report in ("cox_model_summary", "km_curves", "km_medians", "logrank_test", "dashboard_data"):
+        store.drop(spark, f"{folder}/reports/{report}")
+    store.write_segments(result.segments, folder)
     scores = spark.createDataFrame(seg.search_rows(result.search), seg.SEARCH)
-    store.write_report(scores.orderBy("k"), f"{root}/reports/silhouette_by_k")
-    store.write_report(seg.segment_profile(result.segments).orderBy("segment"), f"{root}/reports/segment_profile")
+    store.write_report(scores.orderBy("k"), f"{folder}/reports/silhouette_by_k")
+    naive = [tuple(result.naive[f.split()[0]] for f in SILHOUETTE.split(", "))]
+    store.write_report(spark.createDataFrame(naive, SILHOUETTE), f"{folder}/reports/silhouette_naive")
+    store.write_report(seg.segment_profile(result.segments).orderBy("segment"), f"{folder}/reports/segment_profile")
+
 
+def read_segmentation(spark: SparkSession, folder: str) -> Segmentation:
+    """The stored segments with their scores, as ``write_segmentation`` left them."""
+    search = [row.asDict() for row in
+              store.read_report(spark, f"{folder}/reports/silhouette_by_k", seg.SEARCH).orderBy("k").collect()]
+    naive = store.read_report(spark, f"{folder}/reports/silhouette_naive", SILHOUETTE).first().asDict()
+    return Segmentation(store.read_segments(spark, folder), search, seg.best_of(search), naive)
 
-def write_churn(result: Churn, root: str) -> DataFrame:
+
+def write_churn(result: Churn, folder: str) -> DataFrame:
     """Write the churn reports; returns the Cox summary."""
     summary = result.summary()
-    store.write_report(summary, f"{root}/reports/cox_model_summary")
-    store.write_report(result.curves.orderBy(sv.GROUP, "duration"), f"{root}/reports/km_curves")
-    store.write_report(result.medians.orderBy(sv.GROUP), f"{root}/reports/km_medians")
-    store.write_report(result.test, f"{root}/reports/logrank_test")
+    store.write_report(summary, f"{folder}/reports/cox_model_summary")
+    store.write_report(result.curves.orderBy(sv.GROUP, "duration"), f"{folder}/reports/km_curves")
+    store.write_report(result.medians.orderBy(sv.GROUP), f"{folder}/reports/km_medians")
+    store.write_report(result.test, f"{folder}/reports/logrank_test")
     return summary
 
 
-def write_forecast(result: Forecast, root: str) -> None:
+def write_forecast(result: Forecast, folder: str) -> None:
+    """The backtest of the model, and its errors against the naive forecast with the verdict."""
     table = ts.backtest_table(result.backtest).orderBy("period")
     store.write_report(table.select("period", "actual", "forecast", "abs_error"),
-                       f"{root}/reports/sales_forecast_backtest")
+                       f"{folder}/reports/sales_forecast_backtest")
+    store.write_report(ts.model_errors(result.backtest), f"{folder}/reports/sales_forecast_errors")
+
+
+def write_dashboard(spark: SparkSession, root: str, home_country: str = sv.HOME_COUNTRY) -> DataFrame:
+    """The document from what the jobs have stored for the current load; they have to be run before."""
+    folder = store.current(spark, root)
+    for part, job in (("customer_segments", "segment"), ("reports/cox_model_summary", "churn")):
+        if not store.exists(spark, f"{folder}/{part}"):
+            raise FileNotFoundError(f"{folder}/{part} is missing: run the {job} job on this load first")
+    tables = collapsed(store.read_tables(spark, root))
+    segmentation = read_segmentation(spark, folder)
+    ratios = cox.cox_hazard_ratios(store.read_report(spark, f"{folder}/reports/cox_model_summary", cox.CHECKED_SCHEMA))
+    lapsed = churn(tables, segmentation.segments, home_country=home_country)
+    document = dashboard(segmentation, lapsed, forecast(tables), ratios)
+    store.write_document(document, f"{folder}/reports/dashboard_data")
+    return spark.read.schema(document.schema).json(f"{folder}/reports/dashboard_data")
 
 
 def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = None, ks: Sequence[int] = seg.K_RANGE,
@@ -161,13 +197,16 @@ def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = N
     """Every job in order; returns the dashboard document, also written below ``root``."""
     if raw_path is not None:
         load(spark, raw_path, root)
-    tables = collapsed(store.read_tables(spark, root))
-    segmentation = segment(tables, ks, restarts)
-    write_segmentation(segmentation, root)
-    lapsed = churn(tables, segmentation.segments, home_country=home_country)
-    summary = write_churn(lapsed, root)
-    sales = forecast(tables)
-    write_forecast(sales, root)
-    document = dashboard(segmentation, lapsed, sales, cox.cox_hazard_ratios(summary))
-    store.write_document(document, f"{root}/reports/dashboard_data")
-    return spark.read.schema(document.schema).json(f"{root}/reports/dashboard_data")
+    folder = store.current(spark, root)
+    with scratch(spark):
+        tables = collapsed(store.read_tables(spark, root))
+        write_segmentation(segment(tables, ks, restarts), folder)
+        segmentation = read_segmentation(spark, folder)
+        lapsed = churn(tables, segmentation.segments, home_country=home_country)
+        summary = write_churn(lapsed, folder)
+        sales = forecast(tables)
+        write_forecast(sales, folder)
+        document = dashboard(segmentation, lapsed, sales, cox.cox_hazard_ratios(summary))
+        store.write_document(document, f"{folder}/reports/dashboard_data")
+        schema = document.schema
+    return spark.read.schema(schema).json(f"{folder}/reports/dashboard_data")

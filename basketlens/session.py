@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +67,35 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, remembered until ``clear_scratch``."""
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediate tables made in this process after the first ``since`` ones.
+
+    For the end of a job, when its results are written: frames that read these tables end with it.
+    """
+    for path in _made[since:]:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    del _made[since:]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, also after a failure."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, since)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

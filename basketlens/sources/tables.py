@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SCHEMAS = {
@@ -29,44 +32,95 @@ SCHEMAS = {
 }
 
 
-def write_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """Write each table as Parquet, replacing an earlier load, so that a re-run cannot collide with its own keys."""
+BUCKETED = {"invoices": "invoice_no", "invoice_items": "invoice_no"}
+BUCKETS = 64
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_tables(tables: dict[str, DataFrame], root: str, buckets: int = BUCKETS) -> str:
+    """Write a load to a folder of its own and publish it in one step; returns that folder.
+
+    Until then readers see the load before, and a load that fails half-way is never seen. The two fact
+    tables are bucketed and sorted by invoice number: every revenue query joins them on it, so the shuffle
+    of the line table is paid once, here. ``buckets`` wants to grow with the data.
+    """
+    missing = set(SCHEMAS) - set(tables)
+    if missing:
+        raise ValueError(f"a load has all tables; missing: {sorted(missing)}")
+    spark = next(iter(tables.values())).sparkSession
+    run = f"{time.time_ns():020d}_{buckets}_{uuid.uuid4().hex[:8]}"
+    folder = f"{root}/runs/{run}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        if key := BUCKETED.get(name):
+            (df.repartition(buckets, key).write.option("path", f"{folder}/{name}")
+             .bucketBy(buckets, key).sortBy(key).saveAsTable(_table(folder, name)))
+        else:
+            df.write.parquet(f"{folder}/{name}")
+    path, files = _path(spark, f"{root}/published/{run}")
+    files.create(path, False).close()  # one empty file, created as a whole or not at all
+    return folder
 
 
-def read_tables(spark: SparkSession, root: str, names=tuple(SCHEMAS)) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, name) for name in names}
+def current(spark: SparkSession, root: str) -> str:
+    """Folder of the load published last; everything derived from it is stored there too."""
+    path, files = _path(spark, f"{root}/published")
+    runs = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    if not runs:
+        raise FileNotFoundError(f"nothing is loaded below {root}")
+    return f"{root}/runs/{max(runs)}"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
-    return reader.parquet(f"{root}/{name}")
+def _table(folder: str, name: str) -> str:
+    return f"basketlens_{folder.rsplit('/', 1)[1]}_{name}"
 
 
-def save_bucketed(tables: dict[str, DataFrame], root: str, database: str = "default", buckets: int = 4096) -> None:
-    """Store the two fact tables bucketed and sorted by invoice number.
+def read_tables(spark: SparkSession, root: str, names=tuple(SCHEMAS)) -> dict[str, DataFrame]:
+    """Tables of one load."""
+    folder = current(spark, root)
+    return {name: read_table(spark, folder, name) for name in names}
 
-    Every revenue query joins them on that key, so the shuffle of the line table is paid once at
-    load time instead of once per query.
-    """
-    for name in ("invoices", "invoice_items"):
-        (tables[name].write.mode("overwrite").option("path", f"{root}/{name}")
-         .bucketBy(buckets, "invoice_no").sortBy("invoice_no").saveAsTable(f"{database}.{name}"))
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table of a run folder; the facts with their buckets, which only a catalog entry tells Spark."""
+    if key := BUCKETED.get(name):
+        buckets = int(folder.rsplit("_", 2)[1])
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMAS[name])
+        spark.sql(f"create table if not exists {_table(folder, name)} ({columns}) using parquet clustered by ({key}) "
+                  f"sorted by ({key}) into {buckets} buckets location '{folder}/{name}'")
+        return spark.table(_table(folder, name))
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}")
 
 
-def write_segments(segments: DataFrame, root: str) -> None:
+def write_segments(segments: DataFrame, folder: str) -> None:
     """Replace the derived segment table."""
-    segments.write.mode("overwrite").parquet(f"{root}/customer_segments")
+    segments.write.mode("overwrite").parquet(f"{folder}/customer_segments")
+
+
+def read_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/customer_segments")
 
 
-def read_segments(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/customer_segments")
+def drop(spark: SparkSession, path: str) -> None:
+    path, files = _path(spark, path)
+    files.delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    path, files = _path(spark, path)
+    return files.exists(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A small result table as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A small result table as one CSV file with a header, its rows in the order they come in.
+
+    One partition only at the end, so that what computes the rows keeps its own.
+    """
+    df.repartition(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -80,4 +134,4 @@ def finite(column):
 
 def write_document(document: DataFrame, path: str) -> None:
     """The nested one-row document as a JSON file."""
-    document.coalesce(1).write.mode("overwrite").json(path)
+    document.repartition(1).write.mode("overwrite").json(path)

@@ -7,9 +7,12 @@ from types import SimpleNamespace
 import pytest
 
 from basketlens import __main__ as cli
+from pyspark.sql import functions as F
+
 from basketlens.operators import cox
+from basketlens.operators.rfm import invoice_revenue
 from basketlens.plans import jobs
-from basketlens.session import scratch_path
+from basketlens.session import _made, scratch_path
 from basketlens.sources import tables as store
 from catalog.registered import Shop
 
@@ -26,17 +29,42 @@ def root(spark, tmp_path_factory):
     return str(folder / "db")
 
 
-def test_load_writes_the_four_tables_and_can_be_repeated(spark, root):
+def test_load_is_published_as_a_whole_or_not_at_all(spark, root):
+    before = store.current(spark, root)
     counts = {name: df.count() for name, df in store.read_tables(spark, root).items()}
     assert counts == {"customers": 150, "products": 200, "invoices": 1472, "invoice_items": 5986}
-    store.write_tables({"products": Shop(spark, SF).products}, root)
-    assert store.read_table(spark, root, "products").count() == 200
+    shop = Shop(spark, SF)
+    broken = {**shop.tables, "invoice_items": shop.invoice_items.withColumn("quantity", F.raise_error(F.lit("half-way")).cast("int"))}
+    with pytest.raises(Exception, match="half-way"):
+        store.write_tables(broken, root)
+    assert store.current(spark, root) == before
+    with pytest.raises(ValueError, match="missing"):
+        store.write_tables({"products": shop.products}, root)
+    with pytest.raises(FileNotFoundError):
+        store.current(spark, root + "-elsewhere")
+
+
+def test_revenue_of_a_load_shuffles_no_lines(spark, root):
+    tables = store.read_tables(spark, root)
+    plan = invoice_revenue(tables["invoices"], tables["invoice_items"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(invoice_no" not in plan and "Bucketed: true" in plan
+    folder = store.current(spark, root)
+    plain = invoice_revenue(*(spark.read.parquet(f"{folder}/{name}") for name in ("invoices", "invoice_items")))
+    assert sorted(invoice_revenue(tables["invoices"], tables["invoice_items"]).collect()) == sorted(plain.collect())
+
+
+def test_dashboard_needs_the_jobs_of_this_load(spark, root):
+    with pytest.raises(FileNotFoundError, match="segment job"):
+        jobs.write_dashboard(spark, root)
 
 
 def test_all_jobs_agree_in_the_document(spark, root):
+    made = len(_made)
     document = jobs.run_all(spark, root, ks=range(2, 4), restarts=1, home_country="NATION_0")
+    assert len(_made) == made  # no intermediate table is left
     row = document.first()
-    segments = store.read_segments(spark, root)
+    folder = store.current(spark, root)
+    segments = store.read_segments(spark, folder)
     assert row.kpis.total_customers == segments.count() == sum(s.customers for s in row.segments)
     spends = [s.avg_monetary for s in row.segments]
     assert spends == sorted(spends, reverse=True)
@@ -48,9 +76,14 @@ def test_all_jobs_agree_in_the_document(spark, root):
     size = {"weekly": 12, "monthly": 3}[row.forecast.grain]
     assert len(row.forecast.backtest.period) == len(row.forecast.backtest.naive) == size
     assert row.kpis.silhouette_score > row.kpis.naive_silhouette_score
-    stored = store.read_report(spark, f"{root}/reports/cox_model_summary", cox.SUMMARY_SCHEMA)
+    assert row.kpis.silhouette_low <= row.kpis.silhouette_score <= row.kpis.silhouette_high
+    assert row.forecast.beats_naive == (row.forecast.model_mae < row.forecast.naive_mae)
+    stored = store.read_report(spark, f"{folder}/reports/cox_model_summary", cox.CHECKED_SCHEMA)
     assert {c.covariate for c in row.cox} == {r.covariate for r in stored.collect()}
-    written = next(Path(f"{root}/reports/dashboard_data").glob("*.json")).read_text()
+    assert all(r.converged for r in stored.collect())
+    again = jobs.write_dashboard(spark, root, "NATION_0").first()  # from what is stored alone
+    assert again.kpis == row.kpis and again.segments == row.segments and again.cox == row.cox
+    written = next(Path(f"{folder}/reports/dashboard_data").glob("*.json")).read_text()
     assert json.loads(written)["kpis"]["churn_threshold_days"] == row.kpis.churn_threshold_days
 
 

@@ -87,46 +87,50 @@ def test_naive_repeats_the_cycle(spark):
     assert [r.net_sales for r in history] == list(range(8, 17))
 
 
-def test_forecast_tiers_by_length(spark):
+def test_two_years_get_a_model_forecast(spark):
     rng = np.random.default_rng(3)
-    lengths = {"long": 60, "middle": 28, "short": 14}
     every = None
-    for name, n in lengths.items():
-        one = monthly(spark, 100 + rng.normal(size=n), name)
+    for name, n in {"five": 60, "two": 24, "short": 14, "flat": 30}.items():
+        one = monthly(spark, 100 + rng.normal(size=n) * (name != "flat"), name)
         every = one if every is None else every.unionByName(one)
     rows = fc.seasonal_arima_forecast(every, 12, 3).collect()
-    assert {r.series_id: r.tier for r in rows} == {"long": "seasonal", "middle": "plain", "short": "seasonal-naive"}
-    assert all(r.forecast == r.naive for r in rows if r.series_id == "short")
-    assert all(r.forecast is not None for r in rows) and len(rows) == 9
+    assert len(rows) == 12 and "tier" not in rows[0].asDict()
+    assert all((r.forecast is None) == (r.series_id == "short") and r.naive is not None for r in rows)
+    assert any(r.forecast != r.naive for r in rows if r.series_id == "two")
+    assert all(r.forecast == pytest.approx(100) for r in rows if r.series_id == "flat")
+    verdict = {r.series_id: r for r in ts.model_errors(fc.seasonal_arima_forecast(every, 12, 3)).collect()}
+    assert verdict["short"].beats_naive is None
+    assert verdict["two"].beats_naive == (verdict["two"].mae < verdict["two"].naive_mae)
 
 
-def reference_forecast(y, m, h):
-    """The same two regressions written out with plain loops."""
+def reference_forecast(y, m, h, steps=6):
+    """The same fit written out with plain loops."""
     n = len(y)
-    w = np.full(n, np.nan)
-    for t in range(m + 1, n):
-        w[t] = y[t] - y[t - 1] - y[t - m] + y[t - m - 1]
-    at = lambda a, t: a[t] if t >= 0 else np.nan
-    rows = [(t, [at(w, t - k) for k in (1, 2, 3, m, m + 1)]) for t in range(n)]
-    rows = [(t, x) for t, x in rows if not np.isnan([w[t], *x]).any()]
-    long = np.linalg.lstsq(np.array([x for _, x in rows]), np.array([w[t] for t, _ in rows]), rcond=None)[0]
-    e = np.full(n, np.nan)
-    for t, x in rows:
-        e[t] = w[t] - np.dot(x, long)
-    second = [(t, [w[t - 1], w[t - m], w[t - m - 1], e[t - 1]]) for t, _ in rows if not np.isnan(e[t - 1])]
-    a = np.linalg.lstsq(np.array([x for _, x in second]), np.array([w[t] for t, _ in second]), rcond=None)[0]
+    w = [None] * (m + 1) + [y[t] - y[t - 1] - y[t - m] + y[t - m - 1] for t in range(m + 1, n)]
+    at = lambda a, t: 0.0 if t < 0 or a[t] is None else a[t]
+    rows = range(m + 1, n)
+    x = np.array([[at(w, t - k) for k in (1, 2, 3, m, m + 1)] for t in rows])
+    target = np.array([w[t] for t in rows])
+    e = [None] * (m + 1) + list(target - x @ np.linalg.lstsq(x, target, rcond=None)[0])
+    terms = np.array([[at(w, t - 1), at(w, t - m), at(w, t - m - 1), at(e, t - 1)] for t in rows])
+    a = np.zeros(3)
+    for _ in range(steps):
+        r = target - terms @ np.array([a[0], a[1], -a[0] * a[1], a[2]])
+        j = -np.stack([terms[:, 0] - a[1] * terms[:, 2], terms[:, 1] - a[0] * terms[:, 2], terms[:, 3]], axis=1)
+        a = np.clip(a - np.linalg.lstsq(j, r, rcond=None)[0], -0.99, 0.99)
     w, y, shock = list(w), list(y), e[-1]
     for _ in range(h):
-        w.append(a[0] * w[-1] + a[1] * w[-m] + a[2] * w[-m - 1] + a[3] * shock)
+        w.append(a[0] * at(w, len(w) - 1) + a[1] * at(w, len(w) - m) - a[0] * a[1] * at(w, len(w) - m - 1) + a[2] * shock)
         y.append(w[-1] + y[-1] + y[-m] - y[-m - 1])
         shock = 0.0
     return y[-h:]
 
 
-def test_seasonal_forecast_matches_plain_loops(spark):
+@pytest.mark.parametrize("n", [24, 27, 33, 70])
+def test_seasonal_forecast_matches_plain_loops(spark, n):
     rng = np.random.default_rng(4)
-    y = 50 + 10 * np.sin(np.arange(70) * np.pi / 6) + rng.normal(size=70).cumsum()
+    y = 50 + 10 * np.sin(np.arange(n) * np.pi / 6) + rng.normal(size=n).cumsum()
     rows = fc.seasonal_arima_forecast(monthly(spark, y), 12, 3).orderBy("period").collect()
-    assert [r.forecast for r in rows] == pytest.approx(reference_forecast(y[:67], 12, 3), rel=1e-6)
+    assert [r.forecast for r in rows] == pytest.approx(reference_forecast(y[:n - 3], 12, 3), rel=1e-6)
     errors = ts.forecast_errors(fc.seasonal_arima_forecast(monthly(spark, y), 12, 3)).first()
     assert errors.mae == pytest.approx(np.mean([abs(r.actual - r.forecast) for r in rows]))
