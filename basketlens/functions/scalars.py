@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# The characters that count as white space.
+WHITE_SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
+              "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_text(column: Column) -> Column:
     """Cast to text and strip white space of every kind, tabs and line ends included, at both ends."""
-    return F.regexp_replace(column.cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(column.cast("string"), F.lit(WHITE_SPACE))
 
 
 def signed_log(column: Column) -> Column:
@@ -31,8 +36,3 @@ def next_day_after(column: Column) -> Column:
 
 def round_half_even(column: Column, scale: int = 0) -> Column:
     return F.bround(column, scale)
-
-
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
-    """NULL instead of an error for a zero denominator."""
-    return F.when(denominator != 0, numerator / denominator)

@@ -4,64 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-SLICES = 64  # the slice table has fewer than 4 * SLICES * SLICES rows; it is what gets broadcast
+from basketlens.session import materialize
 
-
-def cut_points(df: DataFrame, *columns: str) -> list[list]:
-    """Approximate quantiles of numeric columns, each list sorted and in the column's own type."""
-    points = [i / SLICES for i in range(1, SLICES)]
-    kinds = dict(df.dtypes)
-    found = df.agg(*[
-        F.sort_array(F.array_distinct(
-            F.percentile_approx(F.col(c).cast("double"), points).cast(f"array<{kinds[c]}>"))).alias(c)
-        for c in columns
-    ]).first()
-    return [found[c] or [] for c in columns]
-
-
-def slice_of(column: str, kind: str, cuts: list, first: int = 0) -> str:
-    """SQL text of a search in the sorted cut points: 2i between the points i-1 and i, 2i + 1 on point i.
-
-    Text, because one call into the JVM builds it; the tree of Column objects takes hundreds.
-    """
-    if not cuts:
-        return str(2 * first)
-    middle = len(cuts) // 2
-    point = f"cast('{cuts[middle]}' as {kind})"
-    return (
-        f"case when {column} < {point} then {slice_of(column, kind, cuts[:middle], first)}"
-        f" when {column} = {point} then {2 * (first + middle) + 1}"
-        f" else {slice_of(column, kind, cuts[middle + 1:], first + middle + 1)} end"
-    )
-
-
-def global_rank(df: DataFrame, value: str, tie: str, rank: str = "rank", total: str = "total") -> DataFrame:
+def global_rank(df: DataFrame, value: str, tie: str, rank: str = "rank", total: str = "total",
+                ranges: int | None = None) -> DataFrame:
     """Add the 1-based rank by ``(value, tie)`` and the row count. Both columns must be non-null.
 
-    Approximate quantiles of ``value`` cut its range into slices; a value equal to a cut point gets
-    a slice to itself, divided once more by quantiles of ``tie``, so a value shared by a third of
-    the rows still spreads over many tasks. Rows are ranked inside their slice and shifted by the
-    number of rows in earlier slices. Cut points only decide how even the slices are, never the rank.
-
-    ``df`` is scanned four times: pass a stored frame.
+    Rows are dealt to ranges of ``(value, tie)``, so a value that a third of the rows share still spreads over
+    many; there are as many ranges as the session has shuffle partitions, or ``ranges``. Rows are ranked inside
+    their range and shifted by the rows of earlier ranges. The borders, which Spark draws from a sample, only
+    decide how even the ranges are, never the rank. The dealt rows are stored, so both reads see the same ranges.
     """
-    kinds = dict(df.dtypes)
-    value_cuts, tie_cuts = cut_points(df, value, tie)
-    sliced = df.withColumn("_slice", F.expr(slice_of(value, kinds[value], value_cuts))).withColumn(
-        "_part", F.expr(f"case when _slice % 2 = 1 then {slice_of(tie, kinds[tie], tie_cuts)} else 0 end"))
-
-    ordered = W.orderBy("_slice", "_part")
-    offsets = sliced.groupBy("_slice", "_part").agg(F.count("*").alias("_n")).select(
-        "_slice", "_part",
+    dealt = df.repartitionByRange(ranges, value, tie) if ranges else df.repartitionByRange(value, tie)
+    dealt = materialize(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    ordered = W.orderBy("_range")  # one row per range
+    offsets = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range",
         F.coalesce(F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_n").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias(total),
     )
-    inside = F.row_number().over(W.partitionBy("_slice", "_part").orderBy(value, tie))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(value, tie))
     return (
-        sliced.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), ["_slice", "_part"])
+        dealt.withColumn("_inside", inside)
+        .join(F.broadcast(offsets), "_range")
         .withColumn(rank, F.col("_before") + F.col("_inside"))
-        .drop("_slice", "_part", "_before", "_inside")
+        .drop("_range", "_before", "_inside")
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from basketlens.functions.scalars import elapsed_days, next_day_after, signed_log
 from basketlens.functions.special import Z_95, chi2_tail
 from basketlens.operators.rfm import invoice_totals
+from basketlens.session import ship_package
 
 HOME_COUNTRY = "United Kingdom"
 GROUP = "segment_label"
@@ -35,9 +36,11 @@ def lifecycle_aggregates(invoices: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def customer_lifecycle(invoices: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
-    """The lifecycle with the customer's country, joined when there is one row per customer left."""
-    country = customers.groupBy("customer_id").agg(F.max("country").alias("country"))
-    return lifecycle_aggregates(invoices, items).join(country, "customer_id")
+    """The lifecycle with the customer's country, joined when there is one row per customer left.
+
+    ``customer_id`` is the audited key of ``customers``.
+    """
+    return lifecycle_aggregates(invoices, items).join(customers.select("customer_id", "country"), "customer_id")
 
 
 def survival_frame(lifecycle: DataFrame, segments: DataFrame, threshold_days: int,
@@ -180,6 +183,7 @@ def _logrank_statistic(difference: pd.Series, covariance: pd.Series) -> pd.DataF
 
 def logrank_test(table: DataFrame, group: str = GROUP, level: float = 0.05) -> DataFrame:
     """Chi-square statistic over all groups but one, its p-value and the verdict, from ``logrank``."""
+    ship_package(table.sparkSession)
     ordered = F.sort_array(F.collect_list(F.struct(
         F.col(group).alias("name"), (F.col("observed") - F.col("expected")).alias("z"), "covariance")))
     return (

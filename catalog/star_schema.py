@@ -79,15 +79,6 @@ STATEMENTS = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan that has too few splits to use the cores out to all of them.
-
-    A table of many files or row groups passes as it is, with no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One retail table over the star schema in ``sf_dir``."""
     statement = STATEMENTS[name]
@@ -95,8 +86,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         base: spark.read.schema(schema).parquet(f"{sf_dir}/{base}.parquet")
         for base, schema in BASE.items() if "{" + base + "}" in statement
     }
-    if "lineitem" in tables:
-        tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(statement, **tables)
 
 

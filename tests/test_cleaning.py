@@ -106,21 +106,6 @@ def test_audits_find_violations(spark):
     assert audits.default_flag(broken["invoices"]).filter("is_cancellation is null").count() == 0
 
 
-def test_bucketed_tables_join_without_shuffling_the_lines(spark, shop, at, tmp_path):
-    from basketlens.operators.rfm import invoice_revenue
-    invoices, items = shop([(str(i), i % 3, at(i), [1, 2]) for i in range(40)])
-    spark.sql("create database if not exists bucketed")
-    tables.save_bucketed({"invoices": invoices, "invoice_items": items}, str(tmp_path), "bucketed", 4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = invoice_revenue(spark.table("bucketed.invoices"), spark.table("bucketed.invoice_items"))
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan and df.count() == 40
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.sql("drop table bucketed.invoices")
-        spark.sql("drop table bucketed.invoice_items")
-
 
 def test_reports_and_documents_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a, \"b\"", 1.5)], "name string, x double")
