@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +25,7 @@ def _date(column: str) -> Column:
 
 def forecast_document(series: DataFrame, backtest: DataFrame, grain: str, test_size: int) -> DataFrame:
     """Grain, training history, backtest and errors of one series, in whole units."""
-    whole = lambda c: finite(F.bround(c, 0))
+    whole = lambda c: finite(F.bround(F.round(c, 2), 0))  # cents first: sums in another order round alike
     history = train_test_split(series, test_size).filter(~F.col("is_test")).agg(F.struct(
         *_listed("period", period=_date("period"), net_sales=whole("net_sales"))))
     tested = backtest.agg(F.struct(*_listed(
@@ -38,6 +39,49 @@ def forecast_document(series: DataFrame, backtest: DataFrame, grain: str, test_s
     return row.select("grain", "history", "backtest", "errors.*")
 
 
+def _arrays(document: DataFrame, struct: str, section: str, key: str, names: Sequence[str]) -> DataFrame:
+    """One row per element of parallel arrays, named by those in ``key``."""
+    listed = document.select(F.posexplode(f"{struct}.{key}").alias("position", "key"),
+                             *[F.col(f"{struct}.{n}").alias(n) for n in names])
+    return reduce(DataFrame.unionByName, [listed.select(
+        F.lit(f"{section}.{n}").alias("section"), F.col("key").cast("string").alias("key"), "position",
+        F.get(n, F.col("position")).cast("double").alias("value")) for n in names])
+
+
+def scalar_rows(frame: DataFrame, section: str) -> DataFrame:
+    """One row per column of a one-row frame; booleans count as 0 and 1."""
+    doubles = frame.select(*[F.col(c).cast("double").alias(c) for c in frame.columns])
+    return doubles.unpivot([], frame.columns, "key", "value").select(
+        F.lit(section).alias("section"), "key", F.lit(0).alias("position"), "value")
+
+
+def forecast_rows(document: DataFrame) -> DataFrame:
+    """The forecast document as rows: ``section, key, position, value``."""
+    errors = document.select("model_mae", "model_rmse", "naive_mae", "naive_rmse", "beats_naive")
+    return (_arrays(document, "history", "history", "period", ["net_sales"])
+            .unionByName(_arrays(document, "backtest", "backtest", "period", ["actual", "forecast", "naive"]))
+            .unionByName(scalar_rows(errors, "errors")))
+
+
+def dashboard_rows(document: DataFrame) -> DataFrame:
+    """The dashboard document as rows: ``section, key, position, value``."""
+    figures = [f.name for f in document.schema["segments"].dataType.elementType if f.name != "segment_label"]
+    curves = document.select(F.explode("churn.curves").alias("label", "curve")).select("label", "curve.*")
+    points = curves.select(F.col("label").alias("key"), "survival", F.posexplode("days").alias("position", "day"))
+    parts = [
+        scalar_rows(document.select("kpis.*"), "kpis"),
+        _arrays(document, "segments", "segments", "segment_label", figures),
+        scalar_rows(document.select("churn.threshold_days"), "churn"),
+        curves.select(F.lit("churn.n").alias("section"), F.col("label").alias("key"), F.lit(0).alias("position"),
+                      F.col("n").cast("double").alias("value")),
+        points.select(F.lit("churn.days").alias("section"), "key", "position", F.col("day").cast("double").alias("value")),
+        points.select(F.lit("churn.survival").alias("section"), "key", "position", F.get("survival", "position").alias("value")),
+        _arrays(document, "cox", "cox", "covariate", ["hazard_ratio", "p"]),
+        forecast_rows(document.select("forecast.*")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dashboard_kpis(segments: DataFrame, overview: DataFrame, forecast: DataFrame, threshold_days: int, best: Mapping,
                    naive: Mapping) -> DataFrame:
     """The headline figures: customers, segmentation quality with its bounds, churn and forecast error.

@@ -16,7 +16,7 @@ from basketlens.functions.scalars import signed_log
 from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
 from basketlens.operators import series as ts, survival as sv
 from basketlens.operators.silhouette import silhouette as silhouette_of, silhouettes
-from basketlens.plans import jobs
+from basketlens.plans import documents, jobs
 from basketlens.session import materialize, scratch_path, ship_package
 from basketlens.sources import raw as raw_source, tables as store
 from catalog.star_schema import load
@@ -422,7 +422,8 @@ def seasonal_arima_forecast(shop: Shop) -> DataFrame:
 
 @query()
 def forecast_document(shop: Shop) -> DataFrame:
-    return jobs.forecast(shop.tables).document
+    """The document of the monthly series as rows."""
+    return documents.forecast_rows(materialize(jobs.forecast(shop.tables, "monthly").document, "forecast-document"))
 
 
 # --- segmentation --------------------------------------------------------------------------------
@@ -597,10 +598,10 @@ def cox_hazard_ratios(shop: Shop) -> DataFrame:
 # --- dashboard -----------------------------------------------------------------------------------
 
 def _parts(shop: Shop) -> tuple[jobs.Segmentation, jobs.Churn, jobs.Forecast]:
-    """The jobs behind the dashboard, with one k-means start per k."""
+    """The jobs behind the dashboard, with given centroids and grain, so that SQL can follow the whole chain."""
     tables = jobs.collapsed(shop.tables)
-    segmentation = jobs.segment(tables, restarts=1)
-    return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables)
+    segmentation = jobs.segment(tables, given=GIVEN)
+    return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables, "monthly")
 
 
 @query()
@@ -610,4 +611,5 @@ def dashboard_kpis(shop: Shop) -> DataFrame:
 
 @query()
 def dashboard_document(shop: Shop) -> DataFrame:
-    return jobs.dashboard(*_parts(shop))
+    """The whole document as rows: real segment names, Champions as reference of the Cox model."""
+    return documents.dashboard_rows(materialize(jobs.dashboard(*_parts(shop)), "dashboard-document"))
