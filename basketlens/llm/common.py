@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.session import ship_package
+from basketlens.session import materialize, ship_package
 
 #: Bytes that separate words: space and \x09-\x0D.
 SPACE = np.zeros(256, bool)
@@ -38,6 +38,20 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def rows_of(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with one row for each row of ``kept``: kept_id, kept_digest, times (how many rows of ``docs`` have both).
+
+    Ids compare null-safe. Only keys that several rows share go through an aggregate, which collapses them inside each
+    input partition first; of such rows any one stays. Columns stay as they are.
+    """
+    kept = materialize(kept, "kept-rows")
+    marked = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__digest", digest)
+    on = marked["__id"].eqNullSafe(kept.kept_id) & (marked["__digest"] == kept.kept_digest)
+    once = marked.join(kept.where("times = 1"), on, "left_semi")
+    repeated = marked.join(kept.where("times > 1"), on, "left_semi").dropDuplicates(["__id", "__digest"])
+    return once.unionByName(repeated).drop("__id", "__digest")
+
+
 def count_blocks(rows: int, rows_per_block: int) -> int:
     return max(1, math.ceil(rows / rows_per_block))
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import prepare, texts
+from basketlens.llm.common import prepare, rows_of, texts
 
 #: Spill files per level, by four more bits of the digest.
 FAN_OUT_BITS = 4
@@ -197,12 +197,18 @@ def exact_dedup_report(docs: DataFrame) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _digest_of(texts: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(normalised(t)).digest() for t in texts.to_pylist()], pa.binary())
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row per distinct text: the one with the largest id. Columns stay as they are.
 
-    Ids have to be distinct for this; of rows that share both id and text all stay. A row with a null id stays
-    only where its whole group has null ids.
+    Of rows that share both that id and the text any one stays. An id with several texts is decided for each text by
+    itself. Of a group of null ids alone one row stays; next to any id a null id loses.
     """
     kept = exact_groups(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    kept = kept.groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(
+        F.count(F.lit(1)).alias("times"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return rows_of(docs, kept, F.arrow_udf(_digest_of, "binary")(text), id_col)

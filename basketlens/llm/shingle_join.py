@@ -24,10 +24,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import LOWER, flat, mix, pieces, prepare, texts, word_hashes, word_spans
+from basketlens.llm.common import LOWER, flat, mix, pieces, prepare, rows_of, texts, word_hashes, word_spans
 from basketlens.llm.graph import components
 from basketlens.session import materialize
 
@@ -172,7 +172,8 @@ def _rows(width: int, percent: int):
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(a, len(sets)), pa.array(map(_digest, sets), pa.binary()),
                 pa.array(np.diff(first), pa.int64()), pa.array(bits, pa.binary()),
-                pa.array([_name(_digest(s)) for s in sets], pa.int64())], ["doc_id", "digest", "n", "bits", "id"])
+                pa.array([_name(_digest(s)) for s in sets], pa.int64()), batch.column(2).slice(a, len(sets))],
+                ["doc_id", "digest", "n", "bits", "id", "text_digest"])
     return run
 
 
@@ -356,24 +357,22 @@ def _linked(members: DataFrame, counts: DataFrame, percent: int, block: int, exa
     return cut.mapInArrow(_tiles(percent, exact), "a bigint, b bigint")
 
 
-def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
-                       text_col: str = "text", block: int = BLOCK, frequent: int = FREQUENT,
-                       packets: int | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row.
+def _text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
-    A-Z are lower-cased; words are `[^\\x20\\x09-\\x0D]+`; a text with fewer than ``width`` words has its whole word
-    sequence as its one shingle. Rows link when 100 * intersection >= percent * union; ``component_id`` is the
-    smallest id reachable by links, the row's own included. Texts without words, and nulls, have no shingles and
-    link with nothing. Equal sets link whatever their ids; a component of null ids alone has a null component_id.
-    Repeated rows give repeated results; an empty table gives none; other columns are ignored. ``packets`` is the
-    number of packets of posts, spark.sql.shuffle.partitions if that is more.
-    """
+
+def _placed(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str, block: int, frequent: int,
+            packets: int | None) -> DataFrame:
+    """doc_id, text_digest, n_shingles, component, component_id for every row. ``component`` tells components with
+    equal least ids apart: the least digest of its sets, null for a text without shingles."""
     if not 50 < percent < 100:
         raise ValueError("percent has to lie between 50 and 100")
     spark = docs.sparkSession
     prepare(spark)
     rows = texts(docs, id_col, text_col)
-    sets = materialize(rows.mapInArrow(_rows(width, percent), "doc_id bigint, digest binary, n bigint, bits binary, id bigint"), "sets")
+    told = rows.withColumn("text_digest", _text_digest(F.col("text")))
+    sets = materialize(told.mapInArrow(_rows(width, percent), "doc_id bigint, digest binary, n bigint, bits binary, id bigint, "
+                                                              "text_digest binary"), "sets")
     packets = max(packets or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = rows.mapInArrow(_packets(width, percent, packets, PACKED_POSTS, frequent),
                              "packet int, keys binary, ids binary, counts binary, frequent boolean")
@@ -396,18 +395,46 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     linked = components(_linked(arrays, found.groupBy("grp").agg(F.count(F.lit(1)).alias("m")), percent, block, exact=True),
                         "links")
     roots = linked.join(classes.select(F.col("id").alias("node"), "digest", "doc_id"), "node")
-    least = roots.groupBy("root").agg(F.min("doc_id").alias("least"))
-    roots = roots.join(least, "root").select("digest", "least")
+    least = roots.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("digest").alias("component"))
+    roots = roots.join(least, "root").select("digest", "least", "component")
     # Texts without shingles share a digest but link with nothing.
     own = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("own"))
-    named = own.join(roots, "digest", "left").select("digest", F.coalesce(F.least("own", "least"), "own").alias("least"))
+    named = own.join(roots, "digest", "left").select("digest", F.coalesce(F.least("own", "least"), "own").alias("least"),
+                                                     F.coalesce("component", "digest").alias("component"))
     return sets.join(named, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "text_digest", F.col("n").alias("n_shingles"), "component",
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
+                       text_col: str = "text", block: int = BLOCK, frequent: int = FREQUENT,
+                       packets: int | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row.
+
+    A-Z are lower-cased; words are `[^\\x20\\x09-\\x0D]+`; a text with fewer than ``width`` words has its whole word
+    sequence as its one shingle. Rows link when 100 * intersection >= percent * union; ``component_id`` is the
+    smallest id reachable by links, the row's own included. Texts without words, and nulls, have no shingles and
+    link with nothing. Equal sets link whatever their ids; a component of null ids alone has a null component_id.
+    Repeated rows give repeated results; an empty table gives none; other columns are ignored. ``packets`` is the
+    number of packets of posts, spark.sql.shuffle.partitions if that is more.
+    """
+    return _placed(docs, percent, width, id_col, text_col, block, frequent, packets).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Columns stay as they are."""
-    kept = similar_components(docs, percent, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """``docs`` with one row of each component: the one with the smallest id. Columns stay as they are.
+
+    Of rows that share that id the one with the least text digest stays, and of those that share the text any one; an
+    id in several components is decided in each by itself. Of null ids alone one row stays; next to any id a null id
+    loses. Texts without shingles link with nothing, so all of them stay.
+    """
+    placed = _placed(docs, percent, width, "doc_id", "text", BLOCK, FREQUENT, None)
+    rows = placed.where("n_shingles > 0").groupBy("component", "doc_id", "text_digest").agg(F.count(F.lit(1)).alias("times"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("kept_id"),
+                           F.col("text_digest").alias("kept_digest"), "times")).alias("first")
+    kept = rows.groupBy("component").agg(first).select("first.kept_id", "first.kept_digest", "first.times")
+    alone = placed.where("n_shingles = 0").select(F.col("doc_id").alias("kept_id"), F.col("text_digest").alias("kept_digest"),
+                                                  F.lit(1).cast("long").alias("times")).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return rows_of(docs, kept.unionByName(alone), _text_digest(text))

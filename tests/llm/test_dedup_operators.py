@@ -70,6 +70,24 @@ def test_drop_copies_keeps_rows_and_columns(spark):
     assert exact_dedup.exact_dedup_report(docs.limit(0)).count() == 0
 
 
+def test_one_row_for_each_text(spark):
+    """Repeated rows, null ids, one id with two texts: each text has one row, that of its largest id."""
+    rows = [(1, "a b")] * 3 + [(2, "A b")] * 2 + [(7, "c"), (7, "d"), (8, "d"), (9, "c"), (9, "e")]
+    rows += [(None, "d"), (None, "f"), (None, "f"), (None, "g"), (None, None), (None, ""), (4, "h"), (4, "H")]
+    want = [(2, "a b"), (8, "d"), (9, "c"), (9, "e"), (None, "f"), (None, "g"), (None, ""), (4, "h")]
+    got = exact_dedup.drop_copies(frame(spark, rows)).collect()
+    assert sorted([(r.doc_id, (r.text or "").lower()) for r in got], key=repr) == sorted(want, key=repr)
+
+
+def test_one_row_for_each_component(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(100)) for x in "abcde")
+    rows = [(1, a)] * 3 + [(1, a + " z"), (2, a)] + [(5, b), (5, c), (3, c), (5, d)]  # id 5 leads b and d, not c
+    rows += [(None, a), (None, e), (None, e), (None, e + " z"), (None, " "), (None, ""), (6, ""), (6, " ")]
+    kept = shingle_join.one_of_each(frame(spark, rows)).collect()
+    assert sorted([(r.doc_id, r.text[:1].strip()) for r in kept], key=repr) == sorted(
+        [(1, "a"), (5, "b"), (3, "c"), (5, "d"), (None, "e"), (None, ""), (None, ""), (6, ""), (6, "")], key=repr)
+
+
 def brute_components(rows, percent, width):
     sets = []
     for _, text in rows:

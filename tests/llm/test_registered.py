@@ -72,3 +72,21 @@ def test_pipeline_stage_by_stage(spark):
     for number in {r.bin for r in rows} - {None}:
         held = [r for r in rows if r.bin == number]
         assert sum(r.length for r in held) <= packing.CAPACITY and len({cut[r.doc_id].source for r in held}) == len(held)
+
+
+def test_pipeline_of_repeated_rows_null_ids_and_one_id_with_two_texts(spark, tmp_path):
+    # Without labels the first stage keeps all rows.
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(50)) for x in "abcd")
+    rows = [(1, a)] * 3 + [(1, a.upper()), (2, b), (2, c), (3, c), (3, c + " end")] + [(None, d)] * 2 + [(None, a), (None, "")]
+    rows = [(i, t, "en", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, str(tmp_path)), "stage")
+    got = sorted(((r.doc_id, r.text.lower()) for r in docs.collect()), key=repr)
+    assert [(i, t.removesuffix(" end")) for i, t in got] == sorted([(1, a), (2, b), (3, c), (None, d), (None, "")], key=repr)
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.length) for r in packed), key=repr) == sorted(
+        ((i, len(t.split())) for i, t in got), key=repr)
