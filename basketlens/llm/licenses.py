@@ -1,16 +1,18 @@
 """License notices in documents, found by conditional compression.
 
-Lines with a cue word, and long lines cut at spaces, make candidate blocks. A block is compressed plainly and with
-each template as zstandard raw dictionary; the templates that save most are then compared with the block word by
-word, and the one with the fewest wording differences is confirmed if they are few and touch no number.
+Around each cue word as many words as the longest template has, across line ends, make candidate blocks. A block is
+compressed plainly and with each template it has enough words of as zstandard raw dictionary; the templates that save
+most are then compared with the block word by word, and the one with the fewest wording differences is confirmed if
+they are few and touch no number.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from difflib import SequenceMatcher
+from difflib import Match, SequenceMatcher
 
 import pyarrow as pa
 import zstandard
@@ -62,14 +64,12 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 ]
 
-#: What every template has at least one of; the first form is for Spark's regular expressions.
-CUE = r"(?i)licen[cs]e|permission|redistribut|free software|unencumbered|creative commons"
-CUES = re.compile(CUE)
-WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+#: A word; one that a line end cuts behind a hyphen goes on behind the marks that begin the next line.
+WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+|-[^\S\n]*\n[^\w\n]*[^\W_]+)*")
+CUT = re.compile(r"-\s[\W_]*")
 
-#: Longest unit of a line in characters, bytes that a template must save to be compared word by word, and the share
-#: of a template's words that may differ.
-UNIT, LEAST_SAVED, MAY_DIFFER = 600, 4, 0.1
+#: Bytes that a template must save to be compared word by word, and the share of a template's words that may differ.
+LEAST_SAVED, MAY_DIFFER = 4, 0.1
 #: A high level: on short blocks a hasty search for matches would be noise in the ranking.
 LEVEL = 19
 
@@ -86,67 +86,99 @@ class Notice:
     wording: str  # what differs: -template word, +word of the text
 
 
+def _lower(word: str) -> str:
+    return (CUT.sub("-", word) if "\n" in word else word).lower()
+
+
 def words(text: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(text)]
-
-
-def blocks(text: str) -> Iterator[tuple[int, str]]:
-    """Candidate blocks with their places: units with a cue, and the units between those at most two apart."""
-    units, at = [], 0
-    for line in text.split("\n"):
-        first = 0
-        while len(line) - first > UNIT:
-            cut = line.rfind(" ", first + 1, first + UNIT)
-            cut = cut if cut > first else first + UNIT
-            units.append((at + first, at + cut))
-            first = cut
-        units.append((at + first, at + len(line)))
-        at += len(line) + 1
-    run: list[int] = []
-    for i, (a, b) in enumerate(units):
-        # A unit that a cut ends looks a little beyond it, so that no cue is lost between two units.
-        if CUES.search(text, a, b + 20 * (i + 1 < len(units) and units[i + 1][0] == b)):
-            if run and i - run[-1] > 2:
-                yield from _block(text, units, run)
-                run = []
-            run.append(i)
-    if run:
-        yield from _block(text, units, run)
-
-
-def _block(text: str, units: list[tuple[int, int]], run: list[int]) -> Iterator[tuple[int, str]]:
-    """One block; a run of many units comes in overlapping blocks of at most eight, so none grows with the text."""
-    first, last = max(0, run[0] - 1), min(len(units) - 1, run[-1] + 1)
-    if units[first][1] != units[run[0]][0]:  # the unit before belongs to another line
-        first = run[0]
-    if run[-1] == len(units) - 1 or units[run[-1]][1] != units[last][0]:
-        last = run[-1]
-    for a in range(first, last + 1, 6):
-        b = min(a + 7, last)
-        yield units[a][0], text[units[a][0]:units[b][1]]
-        if b == last:
-            return
+    return [_lower(w) for w in WORD.findall(text)]
+
+
+def may_differ(wanted: list[str]) -> int:
+    return int(MAY_DIFFER * len(wanted))
+
+
+def cue_words(templates: list[tuple[str, str]]) -> set[str]:
+    """Words of the templates, of each template one more than may differ, so every notice has at least one of them."""
+    wanted = [words(wording) for _, wording in templates]
+    shared = Counter(w for want in wanted for w in set(want))
+    cues: set[str] = set()
+    for want in wanted:
+        ranked = sorted(set(want), key=lambda w: (w not in cues, len(w) < 6, -shared[w], -len(w), w))
+        cues.update(ranked[:may_differ(want) + 1])
+    return cues
+
+
+def cue_pattern(templates: list[tuple[str, str]]) -> str:
+    """For Spark's regular expressions: a cue word, also one that a line end cuts at a hyphen."""
+    parts = {max(re.split(r"-", w), key=len) for w in cue_words(templates)}
+    return "(?iu)" + "|".join(re.escape(w) for w in sorted(parts))
+
+
+def blocks(have: list[str], cues: set[str], longest: int) -> Iterator[tuple[int, int]]:
+    """Ranges of words: ``longest`` words before and behind each cue, joined where they meet. A long one is cut into
+    ranges that overlap by ``longest`` words, so none grows with the text and every notice lies whole in one."""
+    first = last = None
+    for i, word in enumerate(have):
+        if word in cues:
+            if last is not None and i - longest > last:
+                yield from _cut(first, last, longest)
+                first = None
+            first = max(0, i - longest) if first is None else first
+            last = min(len(have), i + longest + 1)
+    if first is not None:
+        yield from _cut(first, last, longest)
+
+
+def _cut(first: int, last: int, longest: int) -> Iterator[tuple[int, int]]:
+    while last - first > 4 * longest:
+        yield first, first + 4 * longest
+        first += 3 * longest
+    yield first, last
 
 
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]]):
         self.templates = [(name, words(wording)) for name, wording in templates]
+        self.bags = [Counter(want) for _, want in self.templates]
+        self.cues = cue_words(templates)
+        self.longest = max((len(want) + may_differ(want) for _, want in self.templates), default=0)
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.given = []
         for _, wording in self.templates:
             given = zstandard.ZstdCompressionDict(" ".join(wording).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=given))
 
-    def ranked(self, block: bytes) -> list[tuple[int, int]]:
+    def possible(self, have: list[str]) -> list[int]:
+        """Templates of whose words no more are missing than may differ."""
+        bag = Counter(have)
+        return [i for i, want in enumerate(self.bags)
+                if sum(max(0, n - bag[w]) for w, n in want.items()) <= may_differ(self.templates[i][1])]
+
+    def ranked(self, block: bytes, templates: list[int]) -> list[tuple[int, int]]:
         """(bytes saved, template), most saved first; ties in the order of the templates."""
         plain = len(self.plain.compress(block))
-        return sorted(((plain - len(c.compress(block)), i) for i, c in enumerate(self.given)), key=lambda x: (-x[0], x[1]))
+        return sorted(((plain - len(self.given[i].compress(block)), i) for i in templates), key=lambda x: (-x[0], x[1]))
+
+    def nearest(self, template: int, have: list[str]) -> tuple[int, list[str], int] | None:
+        """As ``differences``, at the first place from the longest common run on where few enough words differ."""
+        want = self.templates[template][1]
+        match, most = SequenceMatcher(None, want, have, autojunk=False), may_differ(want)
+        # With so few differences some run of equal words is at least this long.
+        least, ranges = max(1, -(-(len(want) - most) // (most + 1))), [(0, len(have))]
+        while ranges:
+            low, high = ranges.pop()
+            anchor = match.find_longest_match(0, len(want), low, high)
+            if anchor.size >= least:
+                found = self.differences(template, have, anchor)
+                if len(found[1]) <= most and not any(c.isdigit() for d in found[1] for c in d):
+                    return found
+                ranges += [(anchor.b + anchor.size, high), (low, anchor.b)]
+        return None
 
-    def differences(self, template: int, have: list[str]) -> tuple[int, list[str], int]:
-        """Place of the template's nearest wording in the block, what differs there, and the place behind it."""
+    def differences(self, template: int, have: list[str], anchor: Match) -> tuple[int, list[str], int]:
+        """Place of the template's nearest wording around a common run, what differs there, and the place behind it."""
         want = self.templates[template][1]
-        match = SequenceMatcher(None, want, have, autojunk=False)
-        anchor = match.find_longest_match(0, len(want), 0, len(have))
         first = max(0, anchor.b - anchor.a)
         last = min(len(have), anchor.b - anchor.a + len(want))
         slack = max(1, int(MAY_DIFFER * len(want)))
@@ -162,36 +194,43 @@ class Scanner:
         return best or (0, [f"-{w}" for w in want], 0)
 
     def scan(self, text: str) -> list[Notice]:
-        """All notices of a text, in its order: after one is confirmed, the rest of its block is searched again."""
-        found: dict[tuple, Notice] = {}
-        for start, block in blocks(text):
-            spans = [m.span() for m in WORD.finditer(block)]
-            parts = [(0, len(spans))]
+        """All notices of a text, in its order: after one is confirmed, the rest of its block is searched again. Where
+        blocks overlap, the nearest wording counts."""
+        spans = [m.span() for m in WORD.finditer(text)]
+        all_words = [_lower(text[a:b]) for a, b in spans]
+        found: list[tuple] = []
+        for part in blocks(all_words, self.cues, self.longest):
+            parts = [part]
             while parts:
                 low, high = parts.pop()
-                have = [block[a:b].lower() for a, b in spans[low:high]]
-                if not have or not CUES.search(block, spans[low][0], spans[high - 1][1]):
+                have = all_words[low:high]
+                possible = self.possible(have)
+                if not possible:
                     continue
                 raw = " ".join(have).encode("utf-8", "replace")
                 plain, best = len(self.plain.compress(raw)), None
-                for saved, template in self.ranked(raw):
+                for saved, template in self.ranked(raw, possible):
                     if saved < LEAST_SAVED:
                         break
-                    want = self.templates[template][1]
-                    a, different, b = self.differences(template, have)
-                    numbers = [d for d in different if any(c.isdigit() for c in d)]
-                    if len(different) <= MAY_DIFFER * len(want) and not numbers:
-                        key = (len(different) / len(want), -len(want), template)
+                    near = self.nearest(template, have)
+                    if near:
+                        want = self.templates[template][1]
+                        key = (len(near[1]) / len(want), -len(want), template)
                         if best is None or key < best[0]:
-                            best = (key, a, b, saved, template, different)
+                            best = (key, *near, saved, template)
                 if best:
-                    _, a, b, saved, template, different = best
-                    at = start + spans[low + a][0]
-                    notice = Notice(at, self.templates[template][0], template, plain, saved,
+                    key, a, different, b, saved, template = best
+                    notice = Notice(spans[low + a][0], self.templates[template][0], template, plain, saved,
                                     len(self.templates[template][1]), len(different), " ".join(different))
-                    found.setdefault((at, template), notice)
+                    found.append((key, low + a, low + b, notice))
                     parts += [(low, low + a), (low + b, high)]
-        return sorted(found.values(), key=lambda n: (n.start, n.template))
+        kept: list[tuple] = []
+        taken = bytearray(len(spans))
+        for key, a, b, notice in sorted(found, key=lambda f: f[:3]):
+            if not any(taken[a:b]):
+                taken[a:b] = b"\1" * (b - a)
+                kept.append(notice)
+        return sorted(kept, key=lambda n: (n.start, n.template))
 
 
 SCHEMA = ("doc_id bigint, start bigint, license string, template int, plain_bytes int, saved_bytes int, n_words int, "
@@ -220,4 +259,4 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
                 [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names)
 
     prepare(docs.sparkSession)
-    return texts(docs, id_col, text_col).where(F.col("text").rlike(CUE)).mapInArrow(run, SCHEMA)
+    return texts(docs, id_col, text_col).where(F.col("text").rlike(cue_pattern(templates))).mapInArrow(run, SCHEMA)

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import textwrap
 
 import public_tokenizers
 import pytest
@@ -148,6 +149,24 @@ def test_licenses_wording():
     assert [n.license for n in scan(across)] == ["Apache-2.0"]
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_licenses_wrapped_over_lines(mark):
+    scan = licenses.Scanner(licenses.TEMPLATES).scan
+    for wording, (name, _) in NOTICES.items():
+        for width in (72, 30):
+            wrapped = "\n".join(mark + line for line in textwrap.wrap(wording, width))
+            text = "Some words before.\n" + mark + "\n" + wrapped + "\n" + mark + "\nand some after it"
+            assert [(n.license, n.n_different) for n in scan(text)] == [(name, 0)], (wording, width)
+    whole = "\n\n".join("\n".join(mark + line for line in textwrap.wrap(w, 72)) for w in NOTICES)
+    assert [n.license for n in scan(whole)] == [name for name, _ in NOTICES.values()]
+
+
+def test_licenses_of_other_templates(spark):
+    docs = spark.createDataFrame([(1, "So: do what\nyou please with this."), (2, "License")], "doc_id long, text string")
+    rows = licenses.scan_licenses(docs, [("Any", "Do what you please with this.")]).collect()
+    assert [(r.doc_id, r.start, r.license) for r in rows] == [(1, 4, "Any")]
+
+
 def test_licenses_edge_cases(edge, empty):
     assert licenses.scan_licenses(edge).count() == 0 == licenses.scan_licenses(empty).count()
     twice = edge.sparkSession.createDataFrame([(None, "Released under the MIT License.\n" * 2)] * 2, "doc_id long, text string")
