@@ -2,8 +2,10 @@
 
 Every text node lies on a path of tags from the root. Per path, text length and punctuation are summed and divided
 by the nodes that have the path; both ratios are smoothed over the tree of paths, where a step halves the weight,
-and fused. Paths near the best fused value are the seeds; the container of a seed (its article or main element,
-else the element around its block) is content with everything in it but menus, notices and other page furniture.
+and fused; an article or main element weighs more. Paths near the best fused value are the seeds, on every page; the
+container of a seed (its article or main element, else the element around its block) is content with everything in it
+but menus, notices and other page furniture. A class, id or role names furniture while its element holds less than
+half of the page's text; beyond that it weighs less.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
 #: Weight of one step between two paths, share of the best value that makes a seed, and weight of a landmark.
 STEP_WEIGHT, SEED_SHARE, LANDMARK_WEIGHT = 0.5, 0.5, 4.0
+#: Share of a page's text from which on a name doesn't make an element furniture.
+NAMED_SHARE = 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\s*(?:[^\s\"'>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"']))*)\s*"
@@ -52,7 +56,7 @@ class Paths:
 
     def __init__(self):
         self.parent, self.known = [-1], {}
-        self.furniture, self.landmark, self.block = [False], [-1], [True]
+        self.furniture, self.named, self.landmark, self.block = [False], [False], [-1], [True]
         self.chars, self.points, self.nodes = [0], [0], [0]
 
     def child(self, path: int, tag: str, named: bool) -> int:
@@ -60,7 +64,8 @@ class Paths:
         if key not in self.known:
             new = self.known[key] = len(self.parent)
             self.parent.append(path)
-            self.furniture.append(self.furniture[path] or named or tag in FURNITURE)
+            self.furniture.append(self.furniture[path] or tag in FURNITURE)
+            self.named.append(named)
             self.landmark.append(new if self.landmark[path] < 0 and tag in LANDMARK else self.landmark[path])
             self.block.append(tag not in INLINE)
             self.chars.append(0), self.points.append(0), self.nodes.append(0)
@@ -83,7 +88,14 @@ class Paths:
 
     def content(self) -> list[bool]:
         """For each path, whether its text is content."""
+        held = [n * (not f) for n, f in zip(self.chars, self.furniture)]
+        for v in range(len(held) - 1, 0, -1):
+            held[self.parent[v]] += held[v]
         free = [not f for f in self.furniture]
+        under_name = [False] * len(free)
+        for v in range(1, len(free)):
+            free[v] = free[v] and free[self.parent[v]] and not (self.named[v] and held[v] < NAMED_SHARE * held[0])
+            under_name[v] = self.named[v] or under_name[self.parent[v]]
         nodes = self.smoothed([n * ok for n, ok in zip(self.nodes, free)])
         chars = self.smoothed([n * ok for n, ok in zip(self.chars, free)])
         points = self.smoothed([n * ok for n, ok in zip(self.points, free)])
@@ -93,15 +105,13 @@ class Paths:
                 fused[v] = chars[v] / nodes[v] * (1 + points[v] / nodes[v])
                 if self.landmark[v] >= 0:
                     fused[v] *= LANDMARK_WEIGHT
+                if under_name[v]:
+                    fused[v] /= LANDMARK_WEIGHT
         best = max(fused)
-        inside_landmark = any(self.landmark[v] >= 0 for v, value in enumerate(fused) if value > 0)
         chosen = [False] * len(free)
         for v, value in enumerate(fused):
-            if value > 0 and (value >= SEED_SHARE * best or self.landmark[v] >= 0):
-                if inside_landmark:
-                    chosen[self.landmark[v] if self.landmark[v] >= 0 else v] = self.landmark[v] >= 0
-                else:
-                    chosen[self.container(v)] = True
+            if value > 0 and value >= SEED_SHARE * best:
+                chosen[self.landmark[v] if self.landmark[v] >= 0 else self.container(v)] = True
         for v in range(1, len(free)):
             chosen[v] = free[v] and (chosen[v] or chosen[self.parent[v]])
         return chosen
@@ -172,7 +182,7 @@ def main_text(page: str | None) -> str:
             found.append((stack[-1][1], block, " "))
         if tag in VOID:
             continue
-        named = tag not in ("html", "body", *LANDMARK) and bool(token[3]) and _opened(token[3])
+        named = tag not in ("html", "body") and bool(token[3]) and _opened(token[3])
         if tag in RAW_END:
             end = RAW_END[tag].search(page, at)
             at = end.start() if end else len(page)

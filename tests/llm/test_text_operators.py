@@ -194,6 +194,16 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_ratios_select_and_names_only_weigh():
+    prose = " ".join(f"<p>Sentence {i} of the body, which is long; it has commas, and it goes on and on.</p>" for i in range(6))
+    plain = " ".join(f"Sentence {i} of the body, which is long; it has commas, and it goes on and on." for i in range(6))
+    for page in (f"<body><div id=page><div>{prose}</div></div><section><article><a>More news</a></article></section></body>",
+                 f"<body><div class='form page'><article>{prose}</article></div><footer>x</footer></body>",
+                 f"<body><article>{prose}</article><article class='comment'><p>I hate this, really, and so on.</p></article>"
+                 "<article class='related'>Read this, too</article></body>"):
+        assert html_text.main_text(page) == plain
+
+
 def test_pages_as_planted(spark):
     """Against the plain cut between the article tags, which these pages all have."""
     import html
