@@ -52,6 +52,23 @@ def rows_of(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc
     return once.unionByName(repeated).drop("__id", "__digest")
 
 
+#: A key with more than this share of all rows is looked up by broadcast; at most 1 / HOT keys can be so frequent.
+HOT = 1 / 1000
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, times: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for every key of ``rows`` and, in ``times``, its count there.
+
+    Keys with over a thousandth of all rows, of which there are fewer than a thousand, are looked up by broadcast, the
+    others by a join: no task gets all rows of a frequent key. Keys are not null.
+    """
+    table = materialize(table, "lookup")
+    total = table.agg(F.sum(times)).head()[0] or 0
+    frequent = F.broadcast(table.where(F.col(times) > int(total * HOT)))
+    rest = rows.join(frequent.select(key), key, "left_anti").join(table.where(F.col(times) <= int(total * HOT)), key)
+    return rows.join(frequent, key).unionByName(rest)
+
+
 def count_blocks(rows: int, rows_per_block: int) -> int:
     return max(1, math.ceil(rows / rows_per_block))
 

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, packing, quality, shingle_join, substring_dedup, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, packing, quality, shingle_join, simhash, substring_dedup, wordpiece
 from basketlens.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_neighbours(spark, sf_dir):
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_shingle_join": op9_shingle_join,
     "op10_neighbours": op10_neighbours,
+    "op11_simhash": op11_simhash,
 }
 
 SQL = {
