@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, licenses, neighbours, packing, quality, shingle_join, simhash, substring_dedup, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, lexical, licenses, neighbours, packing, quality, shingle_join, simhash, substring_dedup, wordpiece
 from basketlens.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_shingle_join": op9_shingle_join,
     "op10_neighbours": op10_neighbours,
     "op11_simhash": op11_simhash,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 SQL = {
@@ -110,4 +115,29 @@ SQL = {
                     union select r.doc_id, l.b from reached r join links l on l.a = r.other)
         select doc_id, coalesce(max(n), 0) as n_shingles, min(other) as component_id
         from reached left join sizes using (doc_id) group by doc_id""",
+    "op12_lexical_search": r"""
+        with cut as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+            from documents),
+        corpus as (select count(*) filter (len(w) > 0) as docs, sum(len(w))::bigint as terms from cut),
+        postings as (select doc_id, n, term, count(*) as tf
+                     from (select doc_id, len(w) as n, unnest(w) as term from cut) group by all),
+        rarity as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as weight
+                   from postings, corpus group by term),
+        wanted as (select item_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                   from benchmark),
+        often as (select item_id, term, count(*) as times from wanted group by all),
+        scored as (
+            select item_id, doc_id, sum(times * weight * ((1000000000 * tf)
+                       // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::bigint as score
+            from often join postings using (term) join rarity using (term), corpus
+            group by item_id, doc_id),
+        ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+                          doc_id, score
+                   from scored where score > 0)
+        select * from ranked where rank <= 20""",
 }

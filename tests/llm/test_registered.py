@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return con
 
 
