@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, lexical, licenses, neighbours, packing, quality, shingle_join, simhash, substring_dedup, wordpiece
+from basketlens.llm import byte_bpe, exact_dedup, html_text, lexical, licenses, neighbours, packing, quality, shingle_join, simhash, spelling, substring_dedup, wordpiece
 from basketlens.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op12_lexical_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -74,6 +78,7 @@ QUERIES = {
     "op10_neighbours": op10_neighbours,
     "op11_simhash": op11_simhash,
     "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL = {

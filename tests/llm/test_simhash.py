@@ -127,3 +127,10 @@ def test_long_texts_are_read_piece_by_piece():
         assert simhash.fingerprint(short.encode(), most=1) % 2 ** 64 == brute_fingerprint(short)
     with pytest.raises(ValueError):
         simhash.linked_fingerprints(None, 5)
+
+
+def test_registered_query_equals_brute_force(spark):
+    from basketlens.llm import queries
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    assert sorted(map(tuple, queries.op11_simhash(spark, folder).collect())) == sorted(brute(rows))
