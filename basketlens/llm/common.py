@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +40,36 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def rows_of(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have, in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text: what tells texts apart, whatever their ids."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc_id", *more: str) -> DataFrame:
     """``docs`` with one row for each row of ``kept``: kept_id, kept_digest, times (how many rows of ``docs`` have both).
 
     Ids compare null-safe. Only keys that several rows share go through an aggregate, which collapses them inside each
-    input partition first; of such rows any one stays. Columns stay as they are.
+    input partition first; of such rows any one stays. Columns stay as they are; those of ``more`` follow from ``kept``.
     """
-    kept = materialize(kept, "kept-rows")
-    marked = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__digest", digest)
-    on = marked["__id"].eqNullSafe(kept.kept_id) & (marked["__digest"] == kept.kept_digest)
-    once = marked.join(kept.where("times = 1"), on, "left_semi")
-    repeated = marked.join(kept.where("times > 1"), on, "left_semi").dropDuplicates(["__id", "__digest"])
-    return once.unionByName(repeated).drop("__id", "__digest")
+    key, name = fresh(docs, "of_id"), fresh(docs, "of_digest")
+    kept = materialize(kept.select(F.col("kept_id").alias(key + "k"), F.col("kept_digest").alias(name + "k"), "times", *more), "kept-rows")
+    marked = docs.withColumn(key, F.col(id_col).cast("long")).withColumn(name, digest)
+
+    def found(some: DataFrame) -> DataFrame:
+        on = marked[key].eqNullSafe(some[key + "k"]) & (marked[name] == some[name + "k"])
+        if not more:
+            return marked.join(some, on, "left_semi")
+        return marked.join(some.drop("times"), on).drop(key + "k", name + "k")
+    repeated = found(kept.where("times > 1")).dropDuplicates([key, name])
+    return found(kept.where("times = 1")).unionByName(repeated).drop(key, name)
 
 
 #: A key with more than this share of all rows is looked up by broadcast; at most 1 / HOT keys can be so frequent.
@@ -112,6 +132,49 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def texts_of(column: pa.Array) -> list[bytes]:
+    """A string column as bytes; nulls are empty."""
+    return [t or b"" for t in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
+
+
+def runs_of(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in runs of about ``most`` bytes, each with the number of its first; a longer text is a run of its own."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield first, texts[first:i]
+            first, size = i, 0
+        size += len(t)
+    if first < len(texts):
+        yield first, texts[first:]
+
+
+class _Names(dict):
+    """Word to the BLAKE2 digest of its bytes. Forgets all when full."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= 500_000:
+            self.clear()
+        name = hashlib.blake2b(word, digest_size=16).digest()
+        if len(word) <= 64:
+            self[word] = name
+        return name
+
+
+_names = _Names()
+
+
+def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Words `[^\\x20\\x09-\\x0D]+` of texts one after the other, and where those of each text begin."""
+    split = [t.split() for t in texts]  # bytes split at \x20 and \x09-\x0D
+    return list(chain.from_iterable(split)), np.cumsum([0, *map(len, split)])
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """128 bits of a cryptographic hash of each word, as two columns."""
+    return np.frombuffer(b"".join(map(_names.__getitem__, words)), np.uint64).reshape(-1, 2)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit hash."""
     x = x.astype(np.uint64, copy=True)
@@ -121,29 +184,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_ODD = 0x9E3779B97F4A7C15 | 1
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    global _powers, _inverses
-    if len(_powers) < n:
-        n = 1 << (n - 1).bit_length()
-        _powers, _inverses = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]))
-                              for x in (_ODD, pow(_ODD, -1, 1 << 64)))
-    return _powers[:n], _inverses[:n]
-
-
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of values[start:end] for each span: differences of one running polynomial sum."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTE[data], starts, ends)
+def run_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hash of each run of ``width`` hashes: halves are mixed pairwise, so no run of any pattern sums to another."""
+    n = len(hashes) - width + 1
+    if n <= 0 or not width:
+        return np.zeros(max(n, 0), np.uint64)
+    out, have, level, size = None, 0, hashes, 1
+    while True:
+        if width & size:
+            out = level[:n] if out is None else mix(out * _ODD + level[have:have + n])
+            have += size
+        if have == width:
+            return out
+        level = mix(level[:-size] * _ODD + level[size:])
+        size *= 2

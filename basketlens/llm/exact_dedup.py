@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import prepare, rows_of, texts
+from basketlens.llm.common import lookup, prepare, rows_of, texts
 
 #: Spill files per level, by four more bits of the digest.
 FAN_OUT_BITS = 4
@@ -181,13 +181,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = records.repartition(F.col("digest")).mapInArrow(
         _resolve(table_bytes), "digest binary, group_size bigint, keep_id bigint")
     members = rows.mapInArrow(_digests, "doc_id bigint, digest binary")
-    # One small row per document on the left, one per distinct text on the right: a digest that many rows share is
-    # split by adaptive execution. A doubled digest on the right would be two texts with one SHA-256.
+    # A doubled digest would be two texts with one SHA-256.
     checked = groups.groupBy("digest").agg(
         F.when(F.count(F.lit(1)) == 1, F.max("group_size"))
         .otherwise(F.raise_error(F.lit("two texts with one SHA-256"))).cast("long").alias("group_size"),
         F.max("keep_id").alias("keep_id"))
-    return members.join(checked, "digest", "left").select("doc_id", "digest", "group_size", "keep_id")
+    return lookup(members, checked, "digest", "group_size").select("doc_id", "digest", "group_size", "keep_id")
 
 
 def exact_dedup_report(docs: DataFrame) -> DataFrame:
@@ -205,7 +204,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row per distinct text: the one with the largest id. Columns stay as they are.
 
     Of rows that share both that id and the text any one stays. An id with several texts is decided for each text by
-    itself. Of a group of null ids alone one row stays; next to any id a null id loses.
+    itself. Of a group of null ids alone one row stays; next to any id a null id loses. Null texts count as empty ones
+    but stay null; columns of any name are kept; an empty table gives no rows.
     """
     kept = exact_groups(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     kept = kept.groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(

@@ -29,14 +29,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
     Alternating large and small stars; a node with very many neighbours is summed map-side and its rows are split
     by adaptive execution, none is ever collected. Each round is written to the shared folder, so lineage stays
-    short. Loops and repeated edges do no harm; no edges give no rows.
+    short. Nodes may be numbers, strings or binary. Loops and repeated edges do no harm; no edges give no rows.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = materialize(edges, f"{name}-edges")
     seen = None
     for _ in range(MOST_ROUNDS):
-        state = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.min("a"), F.expr("sum(cast(a as decimal(38)))"),
-                          F.expr("sum(cast(b as decimal(38)))")).head()
+        state = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.min("a"),
+                          F.expr("sum(cast(xxhash64(b, a) as decimal(38)))")).head()
         if tuple(state) == seen:
             roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

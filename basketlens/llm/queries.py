@@ -118,7 +118,8 @@ SQL = {
                   where 100 * c >= 90 * (x.n + y.n - c)),
         reached as (select doc_id, doc_id as other from words
                     union select r.doc_id, l.b from reached r join links l on l.a = r.other)
-        select doc_id, coalesce(max(n), 0) as n_shingles, min(other) as component_id
+        select doc_id, coalesce(max(n), 0) as n_shingles, min(other) as component_id,
+               (select count(*) from links where a = reached.doc_id) as n_links
         from reached left join sizes using (doc_id) group by doc_id""",
     "op12_lexical_search": r"""
         with cut as (

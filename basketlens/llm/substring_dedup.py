@@ -1,12 +1,18 @@
 """Repeated passages by compaction of a De Bruijn graph of words.
 
-A window of ``window`` words is an edge of the graph. Edges are not listed one by one: consecutive windows of a
-document with the same least k-mer form a path, and since equal windows have equal least k-mers, only paths of one
-k-mer can share windows. Spark joins find the k-mers that occur more than once; there, paths with the same words
-are one nonbranching path, repeated as a whole and never unpacked. Only where paths of one k-mer differ are the
-windows of the distinct paths compared. What is repeated goes back, by source coordinates, to spans of documents.
+Every window of ``window`` words is an edge of the graph, from the node of its first ``window`` - 1 words to that of its
+last. Only edges that occur more than once matter, and they are found in three steps. Consecutive windows of a text with
+the same least k-mer make a run; equal windows have equal least k-mers, so runs of a k-mer that occurs once are left at
+once. Runs with the same words are one path of edges, repeated as a whole. Where runs of one k-mer differ, the windows
+of each different run are unpacked to single edges and counted.
 
-Words and windows are compared by 64-bit hashes; a path is the hash of its words together with its k-mer.
+Joins with the degrees of the nodes then compact the graph: edges that follow one another in the text that holds them
+first, across a node with one edge in and one out, become one path. Each text's occurrences of a path, contiguous
+again, are one span with the coordinates of the path's source. Before a word goes, the words of every span are compared
+(by SHA-256) with the words at its source coordinates.
+
+Runs and windows are told apart by 128-bit BLAKE2 digests of their words, texts by their SHA-256; the 64-bit hashes of
+k-mers only gather, and those of nodes only say where paths end.
 """
 
 from __future__ import annotations
@@ -15,27 +21,24 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import flat, mix, pieces, prepare, span_hashes, texts, word_hashes, word_spans
+from basketlens.llm.common import HOT, fresh, prepare, run_hashes, runs_of, text_key, texts, texts_of, word_hashes, words_of
 from basketlens.session import materialize
 
 #: Words of a repeated window, and of the k-mers by which windows are gathered.
 WINDOW, KMER = 35, 11
+#: Spans of a frequent text up to which it is looked up by broadcast.
+FEW_SPANS = 64
 
 
 def least_kmers(hashes: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the k-mer at each word, and the least of them in the window that begins there (shorter at the end)."""
-    n = len(hashes) - kmer + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    at = np.arange(n)
-    kmers = mix(span_hashes(hashes, at, at + kmer))
+    kmers = run_hashes(hashes, kmer)
     width, have, least = window - kmer + 1, 1, kmers
-    while have < width:
+    while have < width and len(least):
         step = min(have, width - have)
         moved = least[step:]
         least = np.concatenate([np.minimum(least[:len(moved)], moved), least[len(moved):]])
@@ -43,164 +46,292 @@ def least_kmers(hashes: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray,
     return kmers, least
 
 
-def paths(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, kmer: int = KMER) -> tuple[np.ndarray, ...]:
-    """Maximal runs of windows with one least k-mer: text, start, windows, that k-mer, hash of the words, and how
-    often the k-mer occurs in the run."""
-    starts, ends, first = word_spans(data, offsets)
-    hashes, counts = word_hashes(data, starts, ends), np.diff(first)
-    kmers, least = least_kmers(hashes, window, kmer)
+class Words:
+    """Words of some texts, one after the other; digests of word ranges."""
+
+    def __init__(self, texts: list[bytes]):
+        self.words, self.first = words_of(texts)
+        self.counts = np.diff(self.first)
+        self.joined = b" ".join(self.words)
+        length = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        self.ends = np.cumsum(length + 1) - 1
+        self.starts = self.ends - length
+
+    def digests(self, begin: np.ndarray, end: np.ndarray, make=lambda b: hashlib.blake2b(b, digest_size=16)) -> list[bytes]:
+        """Digest of the words [begin, end) of each range, joined by one space."""
+        view = memoryview(self.joined)
+        return [make(view[a:b]).digest() for a, b in zip(self.starts[begin].tolist(), self.ends[end - 1].tolist())]
+
+
+def runs(words: Words, window: int, kmer: int) -> tuple[np.ndarray, ...]:
+    """Maximal runs of windows with one least k-mer: text, first word (of all texts), windows, that k-mer, and how
+    often it occurs in the run."""
+    first, counts = words.first, words.counts
+    kmers, least = least_kmers(word_hashes(words.words)[:, 0], window, kmer)
     text_of = np.repeat(np.arange(len(counts)), counts)[:len(least)]
     valid = np.flatnonzero(np.arange(len(least)) - first[:-1][text_of] + window <= counts[text_of])
     if not len(valid):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     value, text_of = least[valid], text_of[valid]
     new = np.ones(len(valid), bool)
     new[1:] = (value[1:] != value[:-1]) | (text_of[1:] != text_of[:-1])
     begin = np.flatnonzero(new)
     windows = np.diff(np.append(begin, len(valid)))
     start, value, text_of = valid[begin], value[begin], text_of[begin]
-    words = span_hashes(hashes, start, start + windows + window - 1)
     # Places of the least k-mer within each run: of all k-mers that belong to it, those with its value.
     reach = windows + window - kmer
-    at = np.repeat(start - np.concatenate([[0], np.cumsum(reach)[:-1]]), reach) + np.arange(reach.sum())
-    places = np.add.reduceat((kmers[at] == np.repeat(value, reach)).astype(np.int64), np.concatenate([[0], np.cumsum(reach)[:-1]]))
-    return text_of, start - first[:-1][text_of], windows, value, words, places
+    base = np.concatenate([[0], np.cumsum(reach)[:-1]])
+    at = np.repeat(start - base, reach) + np.arange(reach.sum())
+    places = np.add.reduceat((kmers[at] == np.repeat(value, reach)).astype(np.int64), base)
+    return text_of, start, windows, value, np.minimum(places, 2)
+
+
+def _seeds(window: int, kmer: int):
+    """(kmer, places) of every run."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, some in runs_of(texts_of(batch.column(1))):
+                _, _, _, value, places = runs(Words(some), window, kmer)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(places.astype(np.int32))], ["kmer", "places"])
+    return run
+
+
+def _edge_columns(words: Words, row: np.ndarray, key: pa.Array, start: np.ndarray, windows: np.ndarray, window: int) -> list[pa.Array]:
+    """key, start, windows, digest, and the nodes at both ends, of ranges of windows; ``start`` counts words of all texts."""
+    nodes = run_hashes(word_hashes(words.words)[:, 0], window - 1) if window > 1 else np.zeros(len(words.words) + 1, np.uint64)
+    return [key.take(pa.array(row)), pa.array((start - words.first[row]).astype(np.int32)), pa.array(windows.astype(np.int32)),
+            pa.array(words.digests(start, start + windows + window - 1), pa.binary()),
+            pa.array(nodes[start].view(np.int64)), pa.array(nodes[start + windows].view(np.int64))]
+
 
+EDGE = ["key", "start", "windows", "edge", "tail", "head"]
+EDGE_TYPE = "key binary, start int, windows int, edge binary, tail bigint, head bigint"
 
-def _paths(window: int, kmer: int):
+
+def _runs(window: int, kmer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            for a, b in pieces(offsets):
-                text, start, windows, value, words, places = paths(
-                    data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], window, kmer)
-                row = pa.array(text + a)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(2).take(row), pa.array(start.astype(np.int32)),
-                     pa.array(windows.astype(np.int32)), pa.array(value.view(np.int64)), pa.array(words.view(np.int64)),
-                     pa.array(np.minimum(places, 2).astype(np.int32))],
-                    ["doc_id", "mark", "start", "windows", "kmer", "words", "places"])
+            for a, some in runs_of(texts_of(batch.column(1))):
+                words = Words(some)
+                text, start, windows, value, places = runs(words, window, kmer)
+                columns = _edge_columns(words, text, batch.column(0).slice(a, len(some)), start, windows, window)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(value.view(np.int64)), pa.array(places.astype(np.int32))],
+                                                 [*EDGE, "kmer", "places"])
     return run
 
 
 def _windows(window: int):
-    """Hash of every window of the asked paths of a document; rows: doc_id, text, mark, asked."""
+    """Every window of the asked runs of a text as an edge; rows: key, text, asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column(1))
-            asked = batch.column(3).to_pylist()
-            for a, b in pieces(offsets):
-                starts, ends, first = word_spans(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                hashes = word_hashes(data[offsets[a]:offsets[b]], starts, ends)
+            asked = batch.column(2).to_pylist()
+            for a, some in runs_of(texts_of(batch.column(1))):
+                words = Words(some)
                 row, begin, count, times = (np.array(x, np.int64) for x in zip(*(
-                    (i, s["start"], s["windows"], s["times"]) for i in range(a, b) for s in asked[i])))
+                    (i, s["start"], s["windows"], s["times"]) for i in range(len(some)) for s in asked[a + i])))
                 row, times = np.repeat(row, count), np.repeat(times, count)
-                at = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                here = at + first[row - a]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), batch.column(2).take(pa.array(row)),
-                     pa.array(at.astype(np.int32)), pa.array(times),
-                     pa.array(span_hashes(hashes, here, here + window).view(np.int64))],
-                    ["doc_id", "mark", "start", "times", "hash"])
+                start = words.first[row] + np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+                columns = _edge_columns(words, row, batch.column(0).slice(a, len(some)), start, np.ones(len(row), np.int64), window)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(times)], [*EDGE, "times"])
     return run
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
-    """(doc_id, mark, spans): the word ranges of repeated windows of each affected row of (doc_id, text, mark)."""
-    listed = rows.mapInArrow(_paths(window, kmer), "doc_id bigint, mark int, start int, windows int, kmer bigint, "
-                                                   "words bigint, places int")
-    shared = listed.groupBy("kmer").agg(F.sum("places").alias("all")).where("all > 1").select("kmer")
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text once for each partition, so that copies don't travel; rows: key, text."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        new = []
+        for i, key in enumerate(batch.column(0).to_pylist()):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        yield batch.take(pa.array(new, pa.int64()))
+
+
+def repeated_edges(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> tuple[DataFrame, DataFrame]:
+    """(occurrences, edges) of the graph of repeated windows of (key, text).
+
+    occurrences: key, start, windows, edge. edges: edge, windows, tail, head, source (key, start), the first place.
+    """
+    seeds = rows.mapInArrow(_seeds(window, kmer), "kmer bigint, places int")
+    shared = seeds.groupBy("kmer").agg(F.sum("places").alias("all")).where("all > 1").select("kmer")
+    listed = rows.mapInArrow(_runs(window, kmer), f"{EDGE_TYPE}, kmer bigint, places int")
     met = materialize(listed.join(shared, "kmer"), "shared-kmers")
-    contents = met.groupBy("kmer", "words").agg(
-        F.count(F.lit(1)).alias("times"), F.max("places").alias("places"),
-        F.min(F.struct("doc_id", "mark", "start", "windows")).alias("source"))
-    contents = materialize(contents, "distinct-paths")
-    whole = met.join(contents.where("times > 1").select("kmer", "words"), ["kmer", "words"])
-    whole = whole.select("doc_id", "mark", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
-    # A path that occurs once may still share windows with the other paths of its k-mer, or with itself.
-    branching = contents.groupBy("kmer").agg(F.min("times").alias("least"), F.count(F.lit(1)).alias("paths"),
-                                             F.max("places").alias("places"))
-    branching = branching.where("least = 1 and (paths > 1 or places > 1)").select("kmer")
-    asked = contents.join(branching, "kmer").select("source.*", "times").groupBy("doc_id", "mark").agg(
-        F.collect_list(F.struct("start", "windows", "times")).alias("asked"))  # at most one path for each word
-    asked = materialize(asked, "branching-paths").withColumnsRenamed({"doc_id": "of", "mark": "of_mark"})
+    contents = met.groupBy("kmer", "edge").agg(
+        F.count(F.lit(1)).alias("times"), F.max("places").alias("places"), F.first("windows").alias("windows"),
+        F.first("tail").alias("tail"), F.first("head").alias("head"), F.min(F.struct("key", "start")).alias("source"))
+    contents = materialize(contents, "distinct-runs")
+    whole = contents.where("times > 1")
+    occurs = met.select("kmer", "key", "start", "windows", "edge").join(whole.select("kmer", "edge"), ["kmer", "edge"], "left_semi")
+    # A run that occurs once may still share windows with the other runs of its k-mer, or with itself.
+    branching = contents.groupBy("kmer").agg(F.min("times").alias("least"), F.count(F.lit(1)).alias("runs"), F.max("places").alias("places"))
+    branching = branching.where("least = 1 and (runs > 1 or places > 1)").select("kmer")
+    asked = contents.join(branching, "kmer").groupBy("source.key").agg(
+        F.collect_list(F.struct("source.start", "windows", "times")).alias("asked"))  # at most one run for each word
+    asked = materialize(asked, "branching-runs")
     # The source coordinates lead back to the words themselves.
-    found = rows.join(asked, rows.doc_id.eqNullSafe(asked.of) & (rows.mark == asked.of_mark))
-    found = found.select("doc_id", "text", "mark", "asked").dropDuplicates(["doc_id", "mark"]).mapInArrow(
-        _windows(window), "doc_id bigint, mark int, start int, times bigint, hash bigint")
+    once = rows.mapInArrow(_once, "key binary, text string")
+    found = once.join(asked, "key").dropDuplicates(["key"]).mapInArrow(_windows(window), f"{EDGE_TYPE}, times bigint")
     found = materialize(found, "windows")
-    again = found.groupBy("hash").agg(F.sum("times").alias("all")).where("all > 1").select("hash")
-    part = found.where("times = 1").join(again, "hash").select("doc_id", "mark", "start", (F.col("start") + window).alias("end"))
-    return whole.unionByName(part).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    again = found.groupBy("edge").agg(F.sum("times").alias("all"), F.min("times").alias("least"), F.first("tail").alias("tail"),
+                                      F.first("head").alias("head"), F.min(F.struct("key", "start")).alias("source"))
+    again = materialize(again.where("all > 1 and least = 1"), "repeated-windows")
+    single = found.where("times = 1").select("key", "start", "windows", "edge").join(again.select("edge"), "edge", "left_semi")
+    edges = whole.select("edge", "windows", "tail", "head", "source").unionByName(
+        again.select("edge", F.lit(1).alias("windows"), "tail", "head", "source"))
+    columns = ["key", "start", "windows", "edge"]
+    return occurs.select(columns).unionByName(single.select(columns)).distinct(), edges
+
+
+def compacted(edges: DataFrame) -> DataFrame:
+    """(edge, path, place): the path of each edge, named by its source coordinates, and the windows of the path before it.
+
+    An edge follows the one before it in its source text if nothing else enters or leaves the node between them.
+    """
+    out = edges.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("out"))
+    into = edges.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("into"))
+    plain = out.where("out = 1").join(into.where("into = 1"), "node").select("node")
+    marked = edges.join(plain, edges["tail"] == plain["node"], "left").select(
+        "edge", "windows", "head", "tail", F.col("source.key").alias("of"), F.col("source.start").alias("start"),
+        F.col("node").isNotNull().alias("plain"), (F.col("windows") == 1).alias("single"))
+    # A single window may have its source inside a longer run. As many rows as a text has words, at most.
+    order = Window.partitionBy("of", "single").orderBy("start")
+    follows = F.col("plain") & (F.lag("head").over(order) == F.col("tail")) & (
+        F.lag(F.col("start") + F.col("windows")).over(order) == F.col("start"))
+    marked = marked.withColumn("begins", F.when(F.coalesce(follows, F.lit(False)), None).otherwise(F.col("start")))
+    begun = marked.withColumn("begins", F.last("begins", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return begun.select("edge", F.struct("of", "begins").alias("path"), (F.col("start") - F.col("begins")).alias("place"))
+
+
+def repeated_spans(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+    """(key, start, end, of, at): word ranges of repeated windows, and the source coordinates of the same words."""
+    occurs, edges = repeated_edges(rows, window, kmer)
+    on_path = occurs.join(compacted(edges), "edge").select(
+        "key", "start", (F.col("start") + F.col("windows")).alias("end"), "path", (F.col("start") - F.col("place")).alias("base"))
+    order = Window.partitionBy("key", "path", "base").orderBy("start")
+    apart = F.coalesce(F.lag("end").over(order) != F.col("start"), F.lit(True))
+    number = F.sum(F.when(apart, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    spans = on_path.withColumn("number", number).groupBy("key", "path", "base", "number").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.select("key", "start", (F.col("end") + (window - 1)).alias("end"), F.col("path.of").alias("of"),
+                        (F.col("path.begins") + F.col("start") - F.col("base")).alias("at"))
 
 
-def _cut(text: bytes, spans: list | None) -> tuple[int, int, bytes]:
-    """Words, removed words, and the kept words joined by one space."""
-    words = text.split()  # of bytes: at \x20 and \x09-\x0D
-    if spans is None or not len(spans):
-        return len(words), 0, b" ".join(words)
+def _cut(words: list[bytes], spans: list) -> tuple[int, bytes]:
+    """Removed words, and the kept words joined by one space."""
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, [s["start"] for s in spans], 1)
     np.add.at(edge, [s["end"] for s in spans], -1)
     kept = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
-    return len(words), len(words) - len(kept), b" ".join([words[i] for i in kept])
+    return len(words) - len(kept), b" ".join([words[i] for i in kept])
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, mark); the mark tells rows of one id but different texts apart."""
-    return texts(docs, id_col, text_col).withColumn("mark", F.hash("text"))
+DONE = {"n_words": "bigint", "n_removed": "bigint", "kept": "string",
+        "checks": "array<struct<of: binary, at: int, words: int, digest: binary>>"}
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                kmer: int = KMER) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the kept words joined by one space) for every row.
+def _done(names: list[str]):
+    """Cut texts, and digests of the words at coordinates to be compared; columns: any, then text, spans."""
+    digest = pa.list_(pa.struct([("of", pa.binary()), ("at", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())]))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for text, spans in zip(texts_of(batch.column(batch.num_columns - 2)), batch.column(batch.num_columns - 1).to_pylist()):
+            if not spans:
+                words = text.split()
+                rows.append((len(words), 0, b" ".join(words), []))
+                continue
+            held = Words([text])
+            a, b = (np.array([s[k] for s in spans], np.int64) for k in ("start", "end"))
+            made = held.digests(a, b, hashlib.sha256)
+            checks = [{"of": s["of"], "at": s["at"], "words": s["end"] - s["start"], "digest": d} for s, d in zip(spans, made)]
+            rows.append((len(held.words), *_cut(held.words, [s for s in spans if s["goes"]]), checks))
+        n, removed, kept, checks = zip(*rows) if rows else ((),) * 4
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:-2], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array([k.decode("utf-8", "replace") for k in kept], pa.string()), pa.array(checks, digest)],
+            [*batch.schema.names[:-2], *names])
 
-    Words are `[^\\x20\\x09-\\x0D]+`, unchanged. A word goes if a window of ``window`` consecutive words of its
-    document covers it whose words also begin anywhere else, in the same document or another; windows are judged on
-    the input. Null and empty texts have no words; texts shorter than a window lose nothing; of repeated rows all
-    long enough lose their words. An empty table gives no rows; other columns are ignored.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [_cut(t.encode("utf-8", "replace"), s)
-                     for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            words, removed, kept = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array([k.decode("utf-8", "replace") for k in kept], pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept"])
+        yield from map(cut, batches)
+    return run
+
 
+def verify(checks: DataFrame) -> None:
+    """Fail unless the words of every span are those at its source coordinates; rows (of, at, words, digest)."""
+    bad = checks.groupBy("of", "at", "words").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    if bad.where("least <> most").limit(1).count():
+        raise RuntimeError("two different passages share a 128-bit digest")
+
+
+def _answered(docs: DataFrame, text: Column, window: int, kmer: int) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with n_words, n_removed and kept under fresh names, which are returned; spans verified."""
     if not 0 < kmer <= window:
         raise ValueError("a k-mer has to fit into a window")
     prepare(docs.sparkSession)
-    rows = _rows(docs, id_col, text_col)
+    rows = docs.select(text_key(text).alias("key"), text.alias("text"))
     spans = materialize(repeated_spans(rows, window, kmer), "repeated-spans")
-    spans = spans.withColumnsRenamed({"doc_id": "of", "mark": "of_mark"})
-    joined = rows.join(spans, rows.doc_id.eqNullSafe(spans.of) & (rows.mark == spans.of_mark), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(
-        run, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    mine = spans.select("key", "start", "end", "of", "at", F.lit(True).alias("goes"))
+    source = spans.select("of", "at", (F.col("end") - F.col("start")).alias("words")).distinct()
+    source = source.select(F.col("of").alias("key"), F.col("at").alias("start"), (F.col("at") + F.col("words")).alias("end"),
+                           "of", "at", F.lit(False).alias("goes"))
+    asks = mine.unionByName(source).groupBy("key").agg(F.collect_set(F.struct("start", "end", "of", "at", "goes")).alias("spans"))
+    asks = materialize(asks, "spans-of-texts")
+    # Texts with over a thousandth of all rows are looked up by broadcast: copies, whose spans are few.
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    total = docs.select(F.lit(1)).count()
+    many = counts.where(F.col("rows") > int(total * HOT)).join(asks, "key", "left").where(F.coalesce(F.size("spans") <= FEW_SPANS, F.lit(True)))
+    names = {c: fresh(docs, c) for c in ("of_key", "of_text", "n_words", "n_removed", "kept", "checks", "spans", "key")}
+    named = lambda df: df.select(F.col("key").alias(names["key"]), F.col("spans").alias(names["spans"]))
+    many, asks = F.broadcast(named(materialize(many.select("key", "spans"), "frequent-texts"))), named(asks)
+    marked = docs.withColumn(names["of_key"], text_key(text)).withColumn(names["of_text"], text)
+    same = F.col(names["of_key"]) == F.col(names["key"])
+    rest = marked.join(many, same, "left_anti").join(asks, same, "left")
+    both = marked.join(many, same).unionByName(rest).select(*docs.columns, names["of_text"], names["spans"])
+    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{names[c]} {t}" for c, t in DONE.items())])
+    return both.mapInArrow(_done([names[c] for c in DONE]), kinds), names
+
 
+def _verified(answered: DataFrame, names: dict[str, str], name: str) -> DataFrame:
+    answered = materialize(answered, name)
+    verify(answered.select(F.explode(names["checks"]).alias("check")).select("check.*"))
+    return answered
 
-def substring_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 for every row."""
-    return cut_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                kmer: int = KMER) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the kept words joined by one space) for every row.
+
+    Words are `[^\\x20\\x09-\\x0D]+`, unchanged. A word goes if a window of ``window`` consecutive words of its
+    document covers it whose words also begin anywhere else, in the same document or another; windows are judged on
+    the input. Null and empty texts have no words; texts shorter than a window lose nothing; of repeated rows, with
+    equal or null ids too, all long enough lose their words. An empty table gives no rows; other columns are ignored.
+    A text is cut into words as a whole, in one task; spans of it are merged as far as paths go.
+    """
+    rows = texts(docs, id_col, text_col)
+    answered, names = _answered(rows, F.col("text"), window, kmer)
+    return _verified(answered.select("doc_id", "n_words", "n_removed", "kept", "checks"), names, "cut-texts").drop("checks")
+
+
+def substring_report(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 for every row, as ``cut_repeats`` defines them."""
+    answered, names = _answered(texts(docs), F.col("text"), window, kmer)
+    answered = answered.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "checks")
+    return _verified(answered, names, "cut-digests").drop("checks")
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
-    """``docs`` with the text of affected rows replaced by their kept words, joined by one space, and n_chars with
-    it; other rows stay as they are. No row is dropped: a text of nothing but repeats becomes empty."""
-    prepare(docs.sparkSession)
-    spans = materialize(repeated_spans(_rows(docs, "doc_id", "text"), window, kmer), "repeated-spans")
-    spans = spans.select(F.col("doc_id").alias("__of"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("__of")) & (F.hash(text) == F.col("__mark")), "left")
-    kept = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(
-        F.pandas_udf(_kept, "string")(text, F.col("__spans")))
-    cut = joined.withColumn("text", kept).withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
-                                                     .otherwise(F.length("text").cast("long")))
-    return cut.select(*docs.columns)
-
-
-def _kept(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([t if s is None else _cut(t.encode("utf-8", "replace"), s)[2].decode("utf-8", "replace")
-                      for t, s in zip(text, spans)])
+    """``docs`` with the text of affected rows replaced by their kept words, joined by one space, and, if there is a
+    column n_chars, that with it; other rows and columns, whatever their names, stay as they are.
+
+    No row is dropped: a text of nothing but repeats becomes empty. Repeated rows, null ids and null texts are as in
+    ``cut_repeats``.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    answered, names = _answered(docs, text, window, kmer)
+    cut, kept = F.col(names["n_removed"]) > 0, F.col(names["kept"])
+    answered = answered.withColumn("text", F.when(cut, kept).otherwise(F.col("text")))
+    if (name := next((c for c in docs.columns if c.lower() == "n_chars"), None)) is not None:
+        kind = docs.schema[name].dataType
+        answered = answered.withColumn(name, F.when(cut, F.length(kept).cast(kind)).otherwise(F.col(name)))
+    return _verified(answered.select(*docs.columns, names["checks"]), names, "cut-documents").drop(names["checks"])

@@ -4,10 +4,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from basketlens.llm import exact_dedup, graph, shingle_join, substring_dedup
+from basketlens.llm.common import prepare
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NOTHING = [(900, None), (901, ""), (902, " \t\n"), (None, "a b"), (None, "a b"), (903, "a b"), (904, "Ab\x1cB")]
@@ -89,22 +91,26 @@ def test_one_row_for_each_component(spark):
 
 
 def brute_components(rows, percent, width):
+    """(id, shingles, least id of the component, links)"""
     sets = []
     for _, text in rows:
         words = WORD.findall((text or "").encode().lower())
         sets.append({tuple(words[k:k + width]) for k in range(max(1, len(words) - width + 1))} if words else set())
-    label = list(range(len(rows)))
+    label, links = list(range(len(rows))), [0] * len(rows)
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common) and label[i] != label[j]:
-                old, new = label[i], label[j]
-                label = [new if x == old else x for x in label]
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                links[i] += 1
+                links[j] += 1
+                if label[i] != label[j]:
+                    old, new = label[i], label[j]
+                    label = [new if x == old else x for x in label]
     least = {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
             least[label[k]] = min(least.get(label[k], i), i)
-    return sorted(((i, len(sets[k]), least.get(label[k])) for k, (i, _) in enumerate(rows)), key=repr)
+    return sorted(((i, len(sets[k]), least.get(label[k]), links[k]) for k, (i, _) in enumerate(rows)), key=repr)
 
 
 @pytest.mark.parametrize("percent, width, block", [(90, 3, 2048), (80, 5, 4), (80, 3, 3)])
@@ -120,6 +126,7 @@ def test_shingle_join_of_one_large_group(spark):
     rows = [(i, " ".join(base[:i] + [f"other{i}"] + base[i + 1:])) for i in range(150)] + [(500, "something else entirely")]
     got = shingle_join.similar_components(frame(spark, rows), 90, 3, block=16, frequent=4).collect()
     assert {r.component_id for r in got} == {0, 500}
+    assert sorted((r.doc_id, r.n_links) for r in got) == [(i, 149) for i in range(150)] + [(500, 0)]
     kept = shingle_join.one_of_each(frame(spark, rows), 90, 3)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 500]
 
@@ -129,6 +136,28 @@ def test_shingle_join_without_rows(spark):
     assert shingle_join.similar_components(frame(spark, NOTHING[:3])).count() == 3
 
 
+def test_null_ids_cost_no_more_than_ids(spark):
+    """Near copies with null ids: each is found by its text, not by all texts without an id."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(base[:i % 60] + [f"other{i}"] + base[i % 60 + 1:])) for i in range(400)] + [(None, " ".join(base))] * 30
+    got = shingle_join.similar_components(frame(spark, rows), 80, 3).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_components(rows, 80, 3)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    columns = ["doc_id", "text", "of_id", "of_digest", "__id", "__digest", "kept_id", "times", "digest", "id"]
+    docs = spark.createDataFrame([(i, t, *"abcdefgh") for i, t in enumerate(["a b", "A b", "c", "c"])], columns)
+    for kept, ids in ((exact_dedup.drop_copies(docs), [1, 3]), (shingle_join.one_of_each(docs), [0, 2])):
+        assert kept.columns == columns and [tuple(r)[2:] for r in kept.collect()] == [tuple("abcdefgh")] * 2
+        assert sorted(r.doc_id for r in kept.collect()) == ids
+
+
+def test_shingles_that_agree_in_half_their_bits_are_told_apart():
+    values = np.array([[5, 1], [7, 0], [5, 2], [5, 1]], np.uint64)
+    number = shingle_join.numbered(values)
+    assert number[0] == number[3] and len(set(number.tolist())) == 3
+
+
 def test_bands_leave_enough_parts():
     for percent in (80, 90):
         known = shingle_join.bands(percent, 5000)
@@ -147,7 +176,7 @@ def test_components_of_chains_and_stars(spark):
 
 
 def brute_cut(rows, window):
-    split = [(text or "").split() if False else [w.decode() for w in WORD.findall((text or "").encode())] for _, text in rows]
+    split = [[w.decode() for w in WORD.findall((text or "").encode())] for _, text in rows]
     seen = {}
     for words in split:
         for k in range(len(words) - window + 1):
@@ -174,6 +203,83 @@ def test_substrings(spark, window, kmer):
     assert sorted(map(tuple, got), key=repr) == brute_cut(rows, window)
 
 
+def thue_morse(n, a, b):
+    """Words in the order in which sums of powers of any odd number modulo 2**64 can't tell a from b."""
+    return [(a, b)[i.bit_count() & 1] for i in range(n)]
+
+
+def test_words_and_windows_of_like_structure_differ(spark):
+    words = ["".join(thue_morse(2048, *ab)) for ab in ("ab", "ba")]
+    rows = [(i, " ".join([w] + ["same"] * 34)) for i, w in enumerate(words)]
+    rows += [(2 + i, " ".join(thue_morse(4096, *ab))) for i, ab in enumerate((("x", "y"), ("y", "x")))]
+    got = substring_dedup.cut_repeats(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_cut(rows, 35) and [r.n_removed for r in got if r.doc_id < 2] == [0, 0]
+    long = substring_dedup.cut_repeats(frame(spark, rows[2:]), window=2100, kmer=11).collect()
+    assert sorted(map(tuple, long), key=repr) == brute_cut(rows[2:], 2100)
+    alone = [(i, w) for i, w in enumerate(words)]
+    got = shingle_join.similar_components(frame(spark, alone + [(5, words[0].upper())]), 90, 3).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 1), (5, 0)]
+
+
+def test_paths_of_the_graph(spark):
+    """A passage that two texts share: runs inside it are edges as a whole, windows at its ends single ones."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(["a"] + words + ["b"])), (2, " ".join(["c"] + words + ["d"]))]
+    prepare(spark)
+    keyed = frame(spark, rows).select(substring_dedup.text_key(F.col("text")).alias("key"), "text")
+    occurs, edges = substring_dedup.repeated_edges(keyed, 10, 3)
+    assert edges.agg(F.sum("windows")).head()[0] == 51 and occurs.agg(F.sum("windows")).head()[0] == 102
+    paths = substring_dedup.compacted(edges)
+    assert paths.count() == edges.count() > 5 and paths.select("path").distinct().count() <= 3
+    spans = substring_dedup.repeated_spans(keyed, 10, 3).collect()
+    assert len(spans) <= 6 and min(s.start for s in spans) == 1 and max(s.end for s in spans) == 61
+    sources = {(s.of, s.at, s.end - s.start) for s in spans}
+    assert len(sources) <= 3  # both texts lead to the same source coordinates
+
+
+def test_branching_nodes_end_paths(spark):
+    """Two passages that meet in the middle: what follows the common part differs, so no path goes on across it."""
+    left, mid, right = ([f"{x}{i}" for i in range(30)] for x in "lmr")
+    rows = [(i, " ".join(w)) for i, w in enumerate([left + mid, left + mid, mid + right, mid + right, ["x"] + mid[:15]])]
+    prepare(spark)
+    keyed = frame(spark, rows).select(substring_dedup.text_key(F.col("text")).alias("key"), "text")
+    _, edges = substring_dedup.repeated_edges(keyed, 8, 8)
+    got = edges.join(substring_dedup.compacted(edges), "edge").collect()
+    reached = {}
+    for r in got:
+        reached.setdefault(r.path, []).append((r.place, r.windows, r.tail, r.head))
+    tails, heads = [r["tail"] for r in got], [r["head"] for r in got]
+    for steps in reached.values():
+        steps.sort()
+        for (place, windows, _, head), (after, _, tail, _) in zip(steps, steps[1:]):
+            assert place + windows == after and head == tail and tails.count(tail) == heads.count(head) == 1
+
+
+def test_spans_that_differ_from_their_source_end_the_job(spark):
+    checks = [(b"t", 3, 40, b"one"), (b"t", 3, 40, b"one"), (b"t", 9, 40, b"two")]
+    schema = "of binary, at int, words int, digest binary"
+    substring_dedup.verify(spark.createDataFrame(checks, schema))
+    with pytest.raises(RuntimeError):
+        substring_dedup.verify(spark.createDataFrame(checks + [(b"t", 9, 40, b"other")], schema))
+
+
+def test_rows_of_null_or_equal_ids_and_frequent_texts(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(None, f"x{i} {passage if i % 3 else 'plain'} y{i}") for i in range(30)] + [(7, "often " * 50)] * 40 + [(8, None)] * 40
+    got = substring_dedup.cut_repeats(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_cut(rows, 35)
+
+
+def test_drop_repeats_takes_any_columns(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    columns = ["doc_id", "text", "key", "spans", "kept", "n_words", "checks", "of_key", "__of", "goes", "edge"]
+    docs = spark.createDataFrame([(i, f"t{i} {passage}", *"abcdefghi") for i in (1, 2)] + [(3, "stays  here", *"abcdefghi")], columns)
+    got = substring_dedup.drop_repeats(docs)
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect())) == [(1, "t1", *"abcdefghi"), (2, "t2", *"abcdefghi"), (3, "stays  here", *"abcdefghi")]
+    assert substring_dedup.drop_repeats(docs.select("doc_id", "text")).columns == ["doc_id", "text"]
+
+
 def test_drop_repeats_leaves_other_rows_as_they_are(spark):
     passage = " ".join(f"p{i}" for i in range(40))
     rows = [(1, f"one\n\n  {passage}  end"), (2, f"{passage} two"), (3, "keeps\n its  spaces "), (4, None)]

@@ -60,7 +60,7 @@ def test_pipeline_stage_by_stage(spark):
     assert set(distinct) == set(last.values()) and all(distinct[i] == raw[i] for i in distinct)
 
     rows = sorted((i, r.text) for i, r in distinct.items())
-    assert set(apart) == {i for i, _, c in brute_components(rows, 80, 5) if i == c}
+    assert set(apart) == {i for i, _, c, _ in brute_components(rows, 80, 5) if i == c}
 
     want = brute_cut(sorted((i, r.text) for i, r in apart.items()), 35)
     assert set(cut) == set(apart)
