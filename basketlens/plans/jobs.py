@@ -15,6 +15,7 @@ from basketlens.operators import cox, rfm, segmentation as seg, series as ts, su
 from basketlens.operators.cleaning import clean, tables_from
 from basketlens.operators.forecast import seasonal_arima_forecast
 from basketlens.operators.intervals import churn_threshold, purchase_intervals
+from basketlens.operators.likelihood import likelihood_forecast
 from basketlens.operators.sales import daily_sales
 from basketlens.plans import documents as doc
 from basketlens.session import materialize, scratch
@@ -105,8 +106,10 @@ def churn(tables: Tables, segments: DataFrame, reference: str = seg.CHAMPIONS,
     return Churn(threshold, survival, curves, sv.km_median(curves), sv.logrank_test(sv.logrank(survival)), reference)
 
 
-def forecast(tables: Tables, grain: str | None = None) -> Forecast:
-    """Total net sales at the cleaner grain, or the given one, with a backtest on the latest periods."""
+def forecast(tables: Tables, grain: str | None = None, likelihood: bool = True) -> Forecast:
+    """Total net sales at the cleaner grain, or the given one, with a backtest on the latest periods.
+
+    The model is fitted by exact likelihood, or by conditional least squares."""
     sales = daily_sales(tables["invoices"], tables["invoice_items"])
     dense = materialize(ts.trim_partial_periods(ts.daily_sales_dense(sales)), "daily")
     if grain is None:
@@ -115,7 +118,8 @@ def forecast(tables: Tables, grain: str | None = None) -> Forecast:
         choice = {"grain": grain, "seasonal_period": ts.SEASONAL_PERIOD[grain], "test_size": ts.HOLDOUT[grain]}
     grain, period, size = choice["grain"], choice["seasonal_period"], choice["test_size"]
     series = materialize(ts.RESAMPLE[grain](dense), grain)
-    return Forecast(grain, size, series, seasonal_arima_forecast(series, period, size), choice)
+    model = likelihood_forecast if likelihood else seasonal_arima_forecast
+    return Forecast(grain, size, series, model(series, period, size), choice)
 
 
 def kpis(segmentation: Segmentation, lapsed: Churn, sales: Forecast, document: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketlens.functions.scalars import signed_log
 from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
-from basketlens.operators import series as ts, survival as sv
+from basketlens.operators import likelihood as lk, series as ts, survival as sv
 from basketlens.operators.silhouette import silhouette as silhouette_of, silhouettes
 from basketlens.plans import documents, jobs
 from basketlens.session import materialize, scratch_path, ship_package
@@ -26,6 +26,7 @@ REFERENCE = "Quintile 5"
 # Centroids by k that stand in for fits, so that SQL can follow the choice of k; spread along a line.
 GIVEN = {k: [[-1.2 + 2.6 * i / (k - 1), 1.1 - 2.2 * i / (k - 1) + 0.3 * (i % 2), 0.8 - 1.9 * i / (k - 1)] for i in range(k)]
          for k in seg.K_RANGE}
+COEFFICIENTS = (0.3, -0.4, -0.5)  # phi, PHI and theta at which SQL follows the likelihood
 CENTROIDS = [[-0.8, 0.9, 0.6], [0.1, 0.0, 0.2], [1.5, -1.2, -0.7], [0.4, -2.5, -4.0]]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -103,14 +104,17 @@ class Shop:
         daily = sales.daily_sales_by(self.invoices, self.invoice_items, "country", self.customers, "customer_id")
         return ts.monthly_resample(ts.trim_partial_periods(ts.daily_sales_dense(daily)))
 
-
-    def backtest(self) -> DataFrame:
-        """Model and naive forecasts of monthly series, whole and cut to the last two years."""
+    def histories(self) -> DataFrame:
+        """Monthly series per country and in total, whole and cut to the last two years."""
         every = materialize(self.by_country().unionByName(self.series("monthly")), "series")
         newest = F.row_number().over(ts.whole().orderBy(F.col("period").desc()))
         cut = every.withColumn("_newest", newest).filter("_newest <= 24").select(
             F.concat("series_id", F.lit(" 24")).alias("series_id"), "period", "net_sales")
-        return fc.seasonal_arima_forecast(every.unionByName(cut), 12, 3)
+        return every.unionByName(cut)
+
+    def backtest(self) -> DataFrame:
+        """Model and naive forecasts of these series."""
+        return fc.seasonal_arima_forecast(self.histories(), 12, 3)
 
 
 def query(places: int | None = 6):
@@ -420,10 +424,30 @@ def seasonal_arima_forecast(shop: Shop) -> DataFrame:
     return shop.backtest().withColumn("forecast", F.round("forecast", 0))
 
 
+@query(places=4)
+def arima_likelihood(shop: Shop) -> DataFrame:
+    """Exact likelihood of every series at given coefficients, and the forecasts there; shocks in millions."""
+    at = lk.likelihood_at(shop.histories(), 12, 3, COEFFICIENTS)
+    return at.select("series_id", "rows", "loglik", (F.col("variance") / 1e12).alias("variance"),
+                     *[F.round(F.get("ahead", h), 0).alias(f"forecast_{h + 1}") for h in range(3)])
+
+
+@query()
+def likelihood_forecast(shop: Shop) -> DataFrame:
+    """The fit itself: every series has one, not less likely than the least-squares one or the given coefficients."""
+    histories = materialize(shop.histories(), "histories")
+    fits = lk.fit_likelihood(histories, 12, 3)
+    given = lk.likelihood_at(histories, 12, 3, COEFFICIENTS).select("series_id", F.col("loglik").alias("given"))
+    slack = 1e-6
+    return fits.join(given, "series_id").select(
+        "series_id", "rows", (F.col("loglik") >= F.col("least_squares_loglik") - slack).alias("above_least_squares"),
+        (F.col("loglik") >= F.col("given") - slack).alias("above_given"), (F.size("ahead") == 3).alias("forecast"))
+
+
 @query()
 def forecast_document(shop: Shop) -> DataFrame:
     """The document of the monthly series as rows."""
-    return documents.forecast_rows(materialize(jobs.forecast(shop.tables, "monthly").document, "forecast-document"))
+    return documents.forecast_rows(materialize(jobs.forecast(shop.tables, "monthly", likelihood=False).document, "forecast-document"))
 
 
 # --- segmentation --------------------------------------------------------------------------------
@@ -601,7 +625,7 @@ def _parts(shop: Shop) -> tuple[jobs.Segmentation, jobs.Churn, jobs.Forecast]:
     """The jobs behind the dashboard, with given centroids and grain, so that SQL can follow the whole chain."""
     tables = jobs.collapsed(shop.tables)
     segmentation = jobs.segment(tables, given=GIVEN)
-    return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables, "monthly")
+    return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables, "monthly", likelihood=False)
 
 
 @query()
