@@ -19,7 +19,6 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the tables and reports")
     parser.add_argument("--raw", nargs="+", help="raw invoice lines (CSV)")
     parser.add_argument("--home-country", default="United Kingdom")
-    parser.add_argument("--partitions", type=int, default=seg.PARTITIONS, help="layout of the training points")
     parser.add_argument("--restarts", type=int, default=10, help="k-means starts per k")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"basketlens-{args.job}").getOrCreate()
@@ -41,7 +40,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         folder, tables = store.current(spark, args.root), store.read_tables(spark, args.root)
         if args.job == "segment":
-            result = jobs.segment(tables, restarts=args.restarts, partitions=args.partitions)
+            result = jobs.segment(tables, restarts=args.restarts)
             jobs.write_segmentation(result, folder)
             for k, _, score, low, high, chosen, decided in seg.search_rows(result.search):
                 print(f"k = {k}: {score:.4f} ({low:.4f} to {high:.4f})", "chosen" * chosen, "undecided" * (chosen and not decided))

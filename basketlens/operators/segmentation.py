@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from basketlens.functions.scalars import signed_log
-from basketlens.operators.silhouette import BOXES, silhouettes
+from basketlens.operators import kmeans
+from basketlens.operators.silhouette import BOXES, exact_silhouettes, silhouettes
 
 FEATURES = ["recency_days", "frequency", "monetary"]
 SCALED = ["z_recency", "z_frequency", "z_monetary"]
-PARTITIONS = 8  # of the training points, at every size: k-means gives another answer on another layout
-FITS_AT_ONCE = 4
+FINEST = 64  # boxes per axis of the finest grid; what it leaves open is scored over all pairs
 
 # Search range, seed and restarts of the segmentation, and the segment names.
 K_RANGE = range(2, 9)
@@ -62,30 +59,14 @@ def kmeans_assign(scaled: DataFrame, centroids: Sequence[Sequence[float]], segme
     return scaled.withColumn(segment, (F.least(*reaches) if len(reaches) > 1 else reaches[0])["number"])
 
 
-def training_points(scaled: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
-    """Feature vectors in a fixed layout: seeds alone do not fix k-means over differing partitions.
-
-    The layout follows from ``partitions`` and the customer ids, not from the session or the number of rows.
-    A large base wants more partitions, and the same number whenever results are to be compared.
-    """
-    laid_out = scaled.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(laid_out).select("features")
+def training_points(scaled: DataFrame) -> DataFrame:
+    """The points as k-means reads them, stored."""
+    return kmeans.whole_points(scaled, SCALED, "customer_id")
 
 
 def fit_all(points: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED) -> dict[int, tuple[list, float]]:
-    """For each k the centroids, in ascending order, and the cost of the cheapest of several starts.
-
-    Starts run a few at a time over the one cached frame; the first of equally cheap ones counts.
-    """
-    def fit(task: tuple[int, int]) -> tuple[list, float]:
-        k, start = task
-        model = KMeans(k=k, seed=start, maxIter=300, tol=1e-4).fit(points)
-        return sorted([float(x) for x in center] for center in model.clusterCenters()), model.summary.trainingCost
-
-    tasks = [(k, start) for k in ks for start in range(seed, seed + restarts)]
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        fits = list(pool.map(fit, tasks))
-    return {k: min((f for (of, _), f in zip(tasks, fits) if of == k), key=lambda f: f[1]) for k in ks}
+    """For each k the centroids, in ascending order, and the cost of the cheapest of several starts, all fitted together."""
+    return kmeans.fit_all(points, list(ks), range(seed, seed + restarts), len(SCALED))
 
 
 def fit_kmeans(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> tuple[list, float]:
@@ -101,32 +82,54 @@ def kmeans_cost(scaled: DataFrame, centroids: Sequence[Sequence[float]]) -> floa
 
 def kmeans_search(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
                   baseline: str | None = None, given: Mapping[int, Sequence[Sequence[float]]] | None = None,
-                  partitions: int = PARTITIONS, boxes: int = BOXES) -> tuple[list[dict], dict | None]:
-    """Fit every k, or take the ``given`` centroids by k, then score all of them, and a ``baseline`` label column,
-    in one pass over the points.
+                  boxes: int = BOXES, settle: bool = True) -> tuple[list[dict], dict | None]:
+    """Fit every k, or take the ``given`` centroids by k, then score all of them, and a ``baseline`` label column.
 
-    Returns one dict per k with its centroids, cost, silhouette and its bounds, and the score of the baseline.
+    Returns one dict per k with its centroids, cost, silhouette and its bounds, and the score of the baseline. All are
+    scored in one pass; with ``settle``, those that might still be the best are scored again by finer grids, and at
+    last over all pairs, until one is the best.
     """
     if given is None:
-        points = training_points(scaled, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fits = fit_all(points, ks, restarts, seed)
-        finally:
-            points.unpersist()
+        fits = fit_all(training_points(scaled), ks, restarts, seed)
     else:
         fits = {k: (centroids, kmeans_cost(scaled, centroids)) for k, centroids in given.items()}
     labelled = scaled
     for k, (centroids, _) in fits.items():
         labelled = kmeans_assign(labelled, centroids, f"segment_{k}")
     columns = [*(f"segment_{k}" for k in fits), *([baseline] if baseline else [])]
-    scores = {row["labelling"]: row.asDict() for row in silhouettes(labelled, SCALED, columns, boxes).collect()}
+    scores = settled(labelled, columns, boxes) if settle else _scores(silhouettes(labelled, SCALED, columns, boxes))
     search = [{"k": k, "centroids": centroids, "cost": cost, **scores[f"segment_{k}"]}
               for k, (centroids, cost) in fits.items()]
     return search, scores.get(baseline)
 
 
+def _scores(table: DataFrame) -> dict[str, dict]:
+    return {row["labelling"]: row.asDict() for row in table.collect()}
+
+
+def contenders(scores: Mapping[str, Mapping]) -> list[str]:
+    """Labellings whose upper bound reaches the lower bound of the best one; that one alone if it is decided."""
+    best = max(scores.values(), key=lambda s: s["silhouette_low"])
+    return [name for name, s in scores.items() if s["silhouette_high"] >= best["silhouette_low"]]
+
+
+def settled(labelled: DataFrame, columns: Sequence[str], boxes: int = BOXES, finest: int = FINEST) -> dict[str, dict]:
+    """Scores by label column, refined until the best one is certain.
+
+    Each round doubles the boxes of the grid for those whose bounds overlap that of the best; beyond ``finest`` boxes
+    they are scored over all pairs, after which only labellings of equal scores remain together.
+    """
+    scores, open_ = {}, list(columns)
+    while len(open_) > (1 if scores else 0):
+        scores |= _scores(silhouettes(labelled, SCALED, open_, boxes) if boxes <= finest else exact_silhouettes(labelled, SCALED, open_))
+        if boxes > finest:
+            break
+        open_, boxes = contenders(scores), boxes * 2
+    return scores
+
+
 def best_of(search: list[dict]) -> dict:
-    """Highest estimated silhouette, the smallest k on a tie.
+    """Highest silhouette, the smallest k on a tie.
 
     ``decided`` tells whether its lower bound is above the upper bounds of all others.
     """
@@ -145,9 +148,9 @@ def search_rows(search: list[dict]) -> list[tuple]:
 
 
 def choose_k(scaled: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-             given: Mapping[int, Sequence[Sequence[float]]] | None = None) -> DataFrame:
+             given: Mapping[int, Sequence[Sequence[float]]] | None = None, settle: bool = True) -> DataFrame:
     """One row per k with cost, silhouette, its bounds, the choice, and whether the bounds decide it."""
-    search, _ = kmeans_search(scaled, ks, restarts, seed, given=given)
+    search, _ = kmeans_search(scaled, ks, restarts, seed, given=given, settle=settle)
     return scaled.sparkSession.createDataFrame(search_rows(search), SEARCH)
 
 

@@ -81,13 +81,14 @@ def collapsed(tables: Tables) -> Tables:
 
 
 def segment(tables: Tables, ks: Sequence[int] = seg.K_RANGE, restarts: int = seg.RESTARTS, seed: int = seg.SEED,
-            given: Mapping[int, Sequence[Sequence[float]]] | None = None, partitions: int = seg.PARTITIONS) -> Segmentation:
+            given: Mapping[int, Sequence[Sequence[float]]] | None = None, settle: bool = True) -> Segmentation:
     """RFM features, the best k-means clustering by silhouette, named clusters, and the naive baseline.
 
-    ``given`` centroids by k are scored as they are, in place of a fit."""
+    ``given`` centroids by k are scored as they are, in place of a fit. With ``settle`` scores are refined until it is
+    certain which labelling is the best; without, one grid gives bounds."""
     features = materialize(rfm.rfm_features(tables["invoices"], tables["invoice_items"]), "rfm")
     scaled = materialize(seg.scaled_features(features), "scaled")
-    search, naive = seg.kmeans_search(scaled, ks, restarts, seed, "naive_monetary_quintile", given, partitions)
+    search, naive = seg.kmeans_search(scaled, ks, restarts, seed, "naive_monetary_quintile", given, settle=settle)
     best = seg.best_of(search)
     assigned = seg.kmeans_assign(scaled, best["centroids"]).drop(*seg.SCALED)
     named = seg.segment_labels(assigned, rfm.rfm_medians(features).first())

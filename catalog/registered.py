@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketlens.functions.scalars import signed_log
 from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
 from basketlens.operators import likelihood as lk, series as ts, survival as sv
-from basketlens.operators.silhouette import silhouette as silhouette_of, silhouettes
+from basketlens.operators.silhouette import exact_silhouettes, silhouette as silhouette_of, silhouettes
 from basketlens.plans import documents, jobs
 from basketlens.session import materialize, scratch_path, ship_package
 from basketlens.sources import raw as raw_source, tables as store
@@ -480,7 +480,29 @@ def kmeans_segments(shop: Shop) -> DataFrame:
 @query(places=6)
 def choose_k(shop: Shop) -> DataFrame:
     """Scores of given centroids for each k, with the choice and whether the bounds decide it."""
-    return seg.choose_k(shop.scaled(), given=GIVEN)
+    return seg.choose_k(shop.scaled(), given=GIVEN, settle=False)
+
+
+@query()
+def choose_k_decided(shop: Shop) -> DataFrame:
+    """The choice among the given centroids, refined until it is certain; SQL scores all pairs."""
+    rows = seg.choose_k(shop.scaled(), given=GIVEN)
+    return rows.select("k", "chosen", "decided", (F.col("silhouette_low") <= F.col("silhouette_high")).alias("bounded"))
+
+
+@query(places=6)
+def silhouette_exact(shop: Shop) -> DataFrame:
+    """Euclidean silhouette over all pairs: of the spend quintiles and of the labels that given centroids make."""
+    labelled = seg.kmeans_assign(shop.scaled().withColumnRenamed("segment", "quintile"), CENTROIDS)
+    return exact_silhouettes(labelled, seg.SCALED, ["quintile", "segment"]).select("labelling", "silhouette", "points")
+
+
+@query()
+def fitted_segments(shop: Shop) -> DataFrame:
+    """The whole chain on fitted clusters: all customers named, the choice certain, better than quintiles."""
+    result = jobs.segment(jobs.collapsed(shop.tables))
+    named = result.segments.agg(F.count("segment_label").alias("named"))
+    return named.select("named", F.lit(result.best["decided"]).alias("decided"), F.lit(result.beats_naive).alias("beats_naive"))
 
 
 @query(places=6)
@@ -624,7 +646,7 @@ def cox_hazard_ratios(shop: Shop) -> DataFrame:
 def _parts(shop: Shop) -> tuple[jobs.Segmentation, jobs.Churn, jobs.Forecast]:
     """The jobs behind the dashboard, with given centroids and grain, so that SQL can follow the whole chain."""
     tables = jobs.collapsed(shop.tables)
-    segmentation = jobs.segment(tables, given=GIVEN)
+    segmentation = jobs.segment(tables, given=GIVEN, settle=False)
     return segmentation, jobs.churn(tables, segmentation.segments, home_country=HOME), jobs.forecast(tables, "monthly", likelihood=False)
 
 

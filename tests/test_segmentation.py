@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import segmentation as seg
-from basketlens.operators.silhouette import cells, silhouette, silhouettes
+from basketlens.operators import kmeans, segmentation as seg
+from basketlens.operators.silhouette import cells, exact_silhouettes, silhouette, silhouettes
 
 SCHEMA = "customer_id bigint, z_recency double, z_frequency double, z_monetary double, segment int"
 
@@ -90,21 +90,87 @@ def test_kmeans_finds_separated_clouds_and_k(spark):
     assert cost == pytest.approx(inertia)
 
 
-def test_kmeans_does_not_depend_on_the_session(spark):
+def test_kmeans_gives_the_same_digits_on_any_layout(spark):
     x, labels = clouds(900, 11)
-    found = []
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    for number in ("2", "9"):
-        spark.conf.set("spark.sql.shuffle.partitions", number)
-        found.append(seg.fit_kmeans(seg.training_points(points(spark, x, labels)), 4, restarts=2))
-    spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert np.array(found[0][0]) == pytest.approx(np.array(found[1][0]), abs=1e-12) and found[0][1] == pytest.approx(found[1][1])
-    row = seg.kmeans_invariants(points(spark, x, labels), *found[0], rivals=[[0.0, 0, 0], [1, 1, 1], [2, 2, 2], [3, 3, 3]]).first()
+    found = [seg.fit_all(seg.training_points(points(spark, x, labels).repartition(n)), [2, 4], restarts=3) for n in (1, 8, 200)]
+    assert found[0] == found[1] == found[2]
+    fit = found[0][4]
+    assert fit[1] == pytest.approx(seg.kmeans_cost(points(spark, x, labels), fit[0]), rel=1e-6)
+    row = seg.kmeans_invariants(points(spark, x, labels), *fit, rivals=[[0.0, 0, 0], [1, 1, 1], [2, 2, 2], [3, 3, 3]]).first()
     assert tuple(row) == (900, True, True, True)
     poor = seg.kmeans_invariants(points(spark, x, labels), [[0.0, 0, 0], [9, 9, 9]], 1e9, rivals=[[1.0, 1, 1]]).first()
     assert tuple(poor)[2:] == (False, False)
 
 
+def lloyd(x, centres, steps=300):
+    """Plain k-means from given centres."""
+    for _ in range(steps):
+        label = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        moved = np.array([x[label == c].mean(0) if (label == c).any() else centres[c] for c in range(len(centres))])
+        if np.abs(moved - centres).max() <= 1e-9:
+            break
+        centres = moved
+    return moved
+
+
+def test_fits_together_equal_a_plain_fit_of_each_start(spark):
+    x, labels = clouds(500, 3)
+    whole = seg.training_points(points(spark, x, labels))
+    starts = kmeans.seeds(whole, 5, range(42, 45), 3)
+    assert all(len(s) == 5 for s in starts.values()) and len({str(s) for s in starts.values()}) == 3
+    cheapest = lambda k: min(((x[:, None] - lloyd(x, np.array(s[:k]) / kmeans.UNIT)[None]) ** 2).sum(-1).min(1).sum() for s in starts.values())
+    for k, (centroids, cost) in seg.fit_all(whole, [2, 3, 5], restarts=3).items():
+        assert cost == pytest.approx(cheapest(k), rel=1e-4) and len(centroids) == k
+
+
+def test_starts_fall_on_far_points_more_often(spark):
+    x = np.concatenate([np.zeros((50, 3)), np.full((1, 3), 40.0)])
+    starts = kmeans.seeds(seg.training_points(points(spark, x, np.zeros(51))), 3, range(20), 3)
+    assert all(len(s) == 2 and {tuple(c) for c in s} == {(0, 0, 0), (int(40 * kmeans.UNIT),) * 3} for s in starts.values())
+
+
+def test_few_points_and_wrong_numbers(spark):
+    same = seg.training_points(points(spark, np.ones((5, 3)), np.zeros(5)))
+    assert seg.fit_kmeans(same, 3, restarts=2) == ([[1.0, 1.0, 1.0]] * 3, 0.0)
+    for bad in (np.nan, np.inf, 1e6):
+        with pytest.raises(Exception, match="z_recency"):
+            seg.training_points(points(spark, np.array([[bad, 0, 0]]), [0]))
+    with pytest.raises(ValueError):
+        seg.fit_kmeans(seg.training_points(points(spark, np.zeros((0, 3)), [])), 2, restarts=1)
+
+
+@pytest.mark.parametrize("n, blocks", [(40, 16), (3000, 1), (5000, 16)])
+def test_exact_scores_equal_all_pairs(spark, n, blocks):
+    x, labels = clouds(n, n)
+    x[5], labels[7] = x[4], 9
+    df = points(spark, x, labels).withColumn("half", (F.col("z_recency") > 0).cast("int")).cache()
+    rows = {r.labelling: r for r in exact_silhouettes(df, seg.SCALED, ["segment", "half"], blocks).collect()}
+    for c, truth in (("segment", labels), ("half", (x[:, 0] > 0).astype(int))):
+        r = rows[c]
+        assert r.silhouette == pytest.approx(brute_force(x, truth), abs=1e-10) and r.points == n
+        assert r.silhouette_low == r.silhouette == r.silhouette_high
+    with pytest.raises(ValueError):
+        exact_silhouettes(df.withColumn("one", F.lit(1)), seg.SCALED, ["one"])
+
+
+def test_scores_are_refined_until_the_best_is_certain(spark):
+    x, labels = clouds(400, 8)
+    close = labels.copy()
+    close[:2] = (close[:2] + 1) % 3  # almost the same labelling: no coarse grid tells them apart
+    rows = [(i, *map(float, p), int(a), int(b), int(i % 2)) for i, (p, a, b) in enumerate(zip(x, labels, close))]
+    df = spark.createDataFrame(rows, SCHEMA + ", close int, odd int").cache()
+    coarse = seg._scores(silhouettes(df, seg.SCALED, ["segment", "close", "odd"], 4))
+    assert sorted(seg.contenders(coarse)) == ["close", "segment"]
+    for finest in (4, 64):
+        scores = seg.settled(df, ["segment", "close", "odd"], 4, finest)
+        assert len(seg.contenders(scores)) == 1
+        truth = {"segment": brute_force(x, labels), "close": brute_force(x, close)}
+        for c, score in truth.items():
+            assert scores[c]["silhouette_low"] - 1e-12 <= score <= scores[c]["silhouette_high"] + 1e-12
+        assert seg.contenders(scores) == [max(truth, key=truth.get)]
+        assert scores["odd"] == coarse["odd"]  # never in question, never refined
+
+
 def test_ties_take_the_first_centroid_and_the_smallest_k(spark):
     df = points(spark, np.zeros((1, 3)), [5])
     assert seg.kmeans_assign(df, [[1.0, 0, 0], [-1.0, 0, 0]]).first().segment == 0
