@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -137,44 +136,6 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
-def runs_of(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in runs of about ``most`` bytes, each with the number of its first; a longer text is a run of its own."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += len(t)
-    if first < len(texts):
-        yield first, texts[first:]
-
-
-class _Names(dict):
-    """Word to the BLAKE2 digest of its bytes. Forgets all when full."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= 500_000:
-            self.clear()
-        name = hashlib.blake2b(word, digest_size=16).digest()
-        if len(word) <= 64:
-            self[word] = name
-        return name
-
-
-_names = _Names()
-
-
-def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Words `[^\\x20\\x09-\\x0D]+` of texts one after the other, and where those of each text begin."""
-    split = [t.split() for t in texts]  # bytes split at \x20 and \x09-\x0D
-    return list(chain.from_iterable(split)), np.cumsum([0, *map(len, split)])
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """128 bits of a cryptographic hash of each word, as two columns."""
-    return np.frombuffer(b"".join(map(_names.__getitem__, words)), np.uint64).reshape(-1, 2)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit hash."""
     x = x.astype(np.uint64, copy=True)
@@ -185,6 +146,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_LANES = ((np.uint64(0xA0761D6478BD642F), _ODD), (np.uint64(0xE7037ED1A0B428DB), np.uint64(0xD1342543DE82EF95)))
+#: Bytes of a word above which it is hashed alone.
+LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128 bits for each word data[start:end], as two columns: eight bytes at a time are mixed in, so that no order of
+    like bytes sums to another; a long word has a BLAKE2 digest."""
+    length = ends - starts
+    eight = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    lanes = [mix(length.astype(np.uint64) + key) for key, _ in _LANES]
+    at, left = np.flatnonzero(length <= LONG_WORD), length
+    begin, left = starts[at], length[at]
+    while len(at):
+        chunk = eight[begin]
+        short = left < 8
+        chunk[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        for lane, (key, odd) in zip(lanes, _LANES):
+            lane[at] = mix((lane[at] ^ key) * odd + chunk)
+        more = left > 8
+        at, begin, left = at[more], begin[more] + 8, left[more] - 8
+    out = np.stack(lanes, axis=1)
+    for i in np.flatnonzero(length > LONG_WORD):
+        out[i] = np.frombuffer(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=16).digest(), np.uint64)
+    return out
 
 
 def run_hashes(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -11,7 +11,7 @@ Only a spanning forest of links, and for each class the number of its links, eve
 not asked for, two classes in one tile that are already connected are not compared again, so a group of near copies
 costs about one comparison for each member.
 
-Shingles are told apart by 128 bits that come from BLAKE2 digests of their words, sets by a 128-bit digest of their
+Shingles are told apart by 128 bits mixed from 128 bits for each word, sets by a 128-bit BLAKE2 digest of their
 shingles; the first 64 bits of either only seek candidates, so that what collides there is compared in vain.
 """
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import LOWER, lookup, mix, prepare, rows_of, runs_of, text_key, texts, texts_of, word_hashes, words_of
+from basketlens.llm.common import LOWER, flat, lookup, mix, pieces, prepare, rows_of, text_key, texts, word_hashes, word_spans
 from basketlens.llm.graph import components
 from basketlens.session import materialize
 
@@ -43,8 +43,6 @@ PACKET_POSTS = 4_000_000
 #: Ways of cutting a set into parts that are tried in turn, where too many parts come out empty.
 LEVELS = 8
 
-_LOWER = LOWER.tobytes()
-
 
 @dataclass(frozen=True)
 class Band:
@@ -80,17 +78,18 @@ def bands(percent: int, up_to: int) -> tuple[Band, ...]:
     return tuple(out)
 
 
-def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of each text (128 bits in two columns), one after the other, and where each text's begin."""
-    words, first = words_of([t.translate(_LOWER) for t in texts])
-    hashes, counts = word_hashes(words), np.diff(first)
+    data = LOWER[data]
+    starts, ends, first = word_spans(data, offsets)
+    hashes, counts = word_hashes(data, starts, ends), np.diff(first)
     text_of = np.repeat(np.arange(len(counts)), counts)
     size = np.minimum(counts, width)[text_of]  # of the shingle that begins at a word
-    at = np.flatnonzero(np.arange(len(words)) - first[:-1][text_of] <= counts[text_of] - size)
+    at = np.flatnonzero(np.arange(len(starts)) - first[:-1][text_of] <= counts[text_of] - size)
     value = np.repeat(size[at].astype(np.uint64)[:, None], 2, axis=1)
     for i in range(width):
         inside = (i < size[at])[:, None]
-        word = hashes[np.minimum(at + i, max(0, len(words) - 1))]
+        word = hashes[np.minimum(at + i, max(0, len(starts) - 1))]
         value = mix(value * np.uint64(0x9E3779B97F4A7C15) + np.where(inside, word, np.uint64(i)))
     text_of = text_of[at]
     order = np.lexsort((value[:, 0], text_of))
@@ -158,8 +157,9 @@ def posts(values: np.ndarray, first: np.ndarray, percent: int) -> list[np.ndarra
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
     """(batch, first row, sets) of runs of texts; texts are the second column."""
     for batch in batches:
-        for a, some in runs_of(texts_of(batch.column(1))):
-            values, first = shingle_sets(some, width)
+        data, offsets = flat(batch.column(1))
+        for a, b in pieces(offsets):
+            values, first = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
             yield batch, a, [values[i:j] for i, j in zip(first, first[1:])]
 
 

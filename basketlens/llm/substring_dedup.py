@@ -11,8 +11,8 @@ first, across a node with one edge in and one out, become one path. Each text's
 again, are one span with the coordinates of the path's source. Before a word goes, the words of every span are compared
 (by SHA-256) with the words at its source coordinates.
 
-Runs and windows are told apart by 128-bit BLAKE2 digests of their words, texts by their SHA-256; the 64-bit hashes of
-k-mers only gather, and those of nodes only say where paths end.
+Runs and windows are told apart by 128 bits (e1, e2) from 128 bits for each word, texts by 94 bits (k1, k2) of their
+SHA-256; the 64-bit hashes of k-mers only gather, and the 32 bits of a node only say where paths end.
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import HOT, fresh, prepare, run_hashes, runs_of, text_key, texts, texts_of, word_hashes, words_of
+from basketlens.llm.common import HOT, flat, fresh, pieces, prepare, run_hashes, texts, texts_of, word_hashes, word_spans
 from basketlens.session import materialize
 
 #: Words of a repeated window, and of the k-mers by which windows are gathered.
 WINDOW, KMER = 35, 11
+#: Tasks over which the further runs of a k-mer that is frequent in one batch are spread.
+SALTS = 64
 #: Spans of a frequent text up to which it is looked up by broadcast.
 FEW_SPANS = 64
 
@@ -47,27 +49,19 @@ def least_kmers(hashes: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray,
 
 
 class Words:
-    """Words of some texts, one after the other; digests of word ranges."""
+    """Words of some texts, one after the other, as hashes."""
 
-    def __init__(self, texts: list[bytes]):
-        self.words, self.first = words_of(texts)
-        self.counts = np.diff(self.first)
-        self.joined = b" ".join(self.words)
-        length = np.fromiter(map(len, self.words), np.int64, len(self.words))
-        self.ends = np.cumsum(length + 1) - 1
-        self.starts = self.ends - length
-
-    def digests(self, begin: np.ndarray, end: np.ndarray, make=lambda b: hashlib.blake2b(b, digest_size=16)) -> list[bytes]:
-        """Digest of the words [begin, end) of each range, joined by one space."""
-        view = memoryview(self.joined)
-        return [make(view[a:b]).digest() for a, b in zip(self.starts[begin].tolist(), self.ends[end - 1].tolist())]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        starts, ends, self.first = word_spans(data, offsets)
+        self.counts, self.hashes = np.diff(self.first), word_hashes(data, starts, ends)
+        self.plain = np.ascontiguousarray(self.hashes[:, 0])
 
 
 def runs(words: Words, window: int, kmer: int) -> tuple[np.ndarray, ...]:
     """Maximal runs of windows with one least k-mer: text, first word (of all texts), windows, that k-mer, and how
     often it occurs in the run."""
     first, counts = words.first, words.counts
-    kmers, least = least_kmers(word_hashes(words.words)[:, 0], window, kmer)
+    kmers, least = least_kmers(words.plain, window, kmer)
     text_of = np.repeat(np.arange(len(counts)), counts)[:len(least)]
     valid = np.flatnonzero(np.arange(len(least)) - first[:-1][text_of] + window <= counts[text_of])
     if not len(valid):
@@ -86,105 +80,147 @@ def runs(words: Words, window: int, kmer: int) -> tuple[np.ndarray, ...]:
     return text_of, start, windows, value, np.minimum(places, 2)
 
 
-def _seeds(window: int, kmer: int):
-    """(kmer, places) of every run."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, some in runs_of(texts_of(batch.column(1))):
-                _, _, _, value, places = runs(Words(some), window, kmer)
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(places.astype(np.int32))], ["kmer", "places"])
-    return run
+EDGE = {"k1": pa.int64(), "k2": pa.int32(), "start": pa.int32(), "windows": pa.int32(), "e1": pa.int64(), "e2": pa.int64(),
+        "tail": pa.int32(), "head": pa.int32()}
+EDGE_TYPE = "k1 bigint, k2 int, start int, windows int, e1 bigint, e2 bigint, tail int, head int"
 
 
-def _edge_columns(words: Words, row: np.ndarray, key: pa.Array, start: np.ndarray, windows: np.ndarray, window: int) -> list[pa.Array]:
-    """key, start, windows, digest, and the nodes at both ends, of ranges of windows; ``start`` counts words of all texts."""
-    nodes = run_hashes(word_hashes(words.words)[:, 0], window - 1) if window > 1 else np.zeros(len(words.words) + 1, np.uint64)
-    return [key.take(pa.array(row)), pa.array((start - words.first[row]).astype(np.int32)), pa.array(windows.astype(np.int32)),
-            pa.array(words.digests(start, start + windows + window - 1), pa.binary()),
-            pa.array(nodes[start].view(np.int64)), pa.array(nodes[start + windows].view(np.int64))]
+def _edges(words: Words, row: np.ndarray, keys: list[pa.Array], start: np.ndarray, windows: np.ndarray, edge: np.ndarray,
+           window: int) -> list[pa.Array]:
+    """Columns of EDGE for ranges of windows; ``start`` counts the words of all texts, ``edge`` has two columns."""
+    nodes = run_hashes(words.plain, window - 1).astype(np.uint32).view(np.int32) if window > 1 else np.zeros(len(words.plain) + 1, np.int32)
+    values = [start - words.first[row], windows, *edge.view(np.int64).T, nodes[start], nodes[start + windows]]
+    return [k.take(pa.array(row)) for k in keys] + [pa.array(v.astype(t.to_pandas_dtype())) for v, t in zip(values, list(EDGE.values())[2:])]
 
 
-EDGE = ["key", "start", "windows", "edge", "tail", "head"]
-EDGE_TYPE = "key binary, start int, windows int, edge binary, tail bigint, head bigint"
+def _runs(window: int, kmer: int):
+    """Runs as edges, with their k-mer, whether it is repeated for sure, and a salt.
 
+    Of a k-mer that a batch has more than once, one row goes out unsalted to say so and the others need not meet it.
+    """
+    def listed(batch: pa.RecordBatch) -> list[list[pa.Array]]:
+        data, offsets = flat(batch.column(2))
+        out = []
+        for a, b in pieces(offsets):
+            words = Words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            text, start, windows, value, places = runs(words, window, kmer)
+            raw = memoryview(np.ascontiguousarray(words.hashes).view(np.uint8).reshape(-1))
+            digests = b"".join(hashlib.blake2b(raw[16 * i:16 * j], digest_size=16).digest()
+                               for i, j in zip(start.tolist(), (start + windows + window - 1).tolist()))
+            edge = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+            keys = [batch.column(i).slice(a, b - a) for i in (0, 1)]
+            out.append([*_edges(words, text, keys, start, windows, edge, window), pa.array(value.view(np.int64)), pa.array(places)])
+        return out
 
-def _runs(window: int, kmer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, some in runs_of(texts_of(batch.column(1))):
-                words = Words(some)
-                text, start, windows, value, places = runs(words, window, kmer)
-                columns = _edge_columns(words, text, batch.column(0).slice(a, len(some)), start, windows, window)
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(value.view(np.int64)), pa.array(places.astype(np.int32))],
-                                                 [*EDGE, "kmer", "places"])
+            if not (parts := listed(batch)):
+                continue
+            columns = [pa.concat_arrays(c) for c in zip(*parts)]
+            kmers, places = columns[-2].to_numpy(), columns[-1].to_numpy()
+            _, first, number, times = np.unique(kmers, return_index=True, return_inverse=True, return_counts=True)
+            sure = (times[number] > 1) | (places > 1)
+            salt = np.arange(len(kmers)) % SALTS + 1
+            salt[times[number] == 1] = 0
+            salt[first] = 0
+            yield pa.RecordBatch.from_arrays(
+                [*columns[:-1], pa.array(places.astype(np.int32)), pa.array(sure), pa.array(salt.astype(np.int32))],
+                [*EDGE, "kmer", "places", "sure", "salt"])
     return run
 
 
 def _windows(window: int):
-    """Every window of the asked runs of a text as an edge; rows: key, text, asked."""
+    """Every window of the asked runs of a text as an edge; rows: k1, k2, text, asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = batch.column(2).to_pylist()
-            for a, some in runs_of(texts_of(batch.column(1))):
-                words = Words(some)
+            data, offsets = flat(batch.column(2))
+            asked = batch.column(3).to_pylist()
+            for a, b in pieces(offsets):
+                words = Words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 row, begin, count, times = (np.array(x, np.int64) for x in zip(*(
-                    (i, s["start"], s["windows"], s["times"]) for i in range(len(some)) for s in asked[a + i])))
+                    (i - a, s["start"], s["windows"], s["times"]) for i in range(a, b) for s in asked[i])))
                 row, times = np.repeat(row, count), np.repeat(times, count)
                 start = words.first[row] + np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
-                columns = _edge_columns(words, row, batch.column(0).slice(a, len(some)), start, np.ones(len(row), np.int64), window)
+                edge = np.stack([run_hashes(np.ascontiguousarray(words.hashes[:, i]), window)[start] for i in (0, 1)], axis=1)
+                keys = [batch.column(i).slice(a, b - a) for i in (0, 1)]
+                columns = _edges(words, row, keys, start, np.ones(len(row), np.int64), np.ascontiguousarray(edge), window)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(times)], [*EDGE, "times"])
     return run
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text once for each partition, so that copies don't travel; rows: key, text."""
-    seen: set[bytes] = set()
+    """Each text once for each partition, so that copies don't travel; rows: k1, k2, text."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
         new = []
-        for i, key in enumerate(batch.column(0).to_pylist()):
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             if key not in seen:
                 seen.add(key)
                 new.append(i)
         yield batch.take(pa.array(new, pa.int64()))
 
 
+def keys_of(text: Column) -> list[Column]:
+    """94 bits of the SHA-256 of a text, as two numbers from 0 on: with a place in the text they fit into one decimal."""
+    digest = F.sha2(text.cast("binary"), 256)
+    number = [F.conv(F.substring(digest, at, n), 16, -10).cast("bigint") for at, n in ((1, 16), (17, 8))]
+    return [F.shiftrightunsigned(number[0], 1), F.shiftrightunsigned(number[1], 1).cast("int")]
+
+
+def keyed(text: Column, docs: DataFrame) -> DataFrame:
+    return docs.select(text.alias("text")).select(*[k.alias(n) for k, n in zip(keys_of(F.col("text")), KEY)], "text")
+
+
+KEY, NAME = ["k1", "k2"], ["e1", "e2"]
+#: Coordinates (k1, k2, start) as one number, 62 bits for the last two.
+PLACE = "cast(k1 as decimal(38,0)) * 4611686018427387904 + (k2 * 2147483648L + start)"
+
+
+def _sourced(df: DataFrame) -> DataFrame:
+    """``source``, the least PLACE of a group, as coordinates k1, k2, start."""
+    rest = F.expr("cast(source % 4611686018427387904 as bigint)")
+    return df.withColumns({"k1": F.expr("source div 4611686018427387904"), "k2": F.shiftright(rest, 31).cast("int"),
+                           "start": (rest % F.lit(1 << 31)).cast("int")}).drop("source")
+
+
 def repeated_edges(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, edges) of the graph of repeated windows of (key, text).
+    """(occurrences, edges) of the graph of repeated windows of (k1, k2, text).
 
-    occurrences: key, start, windows, edge. edges: edge, windows, tail, head, source (key, start), the first place.
+    occurrences: k1, k2, start, windows, e1, e2. edges: e1, e2, windows, tail, head, the coordinates k1, k2, start of one
+    occurrence, the source, and whether the edge is a single window of a branching run.
     """
-    seeds = rows.mapInArrow(_seeds(window, kmer), "kmer bigint, places int")
-    shared = seeds.groupBy("kmer").agg(F.sum("places").alias("all")).where("all > 1").select("kmer")
-    listed = rows.mapInArrow(_runs(window, kmer), f"{EDGE_TYPE}, kmer bigint, places int")
-    met = materialize(listed.join(shared, "kmer"), "shared-kmers")
-    contents = met.groupBy("kmer", "edge").agg(
-        F.count(F.lit(1)).alias("times"), F.max("places").alias("places"), F.first("windows").alias("windows"),
-        F.first("tail").alias("tail"), F.first("head").alias("head"), F.min(F.struct("key", "start")).alias("source"))
-    contents = materialize(contents, "distinct-runs")
+    listed = rows.mapInArrow(_runs(window, kmer), f"{EDGE_TYPE}, kmer bigint, places int, sure boolean, salt int")
+    meeting = F.count(F.lit(1)).over(Window.partitionBy("kmer", "salt"))
+    met = listed.withColumn("meeting", meeting).where("sure or meeting > 1").drop("sure", "salt", "meeting")
+    met = materialize(met, "shared-kmers")
+    # Numbers alone: such an aggregate hashes and needs no sort. All rows of an edge agree in what is taken as first.
+    source = [*[F.first(c).alias(c) for c in ("windows", "tail", "head")], F.min(F.expr(PLACE)).alias("source")]
+    contents = materialize(_sourced(met.groupBy(*NAME).agg(
+        F.first("kmer").alias("kmer"), F.count(F.lit(1)).alias("times"), F.max("places").alias("places"), *source)), "distinct-runs")
     whole = contents.where("times > 1")
-    occurs = met.select("kmer", "key", "start", "windows", "edge").join(whole.select("kmer", "edge"), ["kmer", "edge"], "left_semi")
+    columns = [*KEY, "start", "windows", *NAME]
+    occurs = met.select(columns).join(whole.select(NAME), NAME, "left_semi")
     # A run that occurs once may still share windows with the other runs of its k-mer, or with itself.
     branching = contents.groupBy("kmer").agg(F.min("times").alias("least"), F.count(F.lit(1)).alias("runs"), F.max("places").alias("places"))
     branching = branching.where("least = 1 and (runs > 1 or places > 1)").select("kmer")
-    asked = contents.join(branching, "kmer").groupBy("source.key").agg(
-        F.collect_list(F.struct("source.start", "windows", "times")).alias("asked"))  # at most one run for each word
+    asked = contents.join(branching, "kmer").groupBy(*KEY).agg(
+        F.collect_list(F.struct("start", "windows", "times")).alias("asked"))  # at most one run for each word
     asked = materialize(asked, "branching-runs")
     # The source coordinates lead back to the words themselves.
-    once = rows.mapInArrow(_once, "key binary, text string")
-    found = once.join(asked, "key").dropDuplicates(["key"]).mapInArrow(_windows(window), f"{EDGE_TYPE}, times bigint")
+    once = rows.mapInArrow(_once, "k1 bigint, k2 int, text string")
+    found = once.join(asked, KEY).dropDuplicates(KEY).mapInArrow(_windows(window), f"{EDGE_TYPE}, times bigint")
     found = materialize(found, "windows")
-    again = found.groupBy("edge").agg(F.sum("times").alias("all"), F.min("times").alias("least"), F.first("tail").alias("tail"),
-                                      F.first("head").alias("head"), F.min(F.struct("key", "start")).alias("source"))
-    again = materialize(again.where("all > 1 and least = 1"), "repeated-windows")
-    single = found.where("times = 1").select("key", "start", "windows", "edge").join(again.select("edge"), "edge", "left_semi")
-    edges = whole.select("edge", "windows", "tail", "head", "source").unionByName(
-        again.select("edge", F.lit(1).alias("windows"), "tail", "head", "source"))
-    columns = ["key", "start", "windows", "edge"]
-    return occurs.select(columns).unionByName(single.select(columns)).distinct(), edges
+    again = found.groupBy(*NAME).agg(F.sum("times").alias("all"), F.min("times").alias("least"), *source)
+    again = materialize(_sourced(again.where("all > 1 and least = 1").drop("all", "least")), "repeated-windows")
+    single = found.where("times = 1").select(columns).join(again.select(NAME), NAME, "left_semi")
+    edges = [*NAME, "windows", "tail", "head", *KEY, "start"]
+    return occurs.unionByName(single).distinct(), whole.select(*edges, F.lit(False).alias("single")).unionByName(
+        again.select(*edges, F.lit(True).alias("single")))
 
 
 def compacted(edges: DataFrame) -> DataFrame:
-    """(edge, path, place): the path of each edge, named by its source coordinates, and the windows of the path before it.
+    """(e1, e2, of1, of2, begins, place): the path of each edge, named by its source coordinates, and the windows of the
+    path before it.
 
     An edge follows the one before it in its source text if nothing else enters or leaves the node between them.
     """
@@ -192,29 +228,30 @@ def compacted(edges: DataFrame) -> DataFrame:
     into = edges.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("into"))
     plain = out.where("out = 1").join(into.where("into = 1"), "node").select("node")
     marked = edges.join(plain, edges["tail"] == plain["node"], "left").select(
-        "edge", "windows", "head", "tail", F.col("source.key").alias("of"), F.col("source.start").alias("start"),
-        F.col("node").isNotNull().alias("plain"), (F.col("windows") == 1).alias("single"))
+        *NAME, "windows", "head", "tail", F.col("k1").alias("of1"), F.col("k2").alias("of2"), "start",
+        F.col("node").isNotNull().alias("plain"), "single")
     # A single window may have its source inside a longer run. As many rows as a text has words, at most.
-    order = Window.partitionBy("of", "single").orderBy("start")
+    order = Window.partitionBy("of1", "of2", "single").orderBy("start")
     follows = F.col("plain") & (F.lag("head").over(order) == F.col("tail")) & (
         F.lag(F.col("start") + F.col("windows")).over(order) == F.col("start"))
     marked = marked.withColumn("begins", F.when(F.coalesce(follows, F.lit(False)), None).otherwise(F.col("start")))
     begun = marked.withColumn("begins", F.last("begins", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return begun.select("edge", F.struct("of", "begins").alias("path"), (F.col("start") - F.col("begins")).alias("place"))
+    return begun.select(*NAME, "of1", "of2", "begins", (F.col("start") - F.col("begins")).alias("place"))
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
-    """(key, start, end, of, at): word ranges of repeated windows, and the source coordinates of the same words."""
+    """(k1, k2, start, end, of1, of2, at): word ranges of repeated windows, and the source coordinates of the same words."""
     occurs, edges = repeated_edges(rows, window, kmer)
-    on_path = occurs.join(compacted(edges), "edge").select(
-        "key", "start", (F.col("start") + F.col("windows")).alias("end"), "path", (F.col("start") - F.col("place")).alias("base"))
-    order = Window.partitionBy("key", "path", "base").orderBy("start")
+    on_path = occurs.join(compacted(edges), NAME).select(
+        *KEY, "start", (F.col("start") + F.col("windows")).alias("end"), "of1", "of2",
+        (F.col("begins") - F.col("start") + F.col("place")).alias("shift"), "begins")
+    order = Window.partitionBy(*KEY, "of1", "of2", "begins", "shift").orderBy("start")
     apart = F.coalesce(F.lag("end").over(order) != F.col("start"), F.lit(True))
     number = F.sum(F.when(apart, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    spans = on_path.withColumn("number", number).groupBy("key", "path", "base", "number").agg(
+    spans = on_path.withColumn("number", number).groupBy(*KEY, "of1", "of2", "begins", "shift", "number").agg(
         F.min("start").alias("start"), F.max("end").alias("end"))
-    return spans.select("key", "start", (F.col("end") + (window - 1)).alias("end"), F.col("path.of").alias("of"),
-                        (F.col("path.begins") + F.col("start") - F.col("base")).alias("at"))
+    return spans.select(*KEY, "start", (F.col("end") + (window - 1)).alias("end"), "of1", "of2",
+                        (F.col("start") + F.col("shift")).alias("at"))
 
 
 def _cut(words: list[bytes], spans: list) -> tuple[int, bytes]:
@@ -226,13 +263,29 @@ def _cut(words: list[bytes], spans: list) -> tuple[int, bytes]:
     return len(words) - len(kept), b" ".join([words[i] for i in kept])
 
 
+class Spelled:
+    """The words of one text, and digests of word ranges."""
+
+    def __init__(self, text: bytes):
+        self.words = text.split()  # of bytes: at \x20 and \x09-\x0D
+        self.joined = memoryview(b" ".join(self.words))
+        length = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        self.ends = np.cumsum(length + 1) - 1
+        self.starts = self.ends - length
+
+    def digests(self, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """SHA-256 of the words [begin, end) of each range, joined by one space."""
+        return [hashlib.sha256(self.joined[a:b]).digest() for a, b in zip(self.starts[begin].tolist(), self.ends[end - 1].tolist())]
+
+
 DONE = {"n_words": "bigint", "n_removed": "bigint", "kept": "string",
-        "checks": "array<struct<of: binary, at: int, words: int, digest: binary>>"}
+        "checks": "array<struct<of1: bigint, of2: int, at: int, words: int, digest: binary>>"}
+SPAN = ("start", "end", "of1", "of2", "at", "goes")
 
 
 def _done(names: list[str]):
     """Cut texts, and digests of the words at coordinates to be compared; columns: any, then text, spans."""
-    digest = pa.list_(pa.struct([("of", pa.binary()), ("at", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())]))
+    check = pa.list_(pa.struct([("of1", pa.int64()), ("of2", pa.int32()), ("at", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())]))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -241,15 +294,15 @@ def _done(names: list[str]):
                 words = text.split()
                 rows.append((len(words), 0, b" ".join(words), []))
                 continue
-            held = Words([text])
-            a, b = (np.array([s[k] for s in spans], np.int64) for k in ("start", "end"))
-            made = held.digests(a, b, hashlib.sha256)
-            checks = [{"of": s["of"], "at": s["at"], "words": s["end"] - s["start"], "digest": d} for s, d in zip(spans, made)]
+            held = Spelled(text)
+            made = held.digests(*(np.array([s[k] for s in spans], np.int64) for k in ("start", "end")))
+            checks = [{"of1": s["of1"], "of2": s["of2"], "at": s["at"], "words": s["end"] - s["start"], "digest": d}
+                      for s, d in zip(spans, made)]
             rows.append((len(held.words), *_cut(held.words, [s for s in spans if s["goes"]]), checks))
         n, removed, kept, checks = zip(*rows) if rows else ((),) * 4
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:-2], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array([k.decode("utf-8", "replace") for k in kept], pa.string()), pa.array(checks, digest)],
+             pa.array([k.decode("utf-8", "replace") for k in kept], pa.string()), pa.array(checks, check)],
             [*batch.schema.names[:-2], *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,34 +311,35 @@ def _done(names: list[str]):
 
 
 def verify(checks: DataFrame) -> None:
-    """Fail unless the words of every span are those at its source coordinates; rows (of, at, words, digest)."""
-    bad = checks.groupBy("of", "at", "words").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    """Fail unless the words of every span are those at its source coordinates; rows (of1, of2, at, words, digest)."""
+    bad = checks.groupBy("of1", "of2", "at", "words").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
     if bad.where("least <> most").limit(1).count():
         raise RuntimeError("two different passages share a 128-bit digest")
 
 
 def _answered(docs: DataFrame, text: Column, window: int, kmer: int) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with n_words, n_removed and kept under fresh names, which are returned; spans verified."""
+    """``docs`` with n_words, n_removed and kept under fresh names, which are returned, and checks for ``verify``."""
     if not 0 < kmer <= window:
         raise ValueError("a k-mer has to fit into a window")
     prepare(docs.sparkSession)
-    rows = docs.select(text_key(text).alias("key"), text.alias("text"))
+    rows = keyed(text, docs)
     spans = materialize(repeated_spans(rows, window, kmer), "repeated-spans")
-    mine = spans.select("key", "start", "end", "of", "at", F.lit(True).alias("goes"))
-    source = spans.select("of", "at", (F.col("end") - F.col("start")).alias("words")).distinct()
-    source = source.select(F.col("of").alias("key"), F.col("at").alias("start"), (F.col("at") + F.col("words")).alias("end"),
-                           "of", "at", F.lit(False).alias("goes"))
-    asks = mine.unionByName(source).groupBy("key").agg(F.collect_set(F.struct("start", "end", "of", "at", "goes")).alias("spans"))
+    mine = spans.withColumn("goes", F.lit(True))
+    source = spans.select(F.col("of1").alias("k1"), F.col("of2").alias("k2"), F.col("at").alias("start"),
+                          (F.col("at") + F.col("end") - F.col("start")).alias("end"), "of1", "of2", "at", F.lit(False).alias("goes"))
+    asks = mine.unionByName(source.distinct()).groupBy(*KEY).agg(F.collect_set(F.struct(*SPAN)).alias("spans"))
     asks = materialize(asks, "spans-of-texts")
     # Texts with over a thousandth of all rows are looked up by broadcast: copies, whose spans are few.
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    counts = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows"))
     total = docs.select(F.lit(1)).count()
-    many = counts.where(F.col("rows") > int(total * HOT)).join(asks, "key", "left").where(F.coalesce(F.size("spans") <= FEW_SPANS, F.lit(True)))
-    names = {c: fresh(docs, c) for c in ("of_key", "of_text", "n_words", "n_removed", "kept", "checks", "spans", "key")}
-    named = lambda df: df.select(F.col("key").alias(names["key"]), F.col("spans").alias(names["spans"]))
-    many, asks = F.broadcast(named(materialize(many.select("key", "spans"), "frequent-texts"))), named(asks)
-    marked = docs.withColumn(names["of_key"], text_key(text)).withColumn(names["of_text"], text)
-    same = F.col(names["of_key"]) == F.col(names["key"])
+    many = counts.where(F.col("rows") > int(total * HOT)).join(asks, KEY, "left").where(F.coalesce(F.size("spans") <= FEW_SPANS, F.lit(True)))
+    many = materialize(many.select(*KEY, "spans"), "frequent-texts")
+    names = {c: fresh(docs, c) for c in ("of_k1", "of_k2", "of_text", "spans", *DONE, *KEY)}
+    named = lambda df: df.select(*[F.col(c).alias(names[c]) for c in (*KEY, "spans")])
+    many, asks = F.broadcast(named(many)), named(asks)
+    first, second = keys_of(text)
+    marked = docs.withColumn(names["of_k1"], first).withColumn(names["of_k2"], second).withColumn(names["of_text"], text)
+    same = (F.col(names["of_k1"]) == F.col(names["k1"])) & (F.col(names["of_k2"]) == F.col(names["k2"]))
     rest = marked.join(many, same, "left_anti").join(asks, same, "left")
     both = marked.join(many, same).unionByName(rest).select(*docs.columns, names["of_text"], names["spans"])
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{names[c]} {t}" for c, t in DONE.items())])

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.llm import exact_dedup, graph, shingle_join, substring_dedup
-from basketlens.llm.common import prepare
+from basketlens.llm.common import prepare, word_hashes
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NOTHING = [(900, None), (901, ""), (902, " \t\n"), (None, "a b"), (None, "a b"), (903, "a b"), (904, "Ab\x1cB")]
@@ -158,6 +158,17 @@ def test_shingles_that_agree_in_half_their_bits_are_told_apart():
     assert number[0] == number[3] and len(set(number.tolist())) == 3
 
 
+def test_word_hashes_tell_words_apart_and_find_them_again():
+    draw = random.Random(2)
+    words = sorted({bytes(draw.choice(b"ab\x00") for _ in range(draw.choice([1, 2, 7, 8, 9, 16, 17, 255, 256, 257, 700]))) for _ in range(3000)})
+    data, ends = np.frombuffer(b" ".join(words), np.uint8), np.cumsum([len(w) + 1 for w in words]) - 1
+    got = word_hashes(data, ends - [len(w) for w in words], ends)
+    assert len({tuple(h) for h in got}) == len(words) and len(set(got[:, 0].tolist())) == len(set(got[:, 1].tolist())) == len(words)
+    for i in range(0, len(words), 97):
+        alone = np.frombuffer(words[i], np.uint8)
+        assert (word_hashes(alone, np.array([0]), np.array([len(alone)]))[0] == got[i]).all()
+
+
 def test_bands_leave_enough_parts():
     for percent in (80, 90):
         known = shingle_join.bands(percent, 5000)
@@ -226,14 +237,14 @@ def test_paths_of_the_graph(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(1, " ".join(["a"] + words + ["b"])), (2, " ".join(["c"] + words + ["d"]))]
     prepare(spark)
-    keyed = frame(spark, rows).select(substring_dedup.text_key(F.col("text")).alias("key"), "text")
+    keyed = substring_dedup.keyed(F.col("text"), frame(spark, rows))
     occurs, edges = substring_dedup.repeated_edges(keyed, 10, 3)
     assert edges.agg(F.sum("windows")).head()[0] == 51 and occurs.agg(F.sum("windows")).head()[0] == 102
     paths = substring_dedup.compacted(edges)
-    assert paths.count() == edges.count() > 5 and paths.select("path").distinct().count() <= 3
+    assert paths.count() == edges.count() > 5 and paths.select("of1", "of2", "begins").distinct().count() <= 3
     spans = substring_dedup.repeated_spans(keyed, 10, 3).collect()
     assert len(spans) <= 6 and min(s.start for s in spans) == 1 and max(s.end for s in spans) == 61
-    sources = {(s.of, s.at, s.end - s.start) for s in spans}
+    sources = {(s.of1, s.of2, s.at, s.end - s.start) for s in spans}
     assert len(sources) <= 3  # both texts lead to the same source coordinates
 
 
@@ -242,12 +253,12 @@ def test_branching_nodes_end_paths(spark):
     left, mid, right = ([f"{x}{i}" for i in range(30)] for x in "lmr")
     rows = [(i, " ".join(w)) for i, w in enumerate([left + mid, left + mid, mid + right, mid + right, ["x"] + mid[:15]])]
     prepare(spark)
-    keyed = frame(spark, rows).select(substring_dedup.text_key(F.col("text")).alias("key"), "text")
+    keyed = substring_dedup.keyed(F.col("text"), frame(spark, rows))
     _, edges = substring_dedup.repeated_edges(keyed, 8, 8)
-    got = edges.join(substring_dedup.compacted(edges), "edge").collect()
+    got = edges.join(substring_dedup.compacted(edges), ["e1", "e2"]).collect()
     reached = {}
     for r in got:
-        reached.setdefault(r.path, []).append((r.place, r.windows, r.tail, r.head))
+        reached.setdefault((r.of1, r.of2, r.begins), []).append((r.place, r.windows, r.tail, r.head))
     tails, heads = [r["tail"] for r in got], [r["head"] for r in got]
     for steps in reached.values():
         steps.sort()
@@ -256,11 +267,11 @@ def test_branching_nodes_end_paths(spark):
 
 
 def test_spans_that_differ_from_their_source_end_the_job(spark):
-    checks = [(b"t", 3, 40, b"one"), (b"t", 3, 40, b"one"), (b"t", 9, 40, b"two")]
-    schema = "of binary, at int, words int, digest binary"
+    checks = [(1, 2, 3, 40, b"one"), (1, 2, 3, 40, b"one"), (1, 2, 9, 40, b"two")]
+    schema = "of1 long, of2 long, at int, words int, digest binary"
     substring_dedup.verify(spark.createDataFrame(checks, schema))
     with pytest.raises(RuntimeError):
-        substring_dedup.verify(spark.createDataFrame(checks + [(b"t", 9, 40, b"other")], schema))
+        substring_dedup.verify(spark.createDataFrame(checks + [(1, 2, 9, 40, b"other")], schema))
 
 
 def test_rows_of_null_or_equal_ids_and_frequent_texts(spark):
@@ -272,7 +283,7 @@ def test_rows_of_null_or_equal_ids_and_frequent_texts(spark):
 
 def test_drop_repeats_takes_any_columns(spark):
     passage = " ".join(f"p{i}" for i in range(40))
-    columns = ["doc_id", "text", "key", "spans", "kept", "n_words", "checks", "of_key", "__of", "goes", "edge"]
+    columns = ["doc_id", "text", "k1", "spans", "kept", "n_words", "checks", "of_key", "__of", "goes", "edge"]
     docs = spark.createDataFrame([(i, f"t{i} {passage}", *"abcdefghi") for i in (1, 2)] + [(3, "stays  here", *"abcdefghi")], columns)
     got = substring_dedup.drop_repeats(docs)
     assert got.columns == columns
