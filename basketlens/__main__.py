@@ -15,16 +15,18 @@ from basketlens.sources import tables as store
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="basketlens")
-    parser.add_argument("job", choices=["load", "segment", "churn", "forecast", "dashboard", "all"])
+    parser.add_argument("job", choices=["load", "append", "compact", "drop-old", "segment", "churn", "forecast", "dashboard", "all"])
     parser.add_argument("--root", required=True, help="folder of the tables and reports")
     parser.add_argument("--raw", nargs="+", help="raw invoice lines (CSV)")
     parser.add_argument("--home-country", default="United Kingdom")
+    parser.add_argument("--buckets", type=int, help="buckets of the fact tables; by default they follow from the bytes")
+    parser.add_argument("--keep", type=int, default=1, help="loads that drop-old leaves")
     parser.add_argument("--restarts", type=int, default=10, help="k-means starts per k")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"basketlens-{args.job}").getOrCreate()
     ship_package(spark)
 
-    if args.job in ("load", "all") and not args.raw:
+    if args.job in ("load", "append", "all") and not args.raw:
         parser.error("--raw is required to load")
     with scratch(spark):
         run(spark, args)
@@ -32,9 +34,15 @@ def main(argv: list[str] | None = None) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "load":
-        print(jobs.load(spark, args.raw, args.root))
+        print(jobs.load(spark, args.raw, args.root, args.buckets))
+    elif args.job == "append":
+        print(jobs.append(spark, args.raw, args.root))
+    elif args.job == "compact":
+        print(store.compact_tables(spark, args.root))
+    elif args.job == "drop-old":
+        print(store.drop_old_loads(spark, args.root, args.keep))
     elif args.job == "all":
-        jobs.run_all(spark, args.root, args.raw, restarts=args.restarts, home_country=args.home_country)
+        jobs.run_all(spark, args.root, args.raw, restarts=args.restarts, home_country=args.home_country, buckets=args.buckets)
     elif args.job == "dashboard":
         jobs.write_dashboard(spark, args.root, args.home_country)
     else:

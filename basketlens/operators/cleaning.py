@@ -33,26 +33,45 @@ def clean(raw: DataFrame) -> DataFrame:
     return flag_cancellations(parse_dates(trim_codes(drop_missing_keys(raw))))
 
 
+def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, n): how often each key has each value, NULL included. Counts of two halves add up to those of both."""
+    return df.groupBy(key, value).agg(F.count("*").alias("n"))
+
+
+def most_frequent_of(counts: DataFrame, key: str, value: str) -> DataFrame:
+    """Most frequent non-null value per key, the smallest one on a tie; NULL if there is none."""
+    best = F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col("n")).alias("rank"), F.col(value).alias("value"))))
+    return counts.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.value").alias(value))
+
+
 def most_frequent(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Most frequent non-null value per key, the smallest one on a tie; NULL if there is none.
+    """``most_frequent_of`` the rows themselves.
 
     Counted per (key, value) first, so a key that owns a large share of the rows is collapsed on
     the map side and no task ever holds all the values of a key.
     """
-    counts = df.groupBy(key, value).agg(F.count("*").alias("_n"))
-    best = F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col("_n")).alias("rank"), F.col(value).alias("value"))))
-    return counts.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.value").alias(value))
+    return most_frequent_of(value_counts(df, key, value), key, value)
+
+
+def customer_countries(cleaned: DataFrame) -> DataFrame:
+    """Lines per known customer and country."""
+    known = cleaned.filter(F.col("Customer ID").isNotNull())
+    return value_counts(known, "Customer ID", "Country").toDF("customer_id", "country", "n")
+
+
+def product_descriptions(cleaned: DataFrame) -> DataFrame:
+    """Lines per stock code and description."""
+    return value_counts(cleaned, "StockCode", "Description").toDF("stock_code", "description", "n")
 
 
 def customers_dim(cleaned: DataFrame) -> DataFrame:
     """One row per known customer with the most frequent country."""
-    known = cleaned.filter(F.col("Customer ID").isNotNull())
-    return most_frequent(known, "Customer ID", "Country").toDF("customer_id", "country")
+    return most_frequent_of(customer_countries(cleaned), "customer_id", "country")
 
 
 def products_dim(cleaned: DataFrame) -> DataFrame:
     """One row per stock code with the most frequent description."""
-    return most_frequent(cleaned, "StockCode", "Description").toDF("stock_code", "description")
+    return most_frequent_of(product_descriptions(cleaned), "stock_code", "description")
 
 
 def invoices_dim(cleaned: DataFrame) -> DataFrame:

@@ -66,8 +66,13 @@ def rfm_features(invoices: DataFrame, items: DataFrame, tiles: int = 5) -> DataF
     Ties in spend are broken by customer id. The customer frame is stored once, because ranking
     reads it several times and must not repeat the scan of the lines.
     """
+    return features_of(customer_rfm(invoices, items), invoices, tiles)
+
+
+def features_of(customers: DataFrame, invoices: DataFrame, tiles: int = 5) -> DataFrame:
+    """``rfm_features`` from one row per customer; of the invoices only the last date is read."""
     snapshot = snapshot_date(invoices).scalar()
-    ranked = global_rank(materialize(customer_rfm(invoices, items), "customer-rfm"), "net_revenue", "customer_id")
+    ranked = global_rank(materialize(customers, "customer-rfm"), "net_revenue", "customer_id")
     return ranked.select(
         "customer_id",
         calendar_days(snapshot, F.col("last_purchase_date")).alias("recency_days"),

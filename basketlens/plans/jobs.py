@@ -11,8 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.operators import cox, rfm, segmentation as seg, series as ts, survival as sv
-from basketlens.operators.cleaning import clean, tables_from
+from basketlens.operators import cleaning, cox, rfm, segmentation as seg, series as ts, survival as sv
+from basketlens.operators.activity import customer_activity
 from basketlens.operators.forecast import seasonal_arima_forecast
 from basketlens.operators.intervals import churn_threshold, purchase_intervals
 from basketlens.operators.likelihood import likelihood_forecast
@@ -65,13 +65,31 @@ class Forecast:
         return doc.forecast_document(self.series, self.backtest, self.grain, self.test_size)
 
 
-def load(spark: SparkSession, raw_path: str | list[str], root: str, **read_options) -> dict[str, int]:
-    """Parse the raw file once, build the four tables from the stored lines, publish them together."""
+def _cleaned(spark: SparkSession, raw_path: str | list[str], **read_options) -> tuple[DataFrame, Tables, Tables]:
+    """Cleaned lines, the four tables and the mergeable states. The stored lines are columnar: each reads its own few columns."""
+    cleaned = materialize(cleaning.clean(read_raw(spark, raw_path, **read_options)), "clean-lines")
+    tables = cleaning.tables_from(cleaned)
+    states = {
+        "customer_countries": cleaning.customer_countries(cleaned),
+        "product_descriptions": cleaning.product_descriptions(cleaned),
+        "customer_activity": customer_activity(tables["invoices"], tables["invoice_items"]),
+    }
+    return cleaned, tables, states
+
+
+def load(spark: SparkSession, raw_path: str | list[str], root: str, buckets: int | None = None, **read_options) -> dict[str, int]:
+    """Parse the raw file once, build the four tables from the stored lines, publish them together if they are sound."""
+    with scratch(spark):
+        _, tables, states = _cleaned(spark, raw_path, **read_options)
+        store.write_tables(tables, root, buckets, states)
+    return {name: df.count() for name, df in store.read_tables(spark, root).items()}
+
+
+def append(spark: SparkSession, raw_path: str | list[str], root: str, **read_options) -> dict[str, int]:
+    """Add the lines of a further file to the current load; its invoices must be new."""
     with scratch(spark):
-        raw = read_raw(spark, raw_path, **read_options)
-        # The stored lines are columnar: each builder below reads its own few columns of them.
-        cleaned = materialize(clean(raw), "clean-lines")
-        store.write_tables(tables_from(cleaned), root)
+        _, tables, states = _cleaned(spark, raw_path, **read_options)
+        store.append_tables(tables, states, root)
     return {name: df.count() for name, df in store.read_tables(spark, root).items()}
 
 
@@ -198,10 +216,10 @@ def write_dashboard(spark: SparkSession, root: str, home_country: str = sv.HOME_
 
 
 def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = None, ks: Sequence[int] = seg.K_RANGE,
-            restarts: int = seg.RESTARTS, home_country: str = sv.HOME_COUNTRY) -> DataFrame:
+            restarts: int = seg.RESTARTS, home_country: str = sv.HOME_COUNTRY, buckets: int | None = None) -> DataFrame:
     """Every job in order; returns the dashboard document, also written below ``root``."""
     if raw_path is not None:
-        load(spark, raw_path, root)
+        load(spark, raw_path, root, buckets)
     folder = store.current(spark, root)
     with scratch(spark):
         tables = collapsed(store.read_tables(spark, root))
