@@ -1,6 +1,6 @@
-"""The five jobs. Each reads stored tables under a root folder and writes its results there.
+"""The jobs. Each reads stored tables under a root folder and writes its results there.
 
-``load`` raw lines -> tables, ``segment`` -> customer_segments, ``churn`` and ``forecast`` -> report
+``load`` and ``append`` raw lines -> tables, ``segment`` -> customer_segments, ``churn`` and ``forecast`` -> report
 files, ``dashboard`` -> one JSON document. ``run_all`` runs them in order and computes nothing twice.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.operators import cleaning, cox, rfm, segmentation as seg, series as ts, survival as sv
 from basketlens.operators.activity import customer_activity
@@ -162,7 +162,7 @@ SILHOUETTE = "labelling string, silhouette double, silhouette_low double, silhou
 
 
 def write_segmentation(result: Segmentation, folder: str) -> None:
-    """Store segments and scores; reports on segments stored before no longer fit them and go."""
+    """Store segments and scores; parts made of segments stored before are stale from now on, and their reports go."""
     spark = result.segments.sparkSession
     for report in ("cox_model_summary", "km_curves", "km_medians", "logrank_test", "dashboard_data"):
         store.drop(spark, f"{folder}/reports/{report}")
@@ -182,35 +182,53 @@ def read_segmentation(spark: SparkSession, folder: str) -> Segmentation:
     return Segmentation(store.read_segments(spark, folder), search, seg.best_of(search), naive)
 
 
-def write_churn(result: Churn, folder: str) -> DataFrame:
-    """Write the churn reports; returns the Cox summary."""
+def write_churn(result: Churn, folder: str, home_country: str = sv.HOME_COUNTRY) -> DataFrame:
+    """Write the churn reports, and what the dashboard needs of them as parts; returns the Cox summary."""
+    spark = result.survival.sparkSession
     summary = result.summary()
     store.write_report(summary, f"{folder}/reports/cox_model_summary")
     store.write_report(result.curves.orderBy(sv.GROUP, "duration"), f"{folder}/reports/km_curves")
     store.write_report(result.medians.orderBy(sv.GROUP), f"{folder}/reports/km_medians")
     store.write_report(result.test, f"{folder}/reports/logrank_test")
+    made_from = churn_inputs(spark, folder, home_country)
+    overview = sv.churn_overview(result.survival).withColumn("threshold_days", F.lit(result.threshold_days))
+    store.write_part(overview, folder, "churn_overview", **made_from)
+    store.write_part(sv.km_document(result.curves), folder, "churn_curves", **made_from)
+    store.write_part(cox.cox_hazard_ratios(summary), folder, "hazard_ratios", **made_from)
     return summary
 
 
+def churn_inputs(spark: SparkSession, folder: str, home_country: str) -> dict[str, str]:
+    """What the churn parts depend on besides the load, whose folder they lie in."""
+    return {"segments": store.segments_version(spark, folder), "home_country": home_country}
+
+
 def write_forecast(result: Forecast, folder: str) -> None:
-    """The backtest of the model, and its errors against the naive forecast with the verdict."""
+    """The backtest of the model, its errors against the naive forecast with the verdict, and the forecast document."""
     table = ts.backtest_table(result.backtest).orderBy("period")
     store.write_report(table.select("period", "actual", "forecast", "abs_error"),
                        f"{folder}/reports/sales_forecast_backtest")
     store.write_report(ts.model_errors(result.backtest), f"{folder}/reports/sales_forecast_errors")
+    store.write_part(result.document, folder, "forecast_document")
+
+
+def stored_dashboard(spark: SparkSession, folder: str, home_country: str = sv.HOME_COUNTRY) -> DataFrame:
+    """The document from stored parts alone: none is computed again, and one that no longer fits the others is refused."""
+    made_from = churn_inputs(spark, folder, home_country)
+    segmentation = read_segmentation(spark, folder)
+    overview = store.read_part(spark, folder, "churn_overview", "churn", **made_from)
+    curves = store.read_part(spark, folder, "churn_curves", "churn", **made_from)
+    ratios = store.read_part(spark, folder, "hazard_ratios", "churn", **made_from)
+    forecast_row = store.read_part(spark, folder, "forecast_document", "forecast")
+    threshold = overview.first()["threshold_days"]
+    figures = doc.dashboard_kpis(segmentation.segments, overview, forecast_row, threshold, segmentation.best, segmentation.naive)
+    return doc.dashboard_document(figures, seg.segment_summary(segmentation.segments), curves, threshold, ratios, forecast_row)
 
 
 def write_dashboard(spark: SparkSession, root: str, home_country: str = sv.HOME_COUNTRY) -> DataFrame:
     """The document from what the jobs have stored for the current load; they have to be run before."""
     folder = store.current(spark, root)
-    for part, job in (("customer_segments", "segment"), ("reports/cox_model_summary", "churn")):
-        if not store.exists(spark, f"{folder}/{part}"):
-            raise FileNotFoundError(f"{folder}/{part} is missing: run the {job} job on this load first")
-    tables = collapsed(store.read_tables(spark, root))
-    segmentation = read_segmentation(spark, folder)
-    ratios = cox.cox_hazard_ratios(store.read_report(spark, f"{folder}/reports/cox_model_summary", cox.CHECKED_SCHEMA))
-    lapsed = churn(tables, segmentation.segments, home_country=home_country)
-    document = dashboard(segmentation, lapsed, forecast(tables), ratios)
+    document = stored_dashboard(spark, folder, home_country)
     store.write_document(document, f"{folder}/reports/dashboard_data")
     return spark.read.schema(document.schema).json(f"{folder}/reports/dashboard_data")
 
@@ -224,12 +242,6 @@ def run_all(spark: SparkSession, root: str, raw_path: str | list[str] | None = N
     with scratch(spark):
         tables = collapsed(store.read_tables(spark, root))
         write_segmentation(segment(tables, ks, restarts), folder)
-        segmentation = read_segmentation(spark, folder)
-        lapsed = churn(tables, segmentation.segments, home_country=home_country)
-        summary = write_churn(lapsed, folder)
-        sales = forecast(tables)
-        write_forecast(sales, folder)
-        document = dashboard(segmentation, lapsed, sales, cox.cox_hazard_ratios(summary))
-        store.write_document(document, f"{folder}/reports/dashboard_data")
-        schema = document.schema
-    return spark.read.schema(schema).json(f"{folder}/reports/dashboard_data")
+        write_churn(churn(tables, store.read_segments(spark, folder), home_country=home_country), folder, home_country)
+        write_forecast(forecast(tables), folder)
+    return write_dashboard(spark, root, home_country)

@@ -307,13 +307,60 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _read(spark, folder.rsplit("/runs/", 1)[0], manifest_of(spark, folder), name)
 
 
-def write_segments(segments: DataFrame, folder: str) -> None:
-    """Replace the derived segment table."""
-    segments.write.mode("overwrite").parquet(f"{folder}/customer_segments")
+class Stale(RuntimeError):
+    """A stored part that was made from something else than what is current."""
+
+
+def write_part(df: DataFrame, folder: str, name: str, **inputs: str) -> str:
+    """Store a derived table with what it was made from; returns its version, by which later parts name it.
+
+    The data go to a folder of their own; the part changes when the note beside it does.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    df.write.parquet(f"{folder}/parts/{name}/{version}")
+    spark.createDataFrame([(json.dumps({"version": version, "inputs": inputs}),)], "value string").coalesce(1).write.mode(
+        "overwrite").text(f"{folder}/parts/{name}.note")
+    for old in _names(spark, f"{folder}/parts/{name}"):
+        if old != version:
+            drop(spark, f"{folder}/parts/{name}/{old}")
+    return version
+
+
+def part_note(spark: SparkSession, folder: str, name: str) -> dict | None:
+    """``version`` and ``inputs`` of a stored part, if there is one."""
+    if not exists(spark, f"{folder}/parts/{name}.note/_SUCCESS"):
+        return None
+    return json.loads(spark.read.text(f"{folder}/parts/{name}.note").first()[0])
+
+
+def is_current(spark: SparkSession, folder: str, name: str, **inputs: str) -> bool:
+    note = part_note(spark, folder, name)
+    return note is not None and note["inputs"] == inputs
+
+
+def read_part(spark: SparkSession, folder: str, name: str, job: str, **inputs: str) -> DataFrame:
+    """A stored part, refused if it is missing or was made from other inputs than these; ``job`` makes it."""
+    note = part_note(spark, folder, name)
+    if note is None:
+        raise FileNotFoundError(f"{folder}/parts/{name} is missing: run the {job} job on this load first")
+    if note["inputs"] != inputs:
+        changed = sorted(k for k in {*note["inputs"], *inputs} if note["inputs"].get(k) != inputs.get(k))
+        raise Stale(f"{folder}/parts/{name} was made from other {', '.join(changed)}: run the {job} job again")
+    return spark.read.parquet(f"{folder}/parts/{name}/{note['version']}")
+
+
+def write_segments(segments: DataFrame, folder: str) -> str:
+    """Replace the derived segment table; returns its version."""
+    return write_part(segments, folder, "customer_segments")
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/customer_segments")
+    return read_part(spark, folder, "customer_segments", "segment")
+
+
+def segments_version(spark: SparkSession, folder: str) -> str:
+    read_segments(spark, folder)
+    return part_note(spark, folder, "customer_segments")["version"]
 
 
 def drop(spark: SparkSession, path: str) -> None:

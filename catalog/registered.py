@@ -13,12 +13,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketlens.functions.scalars import signed_log
-from basketlens.operators import audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
-from basketlens.operators import likelihood as lk, series as ts, survival as sv
+from basketlens.operators import activity, audits, cleaning, cox, forecast as fc, intervals, rfm, sales, segmentation as seg
+from basketlens.operators import likelihood as lk, quantiles as qt, series as ts, survival as sv
 from basketlens.operators.silhouette import exact_silhouettes, silhouette as silhouette_of, silhouettes
 from basketlens.plans import documents, jobs
 from basketlens.session import materialize, scratch_path, ship_package
-from basketlens.sources import raw as raw_source, tables as store
+from basketlens.sources import raw as raw_source, sql, tables as store
 from catalog.star_schema import load
 
 HOME = "NATION_0"
@@ -27,6 +27,7 @@ REFERENCE = "Quintile 5"
 GIVEN = {k: [[-1.2 + 2.6 * i / (k - 1), 1.1 - 2.2 * i / (k - 1) + 0.3 * (i % 2), 0.8 - 1.9 * i / (k - 1)] for i in range(k)]
          for k in seg.K_RANGE}
 COEFFICIENTS = (0.3, -0.4, -0.5)  # phi, PHI and theta at which SQL follows the likelihood
+QUANTILES = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
 CENTROIDS = [[-0.8, 0.9, 0.6], [0.1, 0.0, 0.2], [1.5, -1.2, -0.7], [0.4, -2.5, -4.0]]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -233,6 +234,58 @@ def load_counts(shop: Shop) -> DataFrame:
     return cleaning.load_counts(shop.typed)
 
 
+@query(places=4)
+def appended_rfm(shop: Shop) -> DataFrame:
+    """Features from the merged states of a load and an append, each of half the invoices."""
+    root, half = scratch_path(shop.spark, "appended"), F.pmod(F.xxhash64("invoice_no"), F.lit(2))
+    counts = {"customer_countries": shop.customers.withColumn("n", F.lit(1).cast("bigint")),
+              "product_descriptions": shop.products.withColumn("n", F.lit(1).cast("bigint"))}
+    parts = []
+    for i in range(2):
+        facts = {n: getattr(shop, n).where(half == i) for n in store.BUCKETED}
+        parts.append(({**shop.tables, **facts}, {**counts, "customer_activity": activity.customer_activity(*facts.values())}))
+    store.write_tables(parts[0][0], root, states=parts[0][1])
+    folder = store.append_tables(*parts[1], root)
+    state, invoices = (store.read_table(shop.spark, folder, n) for n in ("customer_activity", "invoices"))
+    return rfm.features_of(activity.rfm_of(state), invoices)
+
+
+@query(places=4)
+def exact_quantiles(shop: Shop) -> DataFrame:
+    """Quantiles of recency, frequency and spend, and of the gaps between purchases, by narrowing ranges."""
+    features = materialize(shop.rfm(), "features")
+    gaps = materialize(intervals.purchase_intervals(shop.invoices), "gaps")
+    found = {**qt.exact_quantiles(features, {c: QUANTILES for c in seg.FEATURES}),
+             **qt.exact_quantiles(gaps, {"days_since_prev_purchase": QUANTILES})}
+    rows = [(c, q, float(v)) for c, values in found.items() for q, v in zip(QUANTILES, values)]
+    return shop.spark.createDataFrame(rows, "column string, quantile double, value double")
+
+
+def _in_sql(shop: Shop, statement: str) -> DataFrame:
+    """A statement over the views and table functions of the shop."""
+    sql.register(shop.spark, shop.tables)
+    return shop.spark.sql(statement)
+
+
+@query(places=4)
+def sql_customers_of(shop: Shop) -> DataFrame:
+    """A table function with a parameter, in a join."""
+    return _in_sql(shop, f"select c.country, f.customer_id, f.frequency, f.monetary from customers_of('{HOME}') f "
+                         "join customers c on c.customer_id = f.customer_id")
+
+
+@query(places=4)
+def sql_sales_between(shop: Shop) -> DataFrame:
+    return _in_sql(shop, "select sales_month, net_sales from sales_between(date'1996-03-15', date'1997-06-30')")
+
+
+@query(places=4)
+def sql_churn_threshold(shop: Shop) -> DataFrame:
+    """The threshold at two quantiles, one by default, and the purchases of one customer."""
+    return _in_sql(shop, "select 0.9D as quantile, * from churn_threshold() union all select 0.5, * from churn_threshold(0.5) "
+                         "union all select -1, count(*), count(days_since_prev_purchase) from purchases_of(7)")
+
+
 @query()
 def audit_primary_keys(shop: Shop) -> DataFrame:
     return audits.audit_primary_keys(shop.tables)
