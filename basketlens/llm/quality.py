@@ -9,7 +9,7 @@ a bounded sample of labelled rows; scoring reads whole texts and nothing but the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ from basketlens.llm.common import flat, pieces, prepare, texts
 #: Network shape: bytes of half a chunk, step and width of a filter in bytes, sizes of byte vector, filters, hidden layer.
 HALF, STEP, TAPS, VECTOR, FILTERS, HIDDEN = 128, 2, 3, 8, 16, 16
 PLACES = HALF // STEP
+#: Bytes of a piece of a long text, and bytes from which on a text is long in fitting.
+PIECE, LONG = 1 << 18, 1 << 13
 
 
 @dataclass(frozen=True)
@@ -28,7 +30,6 @@ class Fit:
     """Bounds and settings of the fit. The sample is the rows with the smallest hash of doc_id."""
 
     sample_rows: int = 5000
-    sample_chars: int = 3000  # of each sampled text, for fitting only
     steps: int = 940  # whole passes over the sample until so many batches are done
     batch: int = 32
     rate: float = 0.004
@@ -46,9 +47,59 @@ class Layout:
     first: np.ndarray  # first chunk of each text
 
 
+def _halves(length):
+    """Half chunks of a text: room for its bytes and a filter."""
+    return (length + STEP * TAPS + HALF - 1) // HALF
+
+
+def side_by_side(layouts: list[Layout]) -> Layout:
+    """Layouts of different texts as one."""
+    reach = STEP * (TAPS - 1)
+    halves = np.cumsum([0, *(len(x.valid) for x in layouts)])
+    chunks = np.cumsum([0, *(len(x.left) for x in layouts)])
+    symbols = [x.symbols[:len(x.valid) * HALF] for x in layouts] + [np.zeros(reach, np.uint8)]
+    return Layout(np.concatenate(symbols), np.concatenate([x.valid for x in layouts]),
+                  np.concatenate([x.left + a for x, a in zip(layouts, halves)]),
+                  np.concatenate([x.right + a for x, a in zip(layouts, halves)]),
+                  np.concatenate([x.first + a for x, a in zip(layouts, chunks)]))
+
+
+def long_pieces(data: np.ndarray, piece: int = PIECE) -> Iterator[Layout]:
+    """All chunks of one text, in order, a run of them at a time. A run is laid out with the two half chunks that
+    follow it, which its last chunk and that one's filters reach into."""
+    step, total = piece // HALF, max(1, _halves(len(data)) - 1)
+    for begin in range(0, total, step):
+        part = data[begin * HALF:(begin + step + 2) * HALF]
+        x = lay_out(part, np.array([0, len(part)]))
+        yield replace(x, left=x.left[:total - begin][:step], right=x.right[:total - begin][:step])
+
+
+def strongest(net: Net, data: np.ndarray, piece: int = PIECE) -> Layout:
+    """One text laid out with only those chunks that are highest in some hidden unit."""
+    best = np.full(HIDDEN, -1.0, np.float32)
+    at = np.zeros(HIDDEN, np.int64)
+    for number, x in enumerate(long_pieces(data, piece)):
+        h = net.chunks(x)
+        top = h.argmax(axis=0)
+        higher = h[top, np.arange(HIDDEN)] > best
+        best[higher] = h[top, np.arange(HIDDEN)][higher]
+        at[higher] = top[higher] + number * (piece // HALF)
+    layouts = []
+    for chunk in np.unique(at):
+        part = np.zeros(3 * HALF, np.uint8)  # the chunk, and what its last filters reach into
+        held = data[chunk * HALF:(chunk + 3) * HALF]
+        part[:len(held)] = held
+        valid = (chunk * HALF + np.arange(0, 3 * HALF, STEP) < len(data)).reshape(3, PLACES)
+        valid[2] = False
+        right = np.full(1, min(1, _halves(len(data)) - 1))
+        layouts.append(Layout(part, valid, np.zeros(1, np.int64), right, np.zeros(1, np.int64)))
+    x = side_by_side(layouts)
+    return replace(x, first=x.first[:1])
+
+
 def lay_out(data: np.ndarray, offsets: np.ndarray) -> Layout:
     lengths = np.diff(offsets)
-    halves = (lengths + STEP * TAPS + HALF - 1) // HALF
+    halves = _halves(lengths)
     begin = np.concatenate([[0], np.cumsum(halves)])
     total = int(begin[-1])
     symbols = np.zeros(total * HALF + STEP * (TAPS - 1), np.uint8)
@@ -102,8 +153,18 @@ class Net:
         c = np.concatenate([4 * mean, np.maximum(highest[x.left], highest[x.right])], axis=1)
         h = np.maximum(c @ w["hidden"] + w["hidden_shift"], 0)
         pooled = np.maximum.reduceat(h, x.first, axis=0)
-        logit = (pooled * w["out"]).sum(axis=1) + w["out_shift"]
-        return (logit, a, z, highest, two, size, c, h, pooled) if keep else logit
+        return (self.logit(pooled), a, z, highest, two, size, c, h, pooled) if keep else (h, pooled)
+
+    def chunks(self, x: Layout) -> np.ndarray:
+        """Hidden units of every chunk."""
+        return self.forward(x)[0]
+
+    def pooled(self, x: Layout) -> np.ndarray:
+        """Highest hidden units of every text."""
+        return self.forward(x)[1]
+
+    def logit(self, pooled: np.ndarray) -> np.ndarray:
+        return (pooled * self.w["out"]).sum(axis=1) + self.w["out_shift"]
 
     def gradients(self, x: Layout, label: np.ndarray) -> dict[str, np.ndarray]:
         logit, a, z, highest, two, size, c, h, pooled = self.forward(x, keep=True)
@@ -152,9 +213,11 @@ def fit(sample: list[tuple[bytes, int]], settings: Fit = Fit()) -> Net:
     while steps < total:
         order = random.permutation(len(sample))
         for at in range(0, len(order), settings.batch):
-            rows = [sample[i] for i in order[at:at + settings.batch]]
-            offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in rows])])
-            x = lay_out(np.frombuffer(b"".join(t for t, _ in rows), np.uint8), offsets)
+            rows = sorted((sample[i] for i in order[at:at + settings.batch]), key=lambda r: len(r[0]) > LONG)
+            short = [np.frombuffer(t, np.uint8) for t, _ in rows if len(t) <= LONG]
+            layouts = [lay_out(np.concatenate(short), np.cumsum([0, *map(len, short)]))] if short else []
+            layouts += [strongest(net, np.frombuffer(t, np.uint8)) for t, _ in rows if len(t) > LONG]
+            x = side_by_side(layouts)
             steps += 1
             rate = settings.rate * min(1, steps / 50) * (1 - 0.95 * steps / total)
             for k, g in net.gradients(x, np.array([y for _, y in rows], np.float32)).items():
@@ -171,20 +234,25 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) -> Net:
-    """Learn from labelled rows outside the held-out third; the sample, and so the driver's share, is bounded."""
+    """Learn from at most ``sample_rows`` labelled rows outside the held-out third, and from the whole text of each."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("__quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_rows))
     rows = (texts(docs).join(F.broadcast(known), "doc_id")  # at most sample_rows rows
-            .select("doc_id", F.expr(f"substring(text, 1, {settings.sample_chars})").alias("text"), "__quality")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(settings.sample_rows).collect())
+            .select("doc_id", "text", "__quality").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(settings.sample_rows).collect())
     return fit([(r.text.encode("utf-8", "replace"), int(r["__quality"] == 1)) for r in rows], settings)
 
 
 def probabilities(net: Net, column: pa.Array) -> np.ndarray:
     data, offsets = flat(column)
-    found = [net.forward(lay_out(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]))
-             for a, b in pieces(offsets, 1 << 19)]
+    found = []
+    for a, b in pieces(offsets, PIECE):
+        text = data[offsets[a]:offsets[b]]
+        if b - a == 1 and len(text) > PIECE:
+            pooled = np.stack([net.chunks(x).max(axis=0) for x in long_pieces(text)]).max(axis=0, keepdims=True)
+        else:
+            pooled = net.pooled(lay_out(text, offsets[a:b + 1] - offsets[a]))
+        found.append(net.logit(pooled))
     logit = np.concatenate(found).astype(np.float64) if found else np.zeros(0)
     return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
@@ -204,14 +272,24 @@ def score(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "te
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``. An empty table gives no rows."""
+    """doc_id, held_out, score, predicted for every row of ``docs``.
+
+    Null texts count as empty ones, and these have a score like any other. Repeated rows, also of one id with several
+    texts, give a row each; a null id is not held out and, having no label, never learned from. Of an id with several
+    labels the largest counts; without labelled rows every score is 0.5. Texts of any length are read whole. An empty
+    table gives no rows; other columns, whatever their names, are ignored.
+    """
     return score(docs, train(docs, labels, settings)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Fit = Fit()) -> DataFrame:
-    """``docs`` without the rows that the network rejects; rows and columns stay as they are, and nothing is shuffled."""
+    """``docs`` without the rows that the network rejects; rows and columns stay as they are, and nothing is shuffled.
+
+    Scores are those of ``quality_report``: null texts count as empty, repeated rows are judged alike, ids play no part.
+    Without labelled rows all stay. An empty table stays empty.
+    """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, settings).w)
 

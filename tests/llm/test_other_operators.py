@@ -1,9 +1,11 @@
 """Packing, quality and neighbours: against naive versions, held-out rows and brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,35 @@ def test_packing_edge_cases(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_by_clusters_with_words(spark):
+    """Near copies that a column calls one cluster never meet; every sequence holds its pieces' words, in order."""
+    draw = random.Random(9)
+    rows = [(draw.choice([i, i, None]), " \n".join(f"w{draw.randrange(9)}" for _ in range(draw.choice([0, 1, 3, 9, 30, 75]))),
+             f"s{i % 41}", draw.choice([None, 1, 2, 3]), "x", "y") for i in range(300)]
+    rows += [rows[0], (7, None, "s", 1, "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, family int, cluster string, rid string").repartition(4)
+    got = packing.pack(docs, capacity=20, shard_rows=64, cluster_col="family", words=True).collect()
+    plain = packing.pack(docs, capacity=20, shard_rows=64, cluster_col="family").collect()
+    assert sorted(map(repr, (tuple(r)[:5] for r in got))) == sorted(map(repr, map(tuple, plain)))
+    words = sorted(repr((i, p, " ".join((t or "").split()[p * 20:p * 20 + 20]))) for i, t, *_ in rows for p in range(max(1, -(-len((t or "").split()) // 20))))
+    assert sorted(repr((r.doc_id, r.piece, r.text)) for r in got) == words
+    assert all(len(r.text.split()) == r.length for r in got)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.bin, []).append(r)
+    assert max(sum(p.length for p in parts) for b, parts in bins.items() if b is not None) <= 20
+
+
+def test_packing_keeps_families_apart(spark):
+    docs = spark.createDataFrame([(i, f"w{i} and more", f"s{i}", i % 2 if i < 8 else None) for i in range(12)],
+                                 "doc_id long, text string, source string, family int")
+    bins = {}
+    for r in packing.pack(docs, capacity=100, cluster_col="family").collect():
+        bins.setdefault(r.bin, []).append(r.doc_id)
+    assert all(len([i for i in ids if i < 8 and i % 2 == k]) <= 1 for ids in bins.values() for k in (0, 1))
+    assert max(map(len, bins.values())) == 6  # one of each family, and all that have none
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
@@ -97,7 +128,7 @@ def test_quality_gradients():
     label = np.array([1.0, 0, 1, 0])
 
     def loss():
-        z = net.forward(layout)
+        z = net.logit(net.pooled(layout))
         return np.mean(np.logaddexp(0, z) - label * z)
 
     for name, gradient in net.gradients(layout, label).items():
@@ -123,6 +154,39 @@ def test_quality_reads_whole_texts_and_nothing_else(spark):
     assert quality.score(docs.limit(0), net).count() == 0
 
 
+def test_quality_of_long_texts_by_pieces():
+    draw, net = np.random.default_rng(5), quality.Net(seed=2)
+    for length in [*range(1, 400, 7), 1000, 1023, 1024, 1025, 1151, 1152, 1153, 5000, 70001]:
+        text = draw.integers(1, 256, length).astype(np.uint8)
+        whole = net.pooled(quality.lay_out(text, np.array([0, length])))[0]
+        parts = np.stack([net.chunks(x).max(axis=0) for x in quality.long_pieces(text, 1024)]).max(axis=0)
+        assert np.allclose(whole, parts, atol=1e-5), length
+        assert np.allclose(whole, net.pooled(quality.strongest(net, text, 1024))[0], atol=1e-5), length
+
+
+def test_quality_learns_from_the_strongest_chunks_what_whole_texts_teach():
+    draw, net = np.random.default_rng(6), quality.Net(seed=4)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    texts = [draw.integers(1, 256, n).astype(np.uint8) for n in (3000, 700, 9000)]
+    label = np.array([1.0, 0, 1])
+    whole = quality.lay_out(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    few = quality.side_by_side([quality.lay_out(texts[0], np.array([0, 3000])), *(quality.strongest(net, t, 1024) for t in texts[1:])])
+    assert len(few.left) < len(whole.left) / 1.5
+    a, b = net.gradients(whole, label), net.gradients(few, label)
+    assert all(np.allclose(a[k], b[k], atol=1e-9) for k in a)
+
+
+def test_quality_memory_does_not_grow_with_a_text():
+    net, peaks = quality.Net(seed=1), []
+    for length in (2_000_000, 20_000_000):
+        column = pa.array(["some words, and " * (length // 16)])
+        tracemalloc.start()
+        quality.probabilities(net, column)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 5_000_000 < 300_000_000
+
+
 def test_quality_without_labels(spark):
     docs = spark.createDataFrame([(1, "text"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
