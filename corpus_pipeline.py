@@ -28,8 +28,8 @@ def without_repeats(spark, docs, sf_dir):
 
 
 def packed(spark, docs, sf_dir):
-    """Pieces of documents and the sequences they go to."""
-    return packing.pack(docs)
+    """Pieces of documents with their words, and the sequences they go to."""
+    return packing.pack(docs, words=True)
 
 
 STAGES = [
@@ -45,7 +45,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages one after the other, each written to the shared folder and read again."""
+    """All stages one after the other, each written to the shared folder and read again.
+
+    Rows are decided by id and text: repeated rows, null ids and ids with several texts lose what their text loses. Null
+    and empty texts pass the stages like any other text of their score and make pieces without words. An empty table
+    gives no rows; without labels the first stage keeps all. Texts of any length are worked on whole.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
