@@ -5,7 +5,9 @@ by the nodes that have the path; both ratios are smoothed over the tree of paths
 and fused; an article or main element weighs more. Paths near the best fused value are the seeds, on every page; the
 container of a seed (its article or main element, else the element around its block) is content with everything in it
 but menus, notices and other page furniture. A class, id or role names furniture while its element holds less than
-half of the page's text; beyond that it weighs less.
+half of the page's text; beyond that it weighs less. An article inside an article is a comment or a teaser while it
+holds less than half of the outer one's text, and so are the headings beside it; a block whose text is nearly all link
+text is a menu, unless it lies in an article or main element.
 """
 
 from __future__ import annotations
@@ -36,12 +38,17 @@ NAMED = frozenset("ad ads advert advertisement adverts advertising banner breadc
                   "promoted related replies search share sharing sidebar signup skip social sponsor sponsored "
                   "subscribe toolbar widget".split())
 LANDMARK = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: With one of these beside it, the word header or footer in a name belongs to the text itself.
+OF_THE_TEXT = frozenset("article body content entry post story".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
 #: Weight of one step between two paths, share of the best value that makes a seed, and weight of a landmark.
 STEP_WEIGHT, SEED_SHARE, LANDMARK_WEIGHT = 0.5, 0.5, 4.0
 #: Share of a page's text from which on a name doesn't make an element furniture.
 NAMED_SHARE = 0.5
+#: Share of link text from which on a block is a menu, and share of an article's text below which one inside it is aside.
+LINK_SHARE, INNER_SHARE = 0.66, 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\s*(?:[^\s\"'>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"']))*)\s*"
@@ -57,6 +64,7 @@ class Paths:
     def __init__(self):
         self.parent, self.known = [-1], {}
         self.furniture, self.named, self.landmark, self.block = [False], [False], [-1], [True]
+        self.article, self.inner, self.link, self.heading = [-1], [False], [False], [False]
         self.chars, self.points, self.nodes = [0], [0], [0]
 
     def child(self, path: int, tag: str, named: bool) -> int:
@@ -68,6 +76,10 @@ class Paths:
             self.named.append(named)
             self.landmark.append(new if self.landmark[path] < 0 and tag in LANDMARK else self.landmark[path])
             self.block.append(tag not in INLINE)
+            self.inner.append(tag == "article" and self.article[path] >= 0)
+            self.article.append(new if tag == "article" and self.article[path] < 0 else self.article[path])
+            self.link.append(tag == "a" or tag in INLINE and self.link[path])
+            self.heading.append(tag in HEADINGS or tag in INLINE and self.heading[path])
             self.chars.append(0), self.points.append(0), self.nodes.append(0)
         return self.known[key]
 
@@ -92,6 +104,8 @@ class Paths:
         for v in range(len(held) - 1, 0, -1):
             held[self.parent[v]] += held[v]
         free = [not f for f in self.furniture]
+        for v in self.menus() + self.asides(held):
+            free[v] = False
         under_name = [False] * len(free)
         for v in range(1, len(free)):
             free[v] = free[v] and free[self.parent[v]] and not (self.named[v] and held[v] < NAMED_SHARE * held[0])
@@ -116,18 +130,39 @@ class Paths:
             chosen[v] = free[v] and (chosen[v] or chosen[self.parent[v]])
         return chosen
 
-    def container(self, v: int) -> int:
-        """The element around the block that holds the text of path v; text directly under the root is its own."""
+    def asides(self, held: list[int]) -> list[int]:
+        """Articles inside articles with less than a share of the outer one's text."""
+        return [v for v, inner in enumerate(self.inner) if inner and held[v] < INNER_SHARE * held[self.article[v]]]
+
+    def menus(self) -> list[int]:
+        """Links in blocks outside landmarks whose text is nearly all link text."""
+        blocks = [self.block_of(v) for v in range(len(self.parent))]
+        all_chars, link_chars = [0] * len(blocks), [0] * len(blocks)
+        for v, b in enumerate(blocks):
+            all_chars[b] += self.chars[v]
+            link_chars[b] += self.chars[v] * self.link[v]
+        return [v for v, b in enumerate(blocks)
+                if self.link[v] and self.landmark[v] < 0 and b and link_chars[b] >= LINK_SHARE * all_chars[b]]
+
+    def block_of(self, v: int) -> int:
+        """The nearest block element of a path."""
         while not self.block[v]:
             v = self.parent[v]
+        return v
+
+    def container(self, v: int) -> int:
+        """The element around the block that holds the text of path v; text directly under the root is its own."""
+        v = self.block_of(v)
         above = self.parent[v]
         return above if above > 0 and self.parent[above] > 0 else v
 
 
 def _opened(attributes: str) -> bool:
     for _, *values in NAMES.findall(attributes):
-        if not NAMED.isdisjoint(WORDS.split("".join(values).lower())):
-            return True
+        for name in "".join(values).lower().split():
+            words = set(WORDS.split(name))
+            if words & NAMED - ({"header", "footer"} if words & OF_THE_TEXT else set()):
+                return True
     return False
 
 
@@ -135,7 +170,9 @@ def main_text(page: str | None) -> str:
     """The page's main text: blocks in page order joined by a space, white space inside them as one space."""
     if not page:
         return ""
-    paths, stack, found, block, at = Paths(), [("", 0)], [], 0, 0
+    # Open elements: tag, path, number. What an element holds besides text, by its number: an article inside an article.
+    paths, stack, found, block, at = Paths(), [("", 0, 0)], [], 0, 0
+    elements, around_inner = 0, set()
 
     def text(raw: str) -> None:
         if raw:
@@ -143,7 +180,9 @@ def main_text(page: str | None) -> str:
             path = stack[-1][1]
             if not decoded.isspace():
                 paths.add(path, decoded.strip())
-            found.append((path, block, decoded))
+            # A heading stands for the element around it.
+            beside = next((n for t, _, n in reversed(stack) if t not in INLINE and t not in HEADINGS), 0) if paths.heading[path] else -1
+            found.append((path, block, decoded, beside))
 
     while (token := TOKEN.search(page, at)) is not None:
         text(page[at:token.start()])
@@ -179,22 +218,28 @@ def main_text(page: str | None) -> str:
                 while len(stack) > 1 and stack[-1][0] != "html":
                     stack.pop()
         elif tag == "br":
-            found.append((stack[-1][1], block, " "))
+            found.append((stack[-1][1], block, " ", -1))
         if tag in VOID:
             continue
         named = tag not in ("html", "body") and bool(token[3]) and _opened(token[3])
         if tag in RAW_END:
             end = RAW_END[tag].search(page, at)
             at = end.start() if end else len(page)
-        stack.append((tag, paths.child(stack[-1][1], tag, named)))
+        elements += 1
+        path = paths.child(stack[-1][1], tag, named)
+        if paths.inner[path]:
+            around_inner.add((stack[-1][2], path, stack[-1][0] == "article"))
+        stack.append((tag, path, elements))
     tail = page[at:]
     cut = re.search(r"<(?:[a-zA-Z/!?]|\Z)", tail)  # a tag that the end of the page cuts off is no text
     text(tail[:cut.start()] if cut else tail)
 
     chosen = paths.content()
+    # Headings right beside inner articles that are left out go with them; those of the outer article itself stay.
+    left_out = {element for element, path, article in around_inner if not chosen[path] and not article}
     blocks: dict[int, list[str]] = {}
-    for path, number, piece in found:
-        if chosen[path]:
+    for path, number, piece, beside in found:
+        if chosen[path] and beside not in left_out:
             blocks.setdefault(number, []).append(piece)
     return " ".join(t for t in (" ".join("".join(parts).split()) for parts in blocks.values()) if t)
 

@@ -186,6 +186,18 @@ PAGES = [
     ("<article>cut off <a hre", "cut off"), ("plain", "plain"), ("", ""), (None, ""), ("<p>", ""), ("<nav>only menu</nav>", ""),
     ("<main><p class='notice'>Cookies!</p><p>Text, indeed.</p><aside>more</aside></main>", "Text, indeed."),
     ("<article><h1>A</h1></article>", "A"),
+    ("<article><p>The story, told at length; it goes on and on.</p><section><h2>Reader voices</h2><article><p>I love it, says Bob"
+     "</p></article><article><p>Me too.</p></article></section></article>", "The story, told at length; it goes on and on."),
+    ("<article><h1>Head</h1><p>The story, told at length; it goes on.</p><article><p>Short, says Bob</p></article></article>",
+     "Head The story, told at length; it goes on."),
+    ("<article><h1>All</h1><article><p>The story itself, in an article of its own; it goes on.</p></article></article>",
+     "All The story itself, in an article of its own; it goes on."),
+    ("<div class=post><p>The story, told at length; it goes on and on.</p></div><div><a>Home</a><a>About</a></div>",
+     "The story, told at length; it goes on and on."),
+    ("<div><p>The story, told at length; see <a>this one</a> and <a>that</a>, too.</p></div><ul><li><a>One</a><li><a>Two</a></ul>",
+     "The story, told at length; see this one and that, too."),
+    ("<article><div class=\"entry-header\"><h1>Head</h1></div><p>Text, of course.</p><ul><li><a>Source</a></ul></article>"
+     "<div class=site-header>x</div>", "Head Text, of course. Source"),
 ]
 
 
@@ -219,6 +231,20 @@ def test_pages_as_planted(spark):
         assert row.n_chars == len(row.text)
 
 
+ELEMENTS = [("<div>", "</div>"), ('<div class="post">', "</div>"), ('<section class="story">', "</section>"),
+            ("<div id=c><div class=inner>", "</div></div>"), ("<main>", "</main>"), ("", "")]
+
+
+@pytest.mark.parametrize("opened, closed", ELEMENTS)
+def test_pages_without_an_article_element(spark, opened, closed):
+    """The same pages with other elements in place of the article, and a menu and comments after it."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    menu = '<div><a href="/">Home</a> <a href="/b">About</a></div><div class="comments"><p>Well, I never.</p></div>' if opened else ""
+    for page in pages:
+        other = page.replace("<article>", opened).replace("</article>", closed).replace("</footer>", "</footer>" + menu)
+        assert html_text.main_text(other) == html_text.main_text(page)
+
+
 def test_pages_edge_cases(spark):
     frame = spark.createDataFrame([(1, None, None, "a"), (1, "u", "<p>x", "b"), (None, "v", "<p>x", "c")],
                                   "page_id long, url string, html string, text string")
