@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame
 
 from basketlens.llm.common import mix, prepare, texts
 
-#: Pieces above this many bytes are merged one at a time, in blocks.
-LONG = 512
+#: Pieces above this many bytes are merged one at a time, in blocks: a matrix row costs the square of its length (4 KB
+#: 0.23 s, 16 KB 1.7 s, against 0.07 and 0.21 s), and no longer piece is a word.
+LONG = 4096
+#: Cells of one matrix.
+CELLS = 1 << 22
 #: Pieces that a worker remembers before it starts anew.
 MEMO = 400_000
 #: No pair has this rank.
@@ -181,8 +184,9 @@ class Bpe:
                 buckets.setdefault(-(-len(piece) // 4) if len(piece) <= 64 else 16 + len(piece).bit_length(),
                                    []).append(i)
         for rows in buckets.values():
-            for first in range(0, len(rows), 8192):
-                part = rows[first:first + 8192]
+            most = max(1, min(8192, CELLS // max(len(pieces[i]) for i in rows)))
+            for first in range(0, len(rows), most):
+                part = rows[first:first + most]
                 for i, ids in zip(part, self.bucket([pieces[i] for i in part])):
                     out[i] = ids
         return out
