@@ -26,10 +26,12 @@ INDEX_ROWS, QUERY_ROWS = 16_384, 4_096
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v) of the rows that take part: an id, and a vector without null or non-finite parts that isn't zero."""
+    """(vec_id, v, times) of the rows that take part: an id, and a vector without null or non-finite parts that isn't
+    zero; ``times`` rows have both."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return rows.where("vec_id is not null and v is not null").where(finite & F.exists("v", lambda x: x != 0))
+    rows = rows.where("vec_id is not null and v is not null").where(finite & F.exists("v", lambda x: x != 0))
+    return rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times"))
 
 
 class BlockIndex:
@@ -64,7 +66,7 @@ class BlockIndex:
 
 
 def _search(pivots: np.ndarray, neighbours: int, share: float, places: int):
-    schema = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("vec_id", pa.int64()),
+    schema = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("query_times", pa.int64()), ("vec_id", pa.int64()),
                         ("score", pa.float64())])
 
     def matrix(rows: pa.Table) -> np.ndarray:
@@ -75,15 +77,19 @@ def _search(pivots: np.ndarray, neighbours: int, share: float, places: int):
         if len(index) and len(queries):
             index = index.sort_by("vec_id")
             ids, block = index["vec_id"].to_numpy(), BlockIndex(matrix(index), pivots, places)
-            wanted, row_of = queries["vec_id"].to_numpy(), queries["query_row"].to_numpy()
+            held = index["times"].to_numpy()
+            wanted, row_of, asks = (queries[c].to_numpy() for c in ("vec_id", "query_row", "times"))
             vectors = matrix(queries)
             for q, order in enumerate(block.order(vectors)):
                 near = block.candidates(order, share, neighbours + 1)
-                near = near[ids[near] != wanted[q]]
+                # Of the rows that equal the query in id and vector, all but itself.
+                others = held[near] - ((ids[near] == wanted[q]) & (block.vectors[near] == vectors[q]).all(axis=1))
+                near, others = near[others > 0], others[others > 0]
                 score = np.sqrt(((block.vectors[near] - vectors[q]) ** 2).sum(axis=1))
                 best = np.lexsort((ids[near], score))[:neighbours]
-                found.append((np.full(len(best), wanted[q]), np.full(len(best), row_of[q]), ids[near][best], score[best]))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 4
+                best = np.repeat(best, np.minimum(others[best], neighbours))[:neighbours]
+                found.append((*(np.full(len(best), c[q]) for c in (wanted, row_of, asks)), ids[near][best], score[best]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 5
         return pa.Table.from_arrays([pa.array(c, f.type, safe=False) for c, f in zip(columns, schema)], schema=schema)
     return run
 
@@ -93,29 +99,32 @@ def nearest(vectors: DataFrame, queries: DataFrame, neighbours: int = 10, id_col
             index_rows: int = INDEX_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found to every query, by Euclidean distance, ties to smaller ids.
 
-    Rows whose vector is null, zero, or holds null or non-finite components take no part, nor do rows without an id
-    and rows whose vector has another length than most (the shorter of equally frequent ones). A row is never its
-    own neighbour, nor is another row of its id. Repeated equal rows count once. Fewer candidates than
-    ``neighbours`` give all of them; an empty table gives no rows. Other columns are ignored.
+    Rows whose vector is null, zero, or holds null or non-finite components take no part, nor do rows without an id;
+    vectors of different lengths are an error. A row is never its own neighbour, but any other row may be, also one of
+    its id or an equal one; repeated rows count each, as candidates and as queries. Fewer candidates than
+    ``neighbours`` give all of them; an empty table gives no rows. Other columns are ignored. With ``share`` = 1 every
+    row is reranked, so the answer is exact.
     """
     spark = vectors.sparkSession
     prepare(spark)
-    index, asked = usable(vectors, id_col, vector_col).distinct(), usable(queries, id_col, vector_col).distinct()
-    lengths = index.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").head()
+    index, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    lengths = index.agg(F.min(F.size("v")).alias("n"), F.max(F.size("v")).alias("most"), F.count(F.lit(1)).alias("count")).head()
     empty = "query_id long, rank int, vec_id long, score double"
-    if lengths is None:
+    if not lengths["count"]:
         return spark.createDataFrame([], empty)
-    index, asked = index.where(F.size("v") == lengths.n), asked.where(F.size("v") == lengths.n)
+    if lengths.n != lengths.most or asked.where(F.size("v") != lengths.n).limit(1).count():
+        raise ValueError("vectors have different lengths")
     sample = np.array([r.v for r in index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()])
     blocks, parts = count_blocks(lengths["count"], index_rows), count_blocks(asked.count(), query_rows)
     # A tile is one block of the index and one of the queries: both sides bounded, every pair of blocks once.
-    index = index.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).alias("b"),
+    index = index.select("vec_id", "v", "times", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).alias("b"),
                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("c"))
-    asked = asked.select("vec_id", "v", F.xxhash64("vec_id", "v").alias("query_row"),
+    asked = asked.select("vec_id", "v", "times", F.xxhash64("vec_id", "v").alias("query_row"),
                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b"))
     asked = asked.withColumn("c", F.pmod("query_row", F.lit(parts)))
     found = index.groupBy("b", "c").cogroup(asked.groupBy("b", "c")).applyInArrow(
-        _search(sample, neighbours, share, places), "query_id long, query_row long, vec_id long, score double")
+        _search(sample, neighbours, share, places), "query_id long, query_row long, query_times long, vec_id long, score double")
     by_query = Window.partitionBy("query_id", "query_row").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= neighbours)
-            .select("query_id", "rank", "vec_id", "score"))
+    best = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= neighbours)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("query_times")))
+    return best.select("query_id", "rank", "vec_id", "score", each.alias("copy")).drop("copy")

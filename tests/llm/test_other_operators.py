@@ -222,11 +222,33 @@ def test_neighbours_recall(spark):
 def test_neighbours_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
-            (7, [None, 1.0]), (8, [1.0, 0.0]), (8, [1.0, 0.0]), (None, [1.0, 1.0]), (9, [1.0]), (10, [])]
+            (7, [None, 1.0]), (8, [1.0, 0.0]), (8, [1.0, 0.0]), (None, [1.0, 1.0]), (10, [])]
     vectors = spark.createDataFrame([(*r, 1, 0.5) for r in rows], "vec_id long, embedding array<double>, rank int, score double")
     got = [tuple(r) for r in neighbours.nearest(vectors, vectors, neighbours=2).orderBy("query_id", "rank").collect()]
     far = float(np.sqrt(5.0))
     assert got == [(0, 1, 1, 0.0), (0, 2, 8, 0.0), (1, 1, 0, 0.0), (1, 2, 8, 0.0), (2, 1, 0, far), (2, 2, 1, far),
-                   (8, 1, 0, 0.0), (8, 2, 1, 0.0)]
+                   (8, 1, 0, 0.0), (8, 1, 0, 0.0), (8, 2, 1, 0.0), (8, 2, 1, 0.0)]
     assert neighbours.nearest(vectors.limit(0), vectors).count() == 0
     assert neighbours.nearest(vectors, vectors.where(F.col("vec_id") < 0)).count() == 0
+    with pytest.raises(ValueError, match="different lengths"):
+        neighbours.nearest(vectors.union(vectors.limit(1).selectExpr("9L", "array(1.0D)", "1L", "0.5D")), vectors)
+
+
+def test_neighbours_of_one_id_and_exact_search(spark):
+    """Rows of one id are each other's candidates, equal rows too; with every row reranked the answer is exact."""
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.1]), (1, [0.0, 5.0])]
+    schema = "vec_id long, embedding array<double>"
+    vectors = spark.createDataFrame(rows, schema)
+    got = {tuple(r)[:3]: r.score for r in neighbours.nearest(vectors, vectors.where("vec_id = 0"), neighbours=1).collect()}
+    assert set(got) == {(0, 1, 0)} and got[0, 1, 0] == pytest.approx(0.1)
+    draw = random.Random(8)
+    rows = [(draw.randrange(60), [float(draw.randrange(4)) for _ in range(3)]) for _ in range(200)]
+    vectors = spark.createDataFrame(rows, schema).repartition(4)
+    kept = [(i, v) for i, v in rows if any(v)]
+    want = []
+    for a, (i, v) in enumerate(kept):
+        near = sorted((float(np.sqrt(sum((x - y) ** 2 for x, y in zip(v, w)))), j) for b, (j, w) in enumerate(kept) if a != b)[:5]
+        want += [(i, r + 1, j, d) for r, (d, j) in enumerate(near)]
+    for how in ({"index_rows": 30, "query_rows": 20}, {}):
+        got = neighbours.nearest(vectors, vectors, neighbours=5, share=1.0, **how).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
