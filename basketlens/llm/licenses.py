@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from difflib import Match, SequenceMatcher
 
 import pyarrow as pa
@@ -62,7 +62,27 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.0."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.0."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3.0."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.0."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the "
+                          "GNU Lesser General Public License as published by the Free Software Foundation; either version "
+                          "2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                          "GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+                          "of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
 ]
+# Identifiers that tags name, and the license that an opening names if this license's clause follows it.
+TAGGED = ("MIT Apache-2.0 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later LGPL-2.1 LGPL-2.1-only "
+          "LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later BSD-2-Clause "
+          "BSD-3-Clause ISC MPL-2.0 EPL-2.0 Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 "
+          "CC-BY-NC-SA-4.0 Zlib BSL-1.0").split()
+OPENINGS = {"Redistribution and use in source and binary forms": ("BSD-3-Clause", "Neither the name of")}
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in TAGGED]
 
 #: A word; one that a line end cuts behind a hyphen goes on behind the marks that begin the next line.
 WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+|-[^\S\n]*\n[^\w\n]*[^\W_]+)*")
@@ -142,6 +162,8 @@ class Scanner:
         self.templates = [(name, words(wording)) for name, wording in templates]
         self.bags = [Counter(want) for _, want in self.templates]
         self.cues = cue_words(templates)
+        start = lambda begins: [i for i, (_, wording) in enumerate(templates) if wording.startswith(begins)]
+        self.openings = {i: (name, set(start(clause))) for opening, (name, clause) in OPENINGS.items() for i in start(opening)}
         self.longest = max((len(want) + may_differ(want) for _, want in self.templates), default=0)
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
         self.given = []
@@ -230,7 +252,21 @@ class Scanner:
             if not any(taken[a:b]):
                 taken[a:b] = b"\1" * (b - a)
                 kept.append(notice)
-        return sorted(kept, key=lambda n: (n.start, n.template))
+        return self.told_apart(sorted(kept, key=lambda n: (n.start, n.template)))
+
+    def told_apart(self, notices: list[Notice]) -> list[Notice]:
+        """Openings that several licenses share take the name of that whose own clause follows before the next opening."""
+        out = list(notices)
+        for i, notice in enumerate(notices):
+            if notice.template in self.openings:
+                name, clauses = self.openings[notice.template]
+                for later in notices[i + 1:]:
+                    if later.template in self.openings:
+                        break
+                    if later.template in clauses:
+                        out[i] = replace(notice, license=name)
+                        break
+        return out
 
 
 SCHEMA = ("doc_id bigint, start bigint, license string, template int, plain_bytes int, saved_bytes int, n_words int, "
@@ -244,7 +280,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
 
     Null and empty texts, and an empty table, give no rows. A notice that a text repeats gives a row for each place;
     repeated rows give repeated results; a null doc_id passes through. Whole texts are searched; of templates with
-    equally few differences the longer one counts, then the first. Other columns are ignored.
+    equally few differences the longer one counts, then the first. An opening that licenses share (BSD) has the name of
+    the one whose own clause follows. Other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
 

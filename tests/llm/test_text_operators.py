@@ -158,7 +158,60 @@ def test_licenses_wrapped_over_lines(mark):
             text = "Some words before.\n" + mark + "\n" + wrapped + "\n" + mark + "\nand some after it"
             assert [(n.license, n.n_different) for n in scan(text)] == [(name, 0)], (wording, width)
     whole = "\n\n".join("\n".join(mark + line for line in textwrap.wrap(w, 72)) for w in NOTICES)
-    assert [n.license for n in scan(whole)] == [name for name, _ in NOTICES.values()]
+    opening = next(w for w in NOTICES if w.startswith("Redistribution"))  # the clause of another license follows it here
+    assert [n.license for n in scan(whole)] == ["BSD-3-Clause" if w == opening else name for w, (name, _) in NOTICES.items()]
+
+
+BSD = ("Copyright (c) 2020, Somebody. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without "
+       "modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must "
+       "retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary "
+       "form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+       "documentation and/or other materials provided with the distribution.\n")
+THIRD = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+         "derived from this software without specific prior written permission.\n")
+
+
+def test_licenses_told_apart_by_their_clauses():
+    scan = licenses.Scanner(licenses.TEMPLATES).scan
+    assert {n.license for n in scan(BSD)} == {"BSD-2-Clause"} and {n.license for n in scan(BSD + THIRD)} == {"BSD-3-Clause"}
+    assert [n.license for n in scan(BSD + BSD + THIRD)] == ["BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"]
+    for text, name in (("# SPDX-License-Identifier: MIT\nimport os", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0-only"),
+                       ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("Licensed under the MIT license", "MIT"),
+                       ("This work is licensed under the GNU General Public License, version 3.0", "GPL-3.0")):
+        assert [(n.license, n.n_different) for n in scan(text)] == [(name, 0)], text
+
+
+def test_licenses_near_wordings_equal_a_search_of_all_places():
+    """Against word distances of every long template at every place of texts with a few changed words."""
+    draw, scanner = random.Random(3), licenses.Scanner(licenses.TEMPLATES)
+    long = [i for i, (_, want) in enumerate(scanner.templates) if len(want) >= 20]
+
+    def distance(a, b):
+        """Words to take out and put in."""
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            before, row = row, [i + 1]
+            for j, y in enumerate(b):
+                row.append(before[j] if x == y else 1 + min(before[j + 1], row[j]))
+        return row[-1]
+    for _ in range(40):
+        want = scanner.templates[draw.choice(long)][1]
+        changed = list(want)
+        for _ in range(draw.randint(0, licenses.may_differ(want) // 2 + 1)):
+            at = draw.choice([i for i, w in enumerate(want) if not any(c.isdigit() for c in w)])  # numbers must not differ
+            changed[at] = draw.choice(["somehow", "elsewhere", "perhaps"])
+        have = ["before"] * draw.randrange(5) + changed + ["after"] * draw.randrange(5)
+        fits = {}
+        for i in long:
+            whole = scanner.templates[i][1]
+            near = min(distance(whole, have[a:a + n]) for n in range(len(whole) - 2, len(whole) + 3)
+                       for a in range(max(1, len(have) - n + 1)))
+            if near <= licenses.may_differ(whole):
+                fits[scanner.templates[i][0]] = min(near, fits.get(scanner.templates[i][0], 99))
+        found = scanner.scan(" ".join(have))
+        found = [n for n in found if n.n_words >= 20]
+        assert {n.license for n in found} <= set(fits) and bool(found) == bool(fits)
+        assert all(n.n_different == fits[n.license] for n in found)
 
 
 def test_licenses_of_other_templates(spark):
