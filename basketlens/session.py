@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -70,22 +71,36 @@ def scratch_root(spark: SparkSession) -> str:
 _made: list[str] = []
 
 
+@atexit.register
+def _clear_at_exit() -> None:
+    """What this process has left in the shared folder goes with it, if its session still answers."""
+    spark = SparkSession.getActiveSession()
+    if _made and spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
+
+
+def made() -> int:
+    """Intermediate tables made so far and not cleared."""
+    return len(_made)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, remembered until ``clear_scratch``."""
+    """A fresh path in the shared folder, remembered until ``clear_scratch``; none is left when the process ends."""
     path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _made.append(path)
     return path
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete the intermediate tables made in this process after the first ``since`` ones.
+def clear_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the intermediate tables made in this process after the first ``since`` ones, but for the last ``keep``.
 
-    For the end of a job, when its results are written: frames that read these tables end with it.
+    For the end of a job or a stage, when its results are written: frames that read these tables end with it.
     """
-    for path in _made[since:]:
+    end = max(since, len(_made) - keep)
+    for path in _made[since:end]:
         hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-    del _made[since:]
+    del _made[since:end]
 
 
 @contextmanager

@@ -1,12 +1,14 @@
 """The jobs end to end, from a CSV of raw lines to the dashboard document."""
 
 import json
+import subprocess
+import sys
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from basketlens import __main__ as cli
+from basketlens import __main__ as cli, session as session_module
 from pyspark.sql import functions as F
 
 from basketlens.operators import cox
@@ -99,6 +101,25 @@ def test_all_jobs_agree_in_the_document(spark, root):
     assert json.loads(written)["kpis"]["churn_threshold_days"] == row.kpis.churn_threshold_days
 
 
+def test_stages_keep_their_result_alone(spark):
+    since = session_module.made()
+    frames = [session_module.materialize(spark.range(i), "stage") for i in (3, 4, 5)]
+    session_module.clear_scratch(spark, since, keep=1)
+    assert session_module.made() == since + 1 and frames[-1].count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound"):
+        frames[0].collect()
+    session_module.clear_scratch(spark, since)
+    assert session_module.made() == since
+
+
+def test_nothing_is_left_when_the_process_ends(tmp_path):
+    code = ("from basketlens.session import local_session, materialize; "
+            f"s = local_session(1, **{{'spark.checkpoint.dir': 'file://{tmp_path}/shared'}}); materialize(s.range(3), 'x').count(); "
+            f"import os; assert os.listdir('{tmp_path}/shared')")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(cli.__file__).parents[1])
+    assert not list((tmp_path / "shared").glob("x-*"))
+
+
 def session(master, checkpoint=None):
     """The few members of a session that the choice of the scratch folder looks at."""
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: None,
