@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from basketlens.llm import exact_dedup, packing, quality, shingle_join, substring_dedup
 from basketlens.llm.common import table
-from basketlens.session import materialize
+from basketlens.session import clear_scratch, made, materialize
 
 
 def good_documents(spark, docs, sf_dir):
@@ -45,13 +45,15 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages one after the other, each written to the shared folder and read again.
+    """All stages one after the other, each written to the shared folder and read again; only the last one's tables stay.
 
     Rows are decided by id and text: repeated rows, null ids and ids with several texts lose what their text loses. Null
     and empty texts pass the stages like any other text of their score and make pieces without words. An empty table
     gives no rows; without labels the first stage keeps all. Texts of any length are worked on whole.
     """
     docs = table(spark, sf_dir, "documents")
+    since = made()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        clear_scratch(spark, since, keep=1)  # what the stage has read and made, but its result
     return STAGES[-1][1](spark, docs, sf_dir)
