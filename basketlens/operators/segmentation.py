@@ -15,7 +15,8 @@ from basketlens.operators.silhouette import BOXES, exact_silhouettes, silhouette
 
 FEATURES = ["recency_days", "frequency", "monetary"]
 SCALED = ["z_recency", "z_frequency", "z_monetary"]
-FINEST = 64  # boxes per axis of the finest grid; what it leaves open is scored over all pairs
+FINEST = 32  # boxes per axis of the finest grid, so at most 32,768 cells for each cluster
+ALL_PAIRS = 1_000_000  # points up to which what the finest grid leaves open is scored over all pairs
 
 # Search range, seed and restarts of the segmentation, and the segment names.
 K_RANGE = range(2, 9)
@@ -113,18 +114,20 @@ def contenders(scores: Mapping[str, Mapping]) -> list[str]:
     return [name for name, s in scores.items() if s["silhouette_high"] >= best["silhouette_low"]]
 
 
-def settled(labelled: DataFrame, columns: Sequence[str], boxes: int = BOXES, finest: int = FINEST) -> dict[str, dict]:
+def settled(labelled: DataFrame, columns: Sequence[str], boxes: int = BOXES, finest: int = FINEST,
+            all_pairs: int = ALL_PAIRS) -> dict[str, dict]:
     """Scores by label column, refined until the best one is certain.
 
     Each round doubles the boxes of the grid for those whose bounds overlap that of the best; beyond ``finest`` boxes
-    they are scored over all pairs, after which only labellings of equal scores remain together.
+    they are scored over all pairs, after which only labellings of equal scores remain together. That work is the
+    square of the rows: with more than ``all_pairs`` points the bounds of the finest grid stand, and say what is open.
     """
-    scores, open_ = {}, list(columns)
-    while len(open_) > (1 if scores else 0):
-        scores |= _scores(silhouettes(labelled, SCALED, open_, boxes) if boxes <= finest else exact_silhouettes(labelled, SCALED, open_))
-        if boxes > finest:
-            break
-        open_, boxes = contenders(scores), boxes * 2
+    scores = _scores(silhouettes(labelled, SCALED, columns, boxes))
+    while len(open_ := contenders(scores)) > 1 and boxes < finest:
+        boxes *= 2
+        scores |= _scores(silhouettes(labelled, SCALED, open_, boxes))
+    if len(open_) > 1 and scores[open_[0]]["points"] <= all_pairs:
+        scores |= _scores(exact_silhouettes(labelled, SCALED, open_))
     return scores
 
 

@@ -169,6 +169,8 @@ def test_scores_are_refined_until_the_best_is_certain(spark):
             assert scores[c]["silhouette_low"] - 1e-12 <= score <= scores[c]["silhouette_high"] + 1e-12
         assert seg.contenders(scores) == [max(truth, key=truth.get)]
         assert scores["odd"] == coarse["odd"]  # never in question, never refined
+    open_ = seg.settled(df, ["segment", "close", "odd"], 4, 4, all_pairs=399)
+    assert len(seg.contenders(open_)) == 2 and open_["segment"] == coarse["segment"]
 
 
 def test_ties_take_the_first_centroid_and_the_smallest_k(spark):
