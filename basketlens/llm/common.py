@@ -75,12 +75,14 @@ def rows_of(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc
 HOT = 1 / 1000
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, times: str) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row for every key of ``rows`` and, in ``times``, its count there.
+def lookup(rows: DataFrame, table: DataFrame, key: str | list[str], times: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for a key and, in ``times``, about its count in ``rows``;
+    rows of other keys are left out.
 
-    Keys with over a thousandth of all rows, of which there are fewer than a thousand, are looked up by broadcast, the
+    Keys with over a thousandth of all counts, of which there are fewer than a thousand, are looked up by broadcast, the
     others by a join: no task gets all rows of a frequent key. Keys are not null.
     """
+    key = [key] if isinstance(key, str) else key
     table = materialize(table, "lookup")
     total = table.agg(F.sum(times)).head()[0] or 0
     frequent = F.broadcast(table.where(F.col(times) > int(total * HOT)))

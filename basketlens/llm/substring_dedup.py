@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import HOT, flat, fresh, pieces, prepare, run_hashes, texts, texts_of, word_hashes, word_spans
+from basketlens.llm.common import HOT, flat, fresh, lookup, pieces, prepare, run_hashes, texts, texts_of, word_hashes, word_spans
 from basketlens.session import materialize
 
 #: Words of a repeated window, and of the k-mers by which windows are gathered.
@@ -184,10 +184,11 @@ def _sourced(df: DataFrame) -> DataFrame:
 
 
 def repeated_edges(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, edges) of the graph of repeated windows of (k1, k2, text).
+    """(places, edges) of the graph of repeated windows of (k1, k2, text).
 
-    occurrences: k1, k2, start, windows, e1, e2. edges: e1, e2, windows, tail, head, the coordinates k1, k2, start of one
-    occurrence, the source, and whether the edge is a single window of a branching run.
+    places: k1, k2, start, windows, e1, e2, which of them are places of these edges a join tells. edges: e1, e2, windows,
+    tail, head, times, the coordinates k1, k2, start of one place, the source, and whether the edge is a single window of a
+    branching run.
     """
     listed = rows.mapInArrow(_runs(window, kmer), f"{EDGE_TYPE}, kmer bigint, places int, sure boolean, salt int")
     meeting = F.count(F.lit(1)).over(Window.partitionBy("kmer", "salt"))
@@ -199,7 +200,6 @@ def repeated_edges(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> t
         F.first("kmer").alias("kmer"), F.count(F.lit(1)).alias("times"), F.max("places").alias("places"), *source)), "distinct-runs")
     whole = contents.where("times > 1")
     columns = [*KEY, "start", "windows", *NAME]
-    occurs = met.select(columns).join(whole.select(NAME), NAME, "left_semi")
     # A run that occurs once may still share windows with the other runs of its k-mer, or with itself.
     branching = contents.groupBy("kmer").agg(F.min("times").alias("least"), F.count(F.lit(1)).alias("runs"), F.max("places").alias("places"))
     branching = branching.where("least = 1 and (runs > 1 or places > 1)").select("kmer")
@@ -210,16 +210,15 @@ def repeated_edges(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> t
     once = rows.mapInArrow(_once, "k1 bigint, k2 int, text string")
     found = once.join(asked, KEY).dropDuplicates(KEY).mapInArrow(_windows(window), f"{EDGE_TYPE}, times bigint")
     found = materialize(found, "windows")
-    again = found.groupBy(*NAME).agg(F.sum("times").alias("all"), F.min("times").alias("least"), *source)
-    again = materialize(_sourced(again.where("all > 1 and least = 1").drop("all", "least")), "repeated-windows")
-    single = found.where("times = 1").select(columns).join(again.select(NAME), NAME, "left_semi")
-    edges = [*NAME, "windows", "tail", "head", *KEY, "start"]
-    return occurs.unionByName(single).distinct(), whole.select(*edges, F.lit(False).alias("single")).unionByName(
+    again = found.groupBy(*NAME).agg(F.sum("times").alias("times"), F.min("times").alias("least"), *source)
+    again = materialize(_sourced(again.where("times > 1 and least = 1").drop("least")), "repeated-windows")
+    edges = [*NAME, "windows", "tail", "head", "times", *KEY, "start"]
+    return met.select(columns).unionByName(found.where("times = 1").select(columns)), whole.select(*edges, F.lit(False).alias("single")).unionByName(
         again.select(*edges, F.lit(True).alias("single")))
 
 
 def compacted(edges: DataFrame) -> DataFrame:
-    """(e1, e2, of1, of2, begins, place): the path of each edge, named by its source coordinates, and the windows of the
+    """(e1, e2, times, of1, of2, begins, place): the path of each edge, named by its source coordinates, and the windows of the
     path before it.
 
     An edge follows the one before it in its source text if nothing else enters or leaves the node between them.
@@ -228,7 +227,7 @@ def compacted(edges: DataFrame) -> DataFrame:
     into = edges.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("into"))
     plain = out.where("out = 1").join(into.where("into = 1"), "node").select("node")
     marked = edges.join(plain, edges["tail"] == plain["node"], "left").select(
-        *NAME, "windows", "head", "tail", F.col("k1").alias("of1"), F.col("k2").alias("of2"), "start",
+        *NAME, "times", "windows", "head", "tail", F.col("k1").alias("of1"), F.col("k2").alias("of2"), "start",
         F.col("node").isNotNull().alias("plain"), "single")
     # A single window may have its source inside a longer run. As many rows as a text has words, at most.
     order = Window.partitionBy("of1", "of2", "single").orderBy("start")
@@ -236,15 +235,15 @@ def compacted(edges: DataFrame) -> DataFrame:
         F.lag(F.col("start") + F.col("windows")).over(order) == F.col("start"))
     marked = marked.withColumn("begins", F.when(F.coalesce(follows, F.lit(False)), None).otherwise(F.col("start")))
     begun = marked.withColumn("begins", F.last("begins", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return begun.select(*NAME, "of1", "of2", "begins", (F.col("start") - F.col("begins")).alias("place"))
+    return begun.select(*NAME, "times", "of1", "of2", "begins", (F.col("start") - F.col("begins")).alias("place"))
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """(k1, k2, start, end, of1, of2, at): word ranges of repeated windows, and the source coordinates of the same words."""
-    occurs, edges = repeated_edges(rows, window, kmer)
-    on_path = occurs.join(compacted(edges), NAME).select(
+    places, edges = repeated_edges(rows, window, kmer)
+    on_path = lookup(places, compacted(edges), NAME, "times").select(
         *KEY, "start", (F.col("start") + F.col("windows")).alias("end"), "of1", "of2",
-        (F.col("begins") - F.col("start") + F.col("place")).alias("shift"), "begins")
+        (F.col("begins") - F.col("start") + F.col("place")).alias("shift"), "begins").distinct()
     order = Window.partitionBy(*KEY, "of1", "of2", "begins", "shift").orderBy("start")
     apart = F.coalesce(F.lag("end").over(order) != F.col("start"), F.lit(True))
     number = F.sum(F.when(apart, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
