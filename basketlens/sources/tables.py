@@ -39,8 +39,9 @@ SCHEMAS = {
 
 
 BUCKETED = {"invoices": "invoice_no", "invoice_items": "invoice_no"}
-#: Bytes of a bucket of the larger fact table, about; the fewest buckets; buckets of keys in which dimensions are merged.
-BUCKET_BYTES, LEAST_BUCKETS, KEY_BUCKETS = 256 << 20, 8, 64
+#: Bytes of a bucket of the larger fact table, about; the fewest buckets; the most buckets of keys in which dimensions and
+#: states are merged, of which there otherwise are as many as of the facts.
+BUCKET_BYTES, LEAST_BUCKETS, MOST_KEY_BUCKETS = 256 << 20, 8, 4096
 
 
 @dataclass(frozen=True)
@@ -116,10 +117,13 @@ def _write_fact(df: DataFrame, folder: str, name: str, buckets: int) -> dict[str
     return seen.get
 
 
-def _write_keyed(df: DataFrame, folder: str, name: str, key: str) -> None:
+def _key_bucket(manifest: dict, key: str):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(min(manifest["buckets"], MOST_KEY_BUCKETS))).cast("int")
+
+
+def _write_keyed(df: DataFrame, folder: str, name: str, key: str, manifest: dict) -> None:
     """Write a table in buckets of its key, each a folder that a later load may replace."""
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(KEY_BUCKETS)).cast("int")
-    df.withColumn("bucket", bucket).repartition(F.col("bucket")).write.partitionBy("bucket").parquet(f"{folder}/{name}")
+    df.withColumn("bucket", _key_bucket(manifest, key)).repartition(F.col("bucket")).write.partitionBy("bucket").parquet(f"{folder}/{name}")
 
 
 def _publish(spark: SparkSession, root: str, run: str, manifest: dict) -> str:
@@ -186,7 +190,7 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, buckets: int | None
         seen = {name: _write_fact(tables[name], folder, name, buckets) for name in BUCKETED}
         for name, (key, df) in {**{n: (PLAIN[n], tables[n]) for n in PLAIN},
                                 **{n: (STATES[n].key, df) for n, df in (states or {}).items()}}.items():
-            _write_keyed(df, folder, name, key)
+            _write_keyed(df, folder, name, key, manifest)
             manifest["keyed"][name] = {n.split("=")[1]: run for n in _names(spark, f"{folder}/{name}") if n.startswith("bucket=")}
         _gate(spark, root, run, manifest, seen, {name: _read(spark, root, manifest, name) for name in SCHEMAS})
     except Exception:
@@ -217,17 +221,16 @@ def append_tables(facts: Mapping[str, DataFrame], states: Mapping[str, DataFrame
             raise Refused(f"invoices.invoice_no: {known.count()} are loaded already, such as {', '.join(r[0] for r in again)}")
         manifest = {**old, "facts": {name: [*old["facts"][name], run] for name in BUCKETED}, "keyed": dict(old["keyed"])}
         for name, state in STATES.items():
-            bucket = F.pmod(F.xxhash64(F.col(state.key)), F.lit(KEY_BUCKETS)).cast("int")
             new = materialize(states[name], name)
-            touched = sorted(r[0] for r in new.select(bucket.alias("b")).distinct().collect())  # KEY_BUCKETS at most
-            _write_keyed(state.merge(_read(spark, root, old, name, touched).unionByName(new)), folder, name, state.key)
+            touched = sorted(r[0] for r in new.select(_key_bucket(manifest, state.key).alias("b")).distinct().collect())  # MOST_KEY_BUCKETS at most
+            _write_keyed(state.merge(_read(spark, root, old, name, touched).unionByName(new)), folder, name, state.key, manifest)
             written = {str(b): run for b in touched}
             manifest["keyed"][name] = {**old["keyed"][name], **written}
             if state.makes:
-                merged = spark.read.schema(state.schema).parquet(f"{folder}/{name}")
-                _write_keyed(state.make(merged), folder, state.makes, state.key)
+                merged = _keyed(spark, name, f"{folder}/{name}")
+                _write_keyed(state.make(merged), folder, state.makes, state.key, manifest)
                 manifest["keyed"][state.makes] = {**old["keyed"][state.makes], **written}
-                fresh[state.makes] = spark.read.schema(SCHEMAS[state.makes]).parquet(f"{folder}/{state.makes}")
+                fresh[state.makes] = _keyed(spark, state.makes, f"{folder}/{state.makes}")
         _gate(spark, root, run, manifest, seen, fresh)
     except Exception:
         _discard(spark, root, run)
@@ -286,14 +289,19 @@ def _read(spark: SparkSession, root: str, manifest: dict, name: str, buckets: Se
     """One table of a load; of a keyed one only the given buckets, if any are given."""
     if name in BUCKETED:
         return reduce(DataFrame.unionByName, [_bucketed(spark, f"{root}/runs/{run}", name) for run in manifest["facts"][name]])
-    reader = spark.read.schema(SCHEMAS[name] if name in SCHEMAS else STATES[name].schema)
     held = manifest["keyed"][name]
     if buckets is None and len(set(held.values())) == 1:
-        return reader.parquet(f"{root}/runs/{next(iter(held.values()))}/{name}")
+        return _keyed(spark, name, f"{root}/runs/{next(iter(held.values()))}/{name}")
     paths = [f"{root}/runs/{run}/{name}/bucket={b}" for b, run in sorted(held.items()) if buckets is None or int(b) in buckets]
     if not paths:
         return spark.createDataFrame([], SCHEMAS[name] if name in SCHEMAS else STATES[name].schema)
-    return reader.parquet(*paths)
+    return _keyed(spark, name, *paths)
+
+
+def _keyed(spark: SparkSession, name: str, *paths: str) -> DataFrame:
+    """Folders of a keyed table, without the bucket that their paths name."""
+    schema = SCHEMAS[name] if name in SCHEMAS else T.StructType.fromDDL(STATES[name].schema)
+    return spark.read.schema(schema).parquet(*paths).select(*schema.names)
 
 
 def read_tables(spark: SparkSession, root: str, names=tuple(SCHEMAS)) -> dict[str, DataFrame]:
