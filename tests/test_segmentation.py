@@ -1,8 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import kmeans, segmentation as seg
+from basketlens.operators import kmeans, segmentation as seg, silhouette as sil
 from basketlens.operators.silhouette import cells, exact_silhouettes, silhouette, silhouettes
 
 SCHEMA = "customer_id bigint, z_recency double, z_frequency double, z_monetary double, segment int"
@@ -153,6 +154,66 @@ def test_exact_scores_equal_all_pairs(spark, n, blocks):
         exact_silhouettes(df.withColumn("one", F.lit(1)), seg.SCALED, ["one"])
 
 
+def test_the_exact_score_computes_each_distance_once(monkeypatch):
+    """The time of the exact score is that of its distances: one for two points, also across the groups of a tile."""
+    x, labels = clouds(90, 1)
+    block = lambda b: {"block": b, "x": x[30 * b:30 * b + 30].tobytes(), "labels": labels[30 * b:30 * b + 30].astype(np.int32).tobytes()}
+    met, strips = [], sil._strips
+    monkeypatch.setattr(sil, "_strips", lambda a, b: met.append(len(a) * len(b)) or strips(a, b))
+    tile = sil._tile([3], 3)
+    parts = [tile((0, 0), pd.DataFrame([block(0) | {"row": True}, block(1) | {"row": True}])),
+             tile((0, 1), pd.DataFrame([block(0) | {"row": True}, block(1) | {"row": True}, block(2) | {"row": False}])),
+             tile((1, 1), pd.DataFrame([block(2) | {"row": True}])),
+             tile((1, 2), pd.DataFrame([block(2) | {"row": True}]))]  # a group without blocks
+    assert sum(met) == (90 * 90 + 3 * 30 * 30) / 2
+    sums = np.zeros((3, 30, 3))
+    for part in parts:
+        for b, found in part.itertuples(index=False):
+            sums[b] += np.frombuffer(found).reshape(30, 3)
+    truth = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) @ np.eye(3)[labels]
+    assert sums.reshape(90, 3) == pytest.approx(truth, rel=1e-12)
+
+
+@pytest.mark.parametrize("scale, shift", [(1, 0), (1, 1e5), (1e-3, 1), (1e4, 0)])
+def test_distances_of_near_and_shifted_points_are_those_of_their_differences(scale, shift):
+    rng = np.random.default_rng(4)
+    y = rng.normal(size=(150, 3)) * scale + shift
+    x = np.concatenate([y[:40], y[:40] + rng.normal(size=(40, 3)) * scale * 1e-5, rng.normal(size=(33, 3)) * scale + shift])
+    found = np.concatenate([d.copy() for _, d in sil._strips(x, y)])
+    truth = np.sqrt(((x[:, None] - y[None]) ** 2).sum(-1))
+    assert np.abs(found - truth).max() < 1e-11 * scale and (found[range(40), range(40)] == 0).all()
+
+
+def test_distances_of_copies_and_of_numbers_that_are_not_finite():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.tile(rng.normal(size=3), (70, 1)), rng.normal(size=(10, 3))])
+    for odd in (0.0, np.nan, np.inf, 1e200):
+        x[75, 1] = odd
+        with np.errstate(all="ignore"):
+            truth = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+            found = np.concatenate([d.copy() for _, d in sil._strips(x, x)])
+        assert np.allclose(found, truth, rtol=0, atol=1e-11, equal_nan=True)
+
+
+def test_exact_scores_of_many_tiles_copies_and_labels(spark):
+    x, labels = clouds(9000, 12)
+    x[:300], x[300:400] = x[0], x[400:500]
+    df = points(spark, x + 1e3, labels).withColumn("parts", F.hash("customer_id") % 7).cache()
+    parts = np.array([r.parts for r in df.orderBy("customer_id").select("parts").collect()])
+    rows = {r.labelling: r for r in exact_silhouettes(df, seg.SCALED, ["segment", "parts"], 1).collect()}
+    y = x + 1e3
+    for c, of in (("segment", labels), ("parts", parts)):
+        names, own = np.unique(of, return_inverse=True)
+        sums = np.concatenate([np.sqrt(((y[a:a + 500, None] - y[None]) ** 2).sum(-1)) @ np.eye(len(names))[own]
+                               for a in range(0, len(y), 500)])
+        sizes, at = np.bincount(own), np.arange(len(y))
+        inside, means = sums[at, own] / (sizes[own] - 1), sums / sizes
+        means[at, own] = np.inf
+        outside = means.min(axis=1)
+        assert rows[c].silhouette == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean(), abs=1e-10)
+        assert rows[c].points == 9000
+
+
 def test_scores_are_refined_until_the_best_is_certain(spark):
     x, labels = clouds(400, 8)
     close = labels.copy()
