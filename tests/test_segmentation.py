@@ -214,6 +214,46 @@ def test_exact_scores_of_many_tiles_copies_and_labels(spark):
         assert rows[c].points == 9000
 
 
+def test_tiles_of_the_exact_score_are_even_and_one_to_a_task(spark, monkeypatch, tmp_path):
+    """A task with several tiles, or a tile of many blocks, would be waited for."""
+    x, labels = clouds(13000, 3)
+    df = points(spark, x, labels).cache()
+    whole, folder = sil._tile, str(tmp_path)
+
+    def noted(*given):
+        run = whole(*given)
+
+        def noting(key, frame):
+            from pyspark import TaskContext
+            sides = sorted([int(frame["row"].sum()), int((~frame["row"]).sum())])
+            open(f"{folder}/{key[0]}-{key[1]}-{TaskContext.get().partitionId()}-{sides[0]}-{sides[1]}", "w").close()
+            return run(key, frame)
+        return noting
+    monkeypatch.setattr(sil, "_tile", noted)
+    row = exact_silhouettes(df, seg.SCALED, ["segment"], 1).first()
+    found = [tuple(map(int, f.name.split("-"))) for f in tmp_path.iterdir()]
+    groups = max(j for _, j, *_ in found) + 1
+    assert groups >= 7 and len(found) == groups * (groups + 1) // 2
+    assert len({task for _, _, task, *_ in found}) == len(found)
+    assert all((a, b) == ((0, 1) if i == j else (1, 1)) for i, j, _, a, b in found)
+    assert row.points == 13000 and row.silhouette_low == row.silhouette == row.silhouette_high
+
+
+def test_tiles_of_the_exact_score_widen_with_the_points_up_to_their_memory(spark):
+    """A point travels once to each group of blocks, so groups of a fixed size send the square of the points."""
+    stored = spark.range(0, 1080, 1, 9).select(F.monotonically_increasing_id().alias("block"), F.lit(b"x").alias("x"),
+                                               F.lit(b"l").alias("labels"))
+    stored = stored.filter("shiftright(block, 33) <> 4")  # a range of the sort may be empty
+    for width, groups in ((14, 32), (70, 60)):  # of 960 blocks 73 on a side are within the memory of a tile, and 14
+        tiles = sil._sides(stored, 16, width).groupBy("i", "j", F.spark_partition_id().alias("task")).agg(
+            F.sum(F.col("row").cast("int")).alias("here"), F.count("*").alias("both")).toPandas()
+        assert len(tiles) == groups * (groups + 1) // 2 == tiles["task"].nunique()
+        off = tiles[tiles["i"] < tiles["j"]]
+        even = {960 // groups, -(-960 // groups)}
+        assert set(off["here"]) | set(off["both"] - off["here"]) == even
+        assert off["here"].max() * 2 * sil.BLOCK * 8 * width <= sil.TILE or off["here"].max() == 16
+
+
 def test_scores_are_refined_until_the_best_is_certain(spark):
     x, labels = clouds(400, 8)
     close = labels.copy()
